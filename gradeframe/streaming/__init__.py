@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The modelled application is batch only: it has no stream source or sink, no
+watermark, window or streaming state. Nothing is added here, because only the
+application's own operators are rebuilt. Every operator in
+``gradeframe.operators`` is a pure DataFrame function, so it can be applied to a
+micro-batch inside ``foreachBatch`` unchanged if a caller needs that.
+"""
