@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeframe import schemas as S
+from gradeframe.session import ensure_checkpoint_dir
 
 
 def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None = None,
@@ -19,10 +20,16 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
     shifted by the sizes of the lower ranges. Only the per-range sizes (one row
     per range, bounded by ``num_ranges``) meet in one place.
 
-    The numbering is stable on task retry: each range is sorted on the (unique)
-    value before it is numbered.
+    The locally numbered ranges are materialised once with a reliable
+    ``checkpoint()`` (in the session's ``spark.checkpoint.dir``): the range
+    bounds come from sampling, so two separate evaluations of the range shuffle
+    could cut the values differently, and the local numbers and the range sizes
+    must come from the same cut. The checkpoint holds one row per distinct value
+    and survives executor loss; inside each range the values are sorted (they
+    are unique) before they are numbered, so a retried task numbers them the same.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = df.select(F.col(value_col)).where(F.col(value_col).isNotNull()).distinct()
     local = (
@@ -37,6 +44,7 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
             value_col, "_range",
             (F.col("_mid") - F.shiftleft(F.col("_range").cast("long"), 33) + 1).alias("_local"),
         )
+        .checkpoint(eager=True)
     )
     sizes = local.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select(

@@ -170,8 +170,21 @@ class Tables:
         return getattr(self, name)
 
 
-def load(spark: SparkSession, sf_dir: str, n_tests: int = N_TESTS) -> Tables:
-    return Tables(spark, sf_dir, n_tests)
+_LOADED: dict[tuple, Tables] = {}
+
+
+def load(spark: SparkSession, sf_dir: str, n_tests: int = N_TESTS, fresh: bool = False) -> Tables:
+    """The derived tables of ``sf_dir``, shared by all callers in one application.
+
+    Input directories are immutable snapshots, so the numbered dimensions (the
+    only tables materialised, by checkpoint) are derived once per application
+    and input; every other table stays a lazy plan over the inputs.
+    ``fresh=True`` derives everything again.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), n_tests)
+    if fresh or key not in _LOADED:
+        _LOADED[key] = Tables(spark, sf_dir, n_tests)
+    return _LOADED[key]
 
 
 TABLE_NAMES = ["groups", "classes", "subjects", "tests", "subject_group_mapper",
