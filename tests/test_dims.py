@@ -1,0 +1,72 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import rows, students_frame
+from gradeframe import schemas as S
+from gradeframe.functions import class_bucket, dense_ids, group_bucket
+from gradeframe.operators import dims
+
+
+def _dims(spark):
+    subjects = spark.createDataFrame([(1, "Computer Science"), (2, "Maths"), (3, "Physics")], S.SUBJECTS)
+    sg = spark.createDataFrame([(1, 1), (1, 2), (2, 3), (2, 2)], S.SUBJECT_GROUP)
+    groups = spark.createDataFrame([(1, "group 1"), (2, "group 2")], S.GROUPS)
+    classes = spark.createDataFrame([(1, "XI"), (2, "XII")], S.CLASSES)
+    st = students_frame(spark, [(1, 2, 1, "ann", "lee"), (2, 2, 2, None, "roe"), (3, 1, 3, "zed", None)])
+    return subjects, sg, groups, classes, st
+
+
+def test_name_lookup_ignores_case(spark):
+    subjects, *_ = _dims(spark)
+    assert rows(dims.ids_by_name(subjects, "subject_id", "subject_name", "computer SCIENCE")) == [(1,)]
+    assert dims.ids_by_name(subjects, "subject_id", "subject_name", "biology").count() == 0
+
+
+def test_roster_and_subject_without_group(spark):
+    subjects, sg, groups, classes, st = _dims(spark)
+    got = rows(dims.members_of_class_groups(st, sg, class_id=2, subject_id=2), "student_id")
+    assert got == [(1,), (2,)]
+    assert dims.members_of_class_groups(st, sg, class_id=2, subject_id=99).count() == 0
+
+
+def test_member_profile(spark):
+    subjects, sg, groups, classes, st = _dims(spark)
+    got = {r["student_id"]: r.asDict() for r in
+           dims.member_profile(st, groups, classes, subjects, sg).collect()}
+    assert got[1]["full_name"] == "Ann lee"
+    assert got[1]["subjects"] == "Computer Science, Maths"
+    assert got[2]["full_name"] == " roe" and got[2]["subjects"] == "Maths, Physics"
+    assert got[3]["group_name"] == "" and got[3]["subjects"] == "" and got[3]["class_name"] == "XI"
+
+
+def test_key_lists_sorted(spark):
+    _, sg, *_ = _dims(spark)
+    assert rows(dims.key_lists(sg, "group_id", "subject_id", "ids")) == [(1, "1,2"), (2, "2,3")]
+
+
+def test_enrollment_fanout(spark):
+    subjects, sg, groups, classes, st = _dims(spark)
+    assert rows(dims.enrollment_fanout(st, sg)) == [(1, 1), (1, 2), (2, 2), (2, 3)]
+
+
+def test_id_buckets_follow_the_rule_for_the_first_900_ids(spark):
+    df = spark.range(1, 901).select(F.col("id").alias("student_id"))
+    got = df.select("student_id", group_bucket(F.col("student_id")).alias("g"),
+                    class_bucket(F.col("student_id")).alias("c")).collect()
+    for sid, g, c in got:
+        block = -(-sid // 150)
+        assert g == (block - 3 if block > 3 else block)
+        assert c == (2 if -(-sid // 450) > 1 else 1)
+
+
+def test_dense_ids_equal_dense_rank_across_many_ranges(spark):
+    vals = spark.range(0, 5000).select(F.format_string("v%07d", (F.col("id") * 7919) % 4001).alias("v"))
+    got = dense_ids(vals, "v", "vid", num_ranges=16)
+    want = (vals.distinct().select("v", F.dense_rank().over(Window.orderBy("v")).alias("vid")))
+    assert rows(got, "vid", "v") == rows(want, "vid", "v")
+    assert got.count() == 4001
+
+
+def test_dense_ids_skip_nulls(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "v string")
+    assert rows(dense_ids(df, "v", "id", "name")) == [(1, "a"), (2, "b")]
