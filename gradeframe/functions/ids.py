@@ -20,8 +20,8 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
     shifted by the sizes of the lower ranges. Only the per-range sizes (one row
     per range, bounded by ``num_ranges``) meet in one place.
 
-    The locally numbered ranges, and then the numbered values, are materialised
-    with a reliable ``checkpoint()`` (in the session's ``spark.checkpoint.dir``): the range
+    The locally numbered ranges are materialised with a reliable
+    ``checkpoint()`` (in the session's ``spark.checkpoint.dir``): the range
     bounds come from sampling, so two separate evaluations of the range shuffle
     could cut the values differently, and the local numbers and the range sizes
     must come from the same cut. The checkpoint holds one row per distinct value
@@ -58,7 +58,7 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
         (F.col("_offset") + F.col("_local")).cast("int").alias(id_col),
         F.col(value_col).alias(name_col or value_col),
     )
-    return out.checkpoint(eager=True)
+    return out
 
 
 def group_bucket(student_id: Column, width: int = S.GROUP_BUCKET_WIDTH,

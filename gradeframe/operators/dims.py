@@ -24,6 +24,17 @@ def point_lookup(students: DataFrame, student_id: int) -> DataFrame:
     return students.where(F.col("student_id") == F.lit(student_id))
 
 
+def member_keys(students: DataFrame, student_id: int) -> DataFrame:
+    """Key rows (group_id, class_id, student_id) of one member id, marked for broadcast.
+
+    Size bound: a member id names at most one row per (group, class), so this
+    side has at most |groups| x |classes| rows (two small dimensions) whatever
+    the size of ``students``. Broadcasting it lets deletes and archives run
+    without shuffling the large table they are applied to.
+    """
+    return F.broadcast(point_lookup(students, student_id).select(*S.STUDENT_KEYS))
+
+
 def ids_by_name(dim: DataFrame, id_col: str, name_col: str, name: str) -> DataFrame:
     """Ids whose name equals ``name`` ignoring case (a one-column DataFrame)."""
     return dim.where(name_matches(F.col(name_col), name)).select(id_col)

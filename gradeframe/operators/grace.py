@@ -32,10 +32,18 @@ from gradeframe.operators.stats import members_mean_over
 def flag_eligible(marks: DataFrame, class_id: int | None = None, subject_id: int | None = None,
                   test_id: int = S.GRACE_TEST_ID,
                   subject_threshold: float = S.GRACE_SUBJECT_THRESHOLD,
-                  test_threshold: float = S.GRACE_TEST_THRESHOLD) -> DataFrame:
-    """The subject rows in scope with an ``eligible`` flag."""
-    scope = restrict(restrict(marks, "class_id", class_id), "subject_id", subject_id)
-    test_ok = (members_mean_over(marks, test_id, test_threshold, class_id)
+                  test_threshold: float = S.GRACE_TEST_THRESHOLD,
+                  class_ids: DataFrame | None = None,
+                  subject_ids: DataFrame | None = None) -> DataFrame:
+    """The subject rows in scope with an ``eligible`` flag.
+
+    The scope is given by ids (``class_id``, ``subject_id``) or by one-column
+    id DataFrames (``class_ids``, ``subject_ids``, e.g. from a name lookup). The
+    grace-test mean always covers all of a member's subjects.
+    """
+    in_class = restrict(marks, "class_id", class_id, class_ids)
+    scope = restrict(in_class, "subject_id", subject_id, subject_ids)
+    test_ok = (members_mean_over(in_class, test_id, test_threshold)
                .select("student_id", F.lit(True).alias("_test_ok")))
     return (scope.join(test_ok, "student_id", "left")
             .select(*S.MARK_KEYS, "test_marks",

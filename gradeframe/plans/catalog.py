@@ -194,7 +194,7 @@ def upsert_pass_rate(spark, sf_dir):
 @query
 def delete_by_key(spark, sf_dir):
     t = load(spark, sf_dir)
-    keys = dims.point_lookup(t.students, STUDENT_ID)
+    keys = dims.member_keys(t.students, STUDENT_ID)
     return tables.delete_by_key(t.marks, keys, S.STUDENT_KEYS).select(*S.MARK_KEYS)
 
 

@@ -28,7 +28,7 @@ def subject_mean_report(t: Tables, student_id: int, subject_name: str | None = N
                         subject_id: int | None = None) -> dict[str, DataFrame]:
     """Profile of one member and the member's mean in one subject (if the group takes it)."""
     subject_ids = _ids(t, "subjects", "subject_id", "subject_name", subject_name, subject_id)
-    rows = dims.restrict(t.marks, "student_id", student_id, )
+    rows = dims.restrict(t.marks, "student_id", student_id)
     rows = dims.restrict(rows, "subject_id", ids=subject_ids) if subject_ids is not None else rows
     return {
         "member": dims.point_lookup(t.students, student_id),
@@ -70,8 +70,7 @@ def top_students(t: Tables, class_name: str | None = None, class_id: int | None
 
 
 def archive_student(t: Tables, student_id: int, leaving_date=None) -> dict[str, DataFrame]:
-    keys = dims.point_lookup(t.students, student_id).select(*S.STUDENT_KEYS)
-    return tables.archive(t.students, t.marks, keys, leaving_date)
+    return tables.archive(t.students, t.marks, dims.member_keys(t.students, student_id), leaving_date)
 
 
 def grace_marks(t: Tables, subject_name: str | None = None, class_name: str | None = None,
@@ -83,16 +82,9 @@ def grace_marks(t: Tables, subject_name: str | None = None, class_name: str | No
     defaults to the rate computed from the input snapshot. ``pass_percentage``
     is that table with the after-grace rates upserted.
     """
-    if subject_name is not None:
-        subject_id = None
-    if class_name is not None:
-        class_id = None
-    marks = t.marks
-    for dim, id_col, name_col, name in (("subjects", "subject_id", "subject_name", subject_name),
-                                        ("classes", "class_id", "class_name", class_name)):
-        if name is not None:
-            marks = dims.restrict(marks, id_col, ids=dims.ids_by_name(t.table(dim), id_col, name_col, name))
-    flagged = grace.flag_eligible(marks, class_id, subject_id)
+    subject_ids = _ids(t, "subjects", "subject_id", "subject_name", subject_name, subject_id)
+    class_ids = _ids(t, "classes", "class_id", "class_name", class_name, class_id)
+    flagged = grace.flag_eligible(t.marks, class_ids=class_ids, subject_ids=subject_ids)
     adjusted = grace.grace_adjust(flagged)
     eligible = grace.grace_eligible(flagged)
     after = stats.pass_rate(adjusted.select(*S.MARK_KEYS, "test_marks"))

@@ -62,3 +62,12 @@ def test_grace_cannot_change_a_pass(spark):
     adj = grace.grace_adjust(grace.flag_eligible(m))
     assert rows(grace.adjusted_scores(adj).where("changed"), "student_id", "mark") == [(1, 65.0)]
     assert rows(grace.pass_rate_before_after(adj)) == [(2, 3, 50.0, 50.0)]
+
+
+def test_scope_by_id_frames_equals_scope_by_ids(spark):
+    m = _marks(spark)
+    by_id = rows(grace.grace_eligible(grace.flag_eligible(m, class_id=2, subject_id=3)))
+    ids = spark.createDataFrame([(3,)], "subject_id int")
+    cls = spark.createDataFrame([(2,)], "class_id int")
+    by_frame = rows(grace.grace_eligible(grace.flag_eligible(m, class_ids=cls, subject_ids=ids)))
+    assert by_id == by_frame == [(2, 3, 1), (2, 3, 4)]
