@@ -18,7 +18,7 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
     sorted inside each range, numbered locally from ``monotonically_increasing_id``
     (partition index in the high bits, row position in the low 33 bits), and
     shifted by the sizes of the lower ranges. Only the per-range sizes (one row
-    per range, bounded by ``num_ranges``) meet in one place.
+    per range, bounded by the shuffle partition count) meet in one place.
 
     The locally numbered ranges are materialised with a reliable
     ``checkpoint()`` (in the session's ``spark.checkpoint.dir``): the range
@@ -30,10 +30,12 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = df.select(F.col(value_col)).where(F.col(value_col).isNotNull()).distinct()
+    # Without an explicit count AQE may coalesce neighbouring ranges (order is kept).
+    ranged = (vals.repartitionByRange(num_ranges, value_col) if num_ranges
+              else vals.repartitionByRange(value_col))
     local = (
-        vals.repartitionByRange(n, value_col)
+        ranged
         .sortWithinPartitions(value_col)
         .select(
             value_col,

@@ -44,14 +44,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder, creating a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is.
-    Only when nothing is configured (local tests) is a fresh temporary folder set.
+    Only in local mode with nothing configured (tests) is a fresh temporary
+    folder set; on a cluster a missing setting is an error, because a
+    machine-local folder is not visible to the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder "
+                           "(HDFS, object store) for checkpoints and derived tables")
     scratch = tempfile.mkdtemp(prefix="gradeframe-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()

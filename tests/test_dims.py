@@ -70,3 +70,10 @@ def test_dense_ids_equal_dense_rank_across_many_ranges(spark):
 def test_dense_ids_skip_nulls(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "v string")
     assert rows(dense_ids(df, "v", "id", "name")) == [(1, "a"), (2, "b")]
+
+
+def test_dense_ids_default_ranges(spark):
+    vals = spark.range(0, 3000).select(F.format_string("k%05d", (F.col("id") * 31) % 2999).alias("v"))
+    got = dense_ids(vals, "v", "vid")
+    want = vals.distinct().select("v", F.dense_rank().over(Window.orderBy("v")).alias("vid"))
+    assert rows(got, "vid", "v") == rows(want, "vid", "v")
