@@ -53,3 +53,13 @@ def test_jobs_by_name(spark):
     assert g["pass_percentage"].count() == jobs.pass_percentage(t).count()
     rep = jobs.subject_mean_report(t, 10, subject_name="medium")
     assert rep["member"].count() == 1
+
+
+def test_cli_runs_operations(spark, capsys):
+    from gradeframe.__main__ import main
+    assert main(["pass-percentage", "--input", SF_SMALL, "--show", "2"]) == 0
+    assert "pass_percentage" in capsys.readouterr().out
+    out = tempfile.mkdtemp(prefix="gradeframe-cli-")
+    assert main(["top3", "--input", SF_SMALL, "--class", "building", "--out", out]) == 0
+    got = spark.read.parquet(os.path.join(out, "overall"))
+    assert got.count() == 3
