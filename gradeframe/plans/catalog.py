@@ -32,65 +32,72 @@ LOOKUP_SUBJECT_NAME = "medium"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# The same queries as functions of a tables object (``model.Tables`` derived
+# from inputs, or ``store.StoredTables`` read from snapshots).
+TABLE_QUERIES: dict[str, Callable] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+def query(fn):
+    name = fn.__name__.removesuffix("_q")
+    TABLE_QUERIES[name] = fn
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(load(spark, sf_dir))
+
+    run.__name__ = name
+    run.__doc__ = fn.__doc__
+    QUERIES[name] = run
     return fn
 
 
 # -- lookups and rosters (O1, O2) --------------------------------------------
 
 @query
-def point_lookup(spark, sf_dir):
-    t = load(spark, sf_dir)
+def point_lookup(t):
     return dims.point_lookup(t.students, STUDENT_ID).select(*S.STUDENTS.fieldNames())
 
 
 @query
-def member_profile(spark, sf_dir):
-    t = load(spark, sf_dir)
+def member_profile(t):
     return dims.member_profile(t.students, t.groups, t.classes, t.subjects, t.subject_group_mapper)
 
 
 @query
-def subject_mean_of_student(spark, sf_dir):
-    return stats.subject_mean_of_student(load(spark, sf_dir).marks)
+def subject_mean_of_student(t):
+    return stats.subject_mean_of_student(t.marks)
 
 
 @query
-def members_of_class_groups(spark, sf_dir):
-    t = load(spark, sf_dir)
+def members_of_class_groups(t):
     return dims.members_of_class_groups(t.students, t.subject_group_mapper)
 
 
 @query
-def subject_by_name(spark, sf_dir):
-    t = load(spark, sf_dir)
+def subject_by_name(t):
     return dims.ids_by_name(t.subjects, "subject_id", "subject_name", LOOKUP_SUBJECT_NAME).join(
         t.subjects, "subject_id")
 
 
 @query
-def group_subject_lists(spark, sf_dir):
-    return dims.key_lists(load(spark, sf_dir).subject_group_mapper, "group_id", "subject_id", "subject_ids")
+def group_subject_lists(t):
+    return dims.key_lists(t.subject_group_mapper, "group_id", "subject_id", "subject_ids")
 
 
 @query
-def class_group_lists(spark, sf_dir):
-    return dims.key_lists(load(spark, sf_dir).class_group_mapper, "class_id", "group_id", "group_ids")
+def class_group_lists(t):
+    return dims.key_lists(t.class_group_mapper, "class_id", "group_id", "group_ids")
 
 
 # -- score maps ----------------------------------------------------------------
 
 @query
-def explode_scores_q(spark, sf_dir):
-    return explode_scores(load(spark, sf_dir).marks)
+def explode_scores_q(t):
+    return explode_scores(t.marks)
 
 
 @query
-def score_map_build(spark, sf_dir):
-    m = load(spark, sf_dir).marks
+def score_map_build(t):
+    m = t.marks
     return m.select(
         *S.MARK_KEYS,
         map_test_ids("test_marks").alias("test_ids"),
@@ -101,155 +108,147 @@ def score_map_build(spark, sf_dir):
 
 
 @query
-def score_map_mean(spark, sf_dir):
-    return stats.score_map_means(load(spark, sf_dir).marks)
+def score_map_mean(t):
+    return stats.score_map_means(t.marks)
 
 
 # -- statistics (O2, O3) -------------------------------------------------------
 
 @query
-def test_means_for_subject(spark, sf_dir):
-    return stats.test_means(load(spark, sf_dir).marks)
+def test_means_for_subject(t):
+    return stats.test_means(t.marks)
 
 
 @query
-def best_worst_test(spark, sf_dir):
-    return stats.best_worst_test(stats.test_means(load(spark, sf_dir).marks))
+def best_worst_test(t):
+    return stats.best_worst_test(stats.test_means(t.marks))
 
 
 @query
-def member_count(spark, sf_dir):
-    return stats.member_count(load(spark, sf_dir).marks)
+def member_count(t):
+    return stats.member_count(t.marks)
 
 
 @query
-def pass_count(spark, sf_dir):
-    return stats.pass_count(load(spark, sf_dir).marks)
+def pass_count(t):
+    return stats.pass_count(t.marks)
 
 
 @query
-def pass_rate(spark, sf_dir):
-    return stats.pass_rate(load(spark, sf_dir).marks)
+def pass_rate(t):
+    return stats.pass_rate(t.marks)
 
 
 # -- top k (O4) ----------------------------------------------------------------
 
 @query
-def student_test_means(spark, sf_dir):
-    return stats.student_test_means(load(spark, sf_dir).marks)
+def student_test_means(t):
+    return stats.student_test_means(t.marks)
 
 
 @query
-def student_total_mean(spark, sf_dir):
-    return stats.student_total_mean(stats.student_test_means(load(spark, sf_dir).marks))
+def student_total_mean(t):
+    return stats.student_total_mean(stats.student_test_means(t.marks))
 
 
 @query
-def top3_per_test(spark, sf_dir):
-    return topk.top_per_test(stats.student_test_means(load(spark, sf_dir).marks))
+def top3_per_test(t):
+    return topk.top_per_test(stats.student_test_means(t.marks))
 
 
 @query
-def top3_overall(spark, sf_dir):
-    per_test = stats.student_test_means(load(spark, sf_dir).marks)
+def top3_overall(t):
+    per_test = stats.student_test_means(t.marks)
     return topk.top_overall(stats.student_total_mean(per_test))
 
 
 # -- grace marks (O6) ----------------------------------------------------------
 
 @query
-def members_mean_over(spark, sf_dir):
-    return stats.members_mean_over(load(spark, sf_dir).marks)
+def members_mean_over(t):
+    return stats.members_mean_over(t.marks)
 
 
 @query
-def grace_eligible(spark, sf_dir):
-    return grace.grace_eligible(grace.flag_eligible(load(spark, sf_dir).marks))
+def grace_eligible(t):
+    return grace.grace_eligible(grace.flag_eligible(t.marks))
 
 
 @query
-def grace_eligible_names(spark, sf_dir):
-    t = load(spark, sf_dir)
+def grace_eligible_names(t):
     return grace.eligible_names(grace.grace_eligible(grace.flag_eligible(t.marks)), t.students)
 
 
 @query
-def grace_adjusted_scores(spark, sf_dir):
-    return grace.adjusted_scores(grace.grace_adjust(grace.flag_eligible(load(spark, sf_dir).marks)))
+def grace_adjusted_scores(t):
+    return grace.adjusted_scores(grace.grace_adjust(grace.flag_eligible(t.marks)))
 
 
 @query
-def grace_pass_rate_before_after(spark, sf_dir):
-    return grace.pass_rate_before_after(grace.grace_adjust(grace.flag_eligible(load(spark, sf_dir).marks)))
+def grace_pass_rate_before_after(t):
+    return grace.pass_rate_before_after(grace.grace_adjust(grace.flag_eligible(t.marks)))
 
 
 @query
-def upsert_pass_rate(spark, sf_dir):
-    t = load(spark, sf_dir)
+def upsert_pass_rate(t):
     return jobs.grace_marks(t, subject_id=GRACE_SUBJECT_ID, class_id=GRACE_CLASS_ID)["pass_percentage"]
 
 
 # -- table changes (O5) --------------------------------------------------------
 
 @query
-def delete_by_key(spark, sf_dir):
-    t = load(spark, sf_dir)
+def delete_by_key(t):
     keys = dims.member_keys(t.students, STUDENT_ID)
     return tables.delete_by_key(t.marks, keys, S.STUDENT_KEYS).select(*S.MARK_KEYS)
 
 
-def _archive(spark, sf_dir):
-    return jobs.archive_student(load(spark, sf_dir), STUDENT_ID, LEAVING_DATE)
+def _archive(t):
+    return jobs.archive_student(t, STUDENT_ID, LEAVING_DATE)
 
 
 @query
-def archive_students_live(spark, sf_dir):
-    return _archive(spark, sf_dir)["students_live"]
+def archive_students_live(t):
+    return _archive(t)["students_live"]
 
 
 @query
-def archive_students_history(spark, sf_dir):
-    return _archive(spark, sf_dir)["students_history"]
+def archive_students_history(t):
+    return _archive(t)["students_history"]
 
 
 @query
-def archive_marks_live(spark, sf_dir):
-    return explode_scores(_archive(spark, sf_dir)["marks_live"], keep_null=True)
+def archive_marks_live(t):
+    return explode_scores(_archive(t)["marks_live"], keep_null=True)
 
 
 @query
-def archive_marks_history(spark, sf_dir):
-    return explode_scores(_archive(spark, sf_dir)["marks_history"], keep_null=True)
+def archive_marks_history(t):
+    return explode_scores(_archive(t)["marks_history"], keep_null=True)
 
 
 # -- filling the tables (O7) ---------------------------------------------------
 
 @query
-def build_dimension(spark, sf_dir):
-    t = load(spark, sf_dir)
+def build_dimension(t):
     return dims.build_dimension(t.groups, t.classes, t.subjects, t.tests)
 
 
 @query
-def build_bridge(spark, sf_dir):
-    return dims.build_bridge(load(spark, sf_dir).students, "class_id", "group_id")
+def build_bridge(t):
+    return dims.build_bridge(t.students, "class_id", "group_id")
 
 
 @query
-def build_subject_bridge(spark, sf_dir):
-    return dims.build_bridge(load(spark, sf_dir).marks_long, "group_id", "subject_id")
+def build_subject_bridge(t):
+    return dims.build_bridge(t.marks_long, "group_id", "subject_id")
 
 
 @query
-def id_buckets(spark, sf_dir):
-    return dims.id_buckets(load(spark, sf_dir).students)
+def id_buckets(t):
+    return dims.id_buckets(t.students)
 
 
 @query
-def enrollment_fanout(spark, sf_dir):
-    t = load(spark, sf_dir)
+def enrollment_fanout(t):
     return dims.enrollment_fanout(t.students, t.subject_group_mapper)
 
-
-# ``explode_scores`` is registered under its operator name.
-QUERIES["explode_scores"] = QUERIES.pop("explode_scores_q")

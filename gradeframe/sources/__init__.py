@@ -1,6 +1,6 @@
 """Sources and sinks: table derivation from the inputs, parquet snapshots."""
 
 from gradeframe.sources.model import Tables, load
-from gradeframe.sources.store import read_table, table_path, write_snapshot
+from gradeframe.sources.store import StoredTables, materialize, read_table, table_path, write_snapshot
 
-__all__ = ["Tables", "load", "read_table", "table_path", "write_snapshot"]
+__all__ = ["StoredTables", "Tables", "load", "materialize", "read_table", "table_path", "write_snapshot"]

@@ -63,3 +63,14 @@ def test_cli_runs_operations(spark, capsys):
     assert main(["top3", "--input", SF_SMALL, "--class", "building", "--out", out]) == 0
     got = spark.read.parquet(os.path.join(out, "overall"))
     assert got.count() == 3
+
+
+def test_every_query_same_on_stored_tables(spark):
+    from gradeframe.plans.catalog import TABLE_QUERIES
+    from gradeframe.sources import StoredTables
+    base = tempfile.mkdtemp(prefix="gradeframe-store-")
+    t = load(spark, SF_SMALL)
+    jobs.fill_tables(t, base)
+    st = StoredTables(spark, base)
+    for name, fn in sorted(TABLE_QUERIES.items()):
+        assert rows(fn(st)) == rows(fn(t)), name
