@@ -41,13 +41,13 @@ def upsert(target: DataFrame, rows: DataFrame, keys: list[str], check_unique: bo
     """
     incoming = unique_by_key(rows, keys) if check_unique else rows
     incoming = incoming.select(*target.columns)
-    kept = target.join(incoming.select(*keys), keys, "left_anti")
+    kept = target.join(incoming.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(incoming)
 
 
 def delete_by_key(target: DataFrame, key_rows: DataFrame, keys: list[str]) -> DataFrame:
     """``target`` without the rows whose key appears in ``key_rows`` (anti join)."""
-    return target.join(key_rows.select(*keys), keys, "left_anti")
+    return target.join(key_rows.select(*keys), keys, "left_anti").select(*target.columns)
 
 
 def archive(students: DataFrame, marks: DataFrame, member_keys: DataFrame,
@@ -56,16 +56,17 @@ def archive(students: DataFrame, marks: DataFrame, member_keys: DataFrame,
 
     ``member_keys`` holds (group_id, class_id, student_id) of the members that
     leave. Returns ``students_live``, ``students_history`` (with
-    ``date_of_leaving``), ``marks_live`` and ``marks_history``; together live and
-    history hold exactly the input rows. Unknown keys change nothing.
+    ``date_of_leaving``), ``marks_live`` and ``marks_history``, each with the
+    input's column order; together live and history hold exactly the input
+    rows. Unknown keys change nothing.
     """
     keys = member_keys.select(*S.STUDENT_KEYS)
     date = F.current_date() if leaving_date is None else F.to_date(F.lit(str(leaving_date)))
     students_history = (students.join(keys, S.STUDENT_KEYS, "left_semi")
                         .withColumn("date_of_leaving", date))
     return {
-        "students_history": students_history.select(*S.STUDENTS_HISTORY.fieldNames()),
-        "students_live": students.join(keys, S.STUDENT_KEYS, "left_anti"),
-        "marks_history": marks.join(keys, S.STUDENT_KEYS, "left_semi"),
-        "marks_live": marks.join(keys, S.STUDENT_KEYS, "left_anti"),
+        "students_history": students_history.select(*students.columns, "date_of_leaving"),
+        "students_live": students.join(keys, S.STUDENT_KEYS, "left_anti").select(*students.columns),
+        "marks_history": marks.join(keys, S.STUDENT_KEYS, "left_semi").select(*marks.columns),
+        "marks_live": marks.join(keys, S.STUDENT_KEYS, "left_anti").select(*marks.columns),
     }

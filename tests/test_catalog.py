@@ -57,3 +57,10 @@ def test_scan_pruned_and_filter_pushed(spark):
     plan = E.queries()["pass_rate"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double>" in plan
     assert "LessThanOrEqual(l_linenumber,3)" in plan
+
+
+@pytest.mark.parametrize("name", ["pass_rate", "test_means_for_subject", "student_test_means",
+                                  "member_count", "members_mean_over", "best_worst_test"])
+def test_aggregates_are_partial_before_the_shuffle(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan

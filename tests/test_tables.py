@@ -77,3 +77,15 @@ def test_archive_unknown_id_changes_nothing(spark):
     assert out["students_history"].count() == 0 and out["marks_history"].count() == 0
     assert rows(out["students_live"]) == rows(st)
     assert out["marks_live"].count() == m.count()
+
+
+def test_outputs_keep_the_table_column_order(spark):
+    st = students_frame(spark, STUDENTS)
+    m = marks_frame(spark, FIXTURE_MARKS)
+    keys = st.where("student_id = 1").select(*S.STUDENT_KEYS)
+    out = tables.archive(st, m, keys, "2024-06-30")
+    assert out["marks_live"].columns == out["marks_history"].columns == m.columns
+    assert out["students_live"].columns == st.columns
+    assert out["students_history"].columns == st.columns + ["date_of_leaving"]
+    assert tables.delete_by_key(m, keys, S.STUDENT_KEYS).columns == m.columns
+    assert tables.upsert(m, m.limit(1), S.MARK_KEYS).columns == m.columns
