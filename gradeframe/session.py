@@ -48,7 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder set; on a cluster a missing setting is an error, because a
     machine-local folder is not visible to the executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return configured
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
@@ -60,3 +66,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="gradeframe-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()
+
+
+def application_key(spark: SparkSession) -> str:
+    """Identity of the running application (per session on Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return f"connect-{getattr(spark, 'session_id', id(spark))}"

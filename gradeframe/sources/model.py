@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from gradeframe import schemas as S
 from gradeframe.functions.ids import dense_ids
 from gradeframe.functions.scores import build_score_map
+from gradeframe.session import application_key
 from gradeframe.sources.store import materialize
 
 # Fixed values of the derivation from the input tables.
@@ -184,7 +185,7 @@ def load(spark: SparkSession, sf_dir: str, n_tests: int = N_TESTS, fresh: bool =
     and input; every other table stays a lazy plan over the inputs.
     ``fresh=True`` derives everything again.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), n_tests)
+    key = (application_key(spark), os.path.abspath(sf_dir), n_tests)
     if fresh or key not in _LOADED:
         _LOADED[key] = Tables(spark, sf_dir, n_tests)
     return _LOADED[key]
