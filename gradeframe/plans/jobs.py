@@ -52,7 +52,8 @@ def subject_statistics(t: Tables, subject_name: str | None = None, class_name: s
         roster = dims.restrict(roster, "class_id", ids=class_ids)
         marks = dims.restrict(marks, "class_id", ids=class_ids)
     means = stats.test_means(marks)
-    return {"roster": roster, "test_means": means, "best_worst": stats.best_worst_test(means)}
+    ordered = means.orderBy(F.desc("mean_mark"), "test_id")  # one row per test: a tiny sort
+    return {"roster": roster, "test_means": ordered, "best_worst": stats.best_worst_test(means)}
 
 
 def pass_percentage(t: Tables, threshold: float = S.PASS_THRESHOLD, keep_zero: bool = False) -> DataFrame:
