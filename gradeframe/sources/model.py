@@ -20,9 +20,9 @@ class_group_mapper     distinct (class, group) pairs of ``students``
 =====================  ======================================================
 
 Plan notes (for cluster scale): the line items are aggregated to one row per
-(customer, part type, test) -- with map-side partial aggregation, so a customer
+(customer, subject, test) -- with map-side partial aggregation, so a customer
 holding a large share of the line items does not land in one task -- before
-the subject lookup and the join with ``students``. The small derived tables
+the join with ``students``. The small derived tables
 (numbered dimensions, tests, bridges) are written once per application under
 ``spark.checkpoint.dir`` and read back (``store.materialize``), so Spark's
 broadcast size check sees their real size; no join carries a broadcast hint.
@@ -129,19 +129,21 @@ class Tables:
                   .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
             orders = self.raw("orders").select("o_orderkey", "o_custkey")
             part = self.raw("part").select("p_partkey", "p_type")
-            # Aggregate first (partial aggregation before the shuffle), then map
-            # the part type to its subject id on the much smaller result.
-            per_type = (
+            # The subject lookup is a small stored table (broadcast by Spark's
+            # size check) joined after the part join, so the aggregate keys on
+            # an int; partial aggregation runs before the shuffle.
+            per_test = (
                 li.join(orders, li.l_orderkey == orders.o_orderkey)
                 .join(part, F.col("l_partkey") == F.col("p_partkey"))
-                .groupBy("o_custkey", "p_type", "l_linenumber")
+                .join(self.subjects, F.col("p_type") == F.col("subject_name"))
+                .groupBy("o_custkey", "subject_id", "l_linenumber")
                 .agg(F.max("l_quantity").alias("q"))
-            )
-            per_test = per_type.join(self.subjects, F.col("p_type") == F.col("subject_name")).select(
-                (F.col("o_custkey") + 1).cast("long").alias("student_id"),
-                "subject_id",
-                F.col("l_linenumber").cast("int").alias("test_id"),
-                "q",
+                .select(
+                    (F.col("o_custkey") + 1).cast("long").alias("student_id"),
+                    "subject_id",
+                    F.col("l_linenumber").cast("int").alias("test_id"),
+                    "q",
+                )
             )
             members = self.students.select("group_id", "class_id", "student_id")
             return (
