@@ -112,17 +112,13 @@ def member_profile(students: DataFrame, groups: DataFrame, classes: DataFrame,
                         lambda s: s["subject_name"]), ", ").alias("subjects"))
     )
     members = restrict(students, "student_id", student_id)
-    return (
-        members.join(groups, "group_id", "left")
-        .join(classes, "class_id", "left")
-        .join(subject_names, "group_id", "left")
-        .select(
-            "student_id",
-            full_name(F.col("firstname"), F.col("lastname"), capitalize=True).alias("full_name"),
-            F.coalesce(F.col("group_name"), F.lit("")).alias("group_name"),
-            F.coalesce(F.col("class_name"), F.lit("")).alias("class_name"),
-            F.coalesce(F.col("subjects"), F.lit("")).alias("subjects"),
-        )
+    named = attach_name(members, groups, "group_id", "group_name")
+    named = attach_name(named, classes, "class_id", "class_name")
+    named = attach_name(named, subject_names, "group_id", "subjects")
+    return named.select(
+        "student_id",
+        full_name(F.col("firstname"), F.col("lastname"), capitalize=True).alias("full_name"),
+        "group_name", "class_name", "subjects",
     )
 
 

@@ -56,15 +56,6 @@ def best_worst_test(means: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def _pass_counts(means: DataFrame, threshold: float, extra=()) -> DataFrame:
-    """One aggregate: members, passes (mean strictly above threshold), and extras."""
-    return means.groupBy("class_id", "subject_id").agg(
-        F.count("student_id").alias("student_count"),
-        F.count(F.when(F.col("average") > F.lit(threshold), F.col("student_id"))).alias("student_pass"),
-        *extra,
-    )
-
-
 def member_count(marks: DataFrame) -> DataFrame:
     """Members with a marks row per (class, subject)."""
     return (marks.groupBy("class_id", "subject_id")
@@ -87,7 +78,10 @@ def pass_rate(marks: DataFrame, threshold: float = S.PASS_THRESHOLD,
     Pairs without any pass are absent unless ``keep_zero`` (then 0.0).
     """
     rows = restrict(restrict(marks, "class_id", class_id), "subject_id", subject_id)
-    counts = _pass_counts(score_map_means(rows), threshold)
+    counts = score_map_means(rows).groupBy("class_id", "subject_id").agg(
+        F.count("student_id").alias("student_count"),
+        F.count(F.when(F.col("average") > F.lit(threshold), F.col("student_id"))).alias("student_pass"),
+    )
     if not keep_zero:
         counts = counts.where(F.col("student_pass") > 0)
     return counts.select(
