@@ -189,6 +189,12 @@ def grace_pass_rate_before_after(t):
     return grace.pass_rate_before_after(grace.grace_adjust(grace.flag_eligible(t.marks)))
 
 
+@query
+def grace_upsert_marks(t):
+    new = jobs.grace_marks(t, subject_id=GRACE_SUBJECT_ID, class_id=GRACE_CLASS_ID)["marks"]
+    return explode_scores(new, keep_null=True)
+
+
 @query
 def upsert_pass_rate(t):
     return jobs.grace_marks(t, subject_id=GRACE_SUBJECT_ID, class_id=GRACE_CLASS_ID)["pass_percentage"]

@@ -26,7 +26,8 @@ def _ids(t: Tables, dim: str, id_col: str, name_col: str, name: str | None, id_:
 
 def subject_mean_report(t: Tables, student_id: int, subject_name: str | None = None,
                         subject_id: int | None = None) -> dict[str, DataFrame]:
-    """Profile of one member and the member's mean in one subject (if the group takes it)."""
+    """Profile of one member, the member's score row in one subject and its mean
+    (no rows if the member's group does not take the subject)."""
     subject_ids = _ids(t, "subjects", "subject_id", "subject_name", subject_name, subject_id)
     rows = dims.restrict(t.marks, "student_id", student_id)
     rows = dims.restrict(rows, "subject_id", ids=subject_ids) if subject_ids is not None else rows
@@ -34,6 +35,7 @@ def subject_mean_report(t: Tables, student_id: int, subject_name: str | None = N
         "member": dims.point_lookup(t.students, student_id),
         "profile": dims.member_profile(t.students, t.groups, t.classes, t.subjects,
                                        t.subject_group_mapper, student_id),
+        "marks": rows,
         "mean": stats.subject_mean_of_student(rows),
     }
 
@@ -61,8 +63,9 @@ def pass_percentage(t: Tables, threshold: float = S.PASS_THRESHOLD, keep_zero: b
 
 
 def top_students(t: Tables, class_name: str | None = None, class_id: int | None = None,
-                 k: int = S.TOP_K, test_ids: list[int] | None = None) -> dict[str, DataFrame]:
-    """Top k per test and overall (by mean of test means), per class or for one class."""
+                 k: int = S.TOP_K, test_ids=S.TOP_TESTS) -> dict[str, DataFrame]:
+    """Top k per test (tests 1 and 2 unless ``test_ids``; None = all) and overall
+    (by mean of test means), per class or for one class."""
     class_ids = _ids(t, "classes", "class_id", "class_name", class_name, class_id)
     marks = dims.restrict(t.marks, "class_id", ids=class_ids) if class_ids is not None else t.marks
     per_test = stats.student_test_means(marks)
@@ -81,7 +84,8 @@ def grace_marks(t: Tables, subject_name: str | None = None, class_name: str | No
 
     ``stored_pass_rate`` is the previously stored pass-percentage table; it
     defaults to the rate computed from the input snapshot. ``pass_percentage``
-    is that table with the after-grace rates upserted.
+    is that table with the after-grace rates upserted; ``marks`` is the whole
+    marks table with the adjusted rows upserted (the next marks version).
     """
     subject_ids = _ids(t, "subjects", "subject_id", "subject_name", subject_name, subject_id)
     class_ids = _ids(t, "classes", "class_id", "class_name", class_name, class_id)
@@ -90,10 +94,12 @@ def grace_marks(t: Tables, subject_name: str | None = None, class_name: str | No
     eligible = grace.grace_eligible(flagged)
     after = stats.pass_rate(adjusted.select(*S.MARK_KEYS, "test_marks"))
     stored = stored_pass_rate if stored_pass_rate is not None else stats.pass_rate(t.marks)
+    adjusted_marks = adjusted.select(*S.MARK_KEYS, "test_marks")
     return {
         "eligible": eligible,
         "names": grace.eligible_names(eligible, t.students),
-        "adjusted_marks": adjusted.select(*S.MARK_KEYS, "test_marks"),
+        "adjusted_marks": adjusted_marks,
+        "marks": tables.upsert(t.marks, adjusted_marks, S.MARK_KEYS),
         "adjusted_scores": grace.adjusted_scores(adjusted),
         "before_after": grace.pass_rate_before_after(adjusted),
         "pass_percentage": tables.upsert(stored, after, S.PASS_KEYS),

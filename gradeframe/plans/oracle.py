@@ -224,6 +224,19 @@ WHERE NOT EXISTS (SELECT 1 FROM after f WHERE f.class_id = s.class_id AND f.subj
 UNION ALL
 SELECT * FROM after""",
 
+    "grace_upsert_marks": """,
+t1c AS (
+  SELECT student_id FROM ml WHERE mark IS NOT NULL AND test_id = 1 AND class_id = 2
+  GROUP BY student_id HAVING avg(mark) > 50),
+el AS (
+  SELECT student_id FROM mrow
+  WHERE class_id = 2 AND subject_id = 3 AND average > 50 AND student_id IN (SELECT student_id FROM t1c))
+SELECT ml.group_id, ml.class_id, ml.subject_id, ml.student_id, ml.test_id,
+       CASE WHEN ml.class_id = 2 AND ml.subject_id = 3 AND el.student_id IS NOT NULL
+                 AND ml.test_id = 1 AND ml.mark <= 95
+            THEN ml.mark + 5 ELSE ml.mark END AS mark
+FROM ml LEFT JOIN el ON ml.student_id = el.student_id""",
+
     "delete_by_key": """
 SELECT m.group_id, m.class_id, m.subject_id, m.student_id FROM mrow m
 WHERE NOT EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id = m.group_id

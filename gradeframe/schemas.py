@@ -73,6 +73,7 @@ GRACE_TEST_ID = 1             # the grace rule touches this test only
 GRACE_AMOUNT = 5.0            # added to marks at or below GRACE_BOUNDARY
 GRACE_BOUNDARY = 95.0         # marks above this are left unchanged
 TOP_K = 3                     # size of the top lists
+TOP_TESTS = (1, 2)            # tests the top-k operation lists by default
 GROUP_BUCKET_WIDTH = 150      # id bucketing: students per group bucket
 GROUP_BUCKETS = 3             # id bucketing: number of group buckets
 CLASS_BUCKET_WIDTH = 450      # id bucketing: first class holds ids up to this
