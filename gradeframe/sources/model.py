@@ -182,10 +182,11 @@ _LOADED: dict[tuple, Tables] = {}
 def load(spark: SparkSession, sf_dir: str, n_tests: int = N_TESTS, fresh: bool = False) -> Tables:
     """The derived tables of ``sf_dir``, shared by all callers in one application.
 
-    Input directories are immutable snapshots, so the numbered dimensions (the
-    only tables materialised, by checkpoint) are derived once per application
-    and input; every other table stays a lazy plan over the inputs.
-    ``fresh=True`` derives everything again.
+    Input directories are immutable snapshots, so the small derived tables
+    (numbered dimensions, tests, bridges; written under the checkpoint folder)
+    are derived once per application and input; ``students``, ``marks_long``
+    and ``marks`` stay lazy plans over the inputs, so every query's work grows
+    with them. ``fresh=True`` derives everything again.
     """
     key = (application_key(spark), os.path.abspath(sf_dir), n_tests)
     if fresh or key not in _LOADED:
