@@ -52,6 +52,29 @@ def flag_eligible(marks: DataFrame, class_id: int | None = None, subject_id: int
                      ).alias("eligible")))
 
 
+def next_marks(marks: DataFrame, adjusted: DataFrame, class_id: int | None = None,
+               subject_id: int | None = None, class_ids: DataFrame | None = None,
+               subject_ids: DataFrame | None = None) -> DataFrame:
+    """The whole marks table after grace: same result as upserting ``adjusted``
+    (the rows in scope, rewritten) into ``marks``, without a join on the large
+    table. Rows outside the scope pass through as they are (a filter, or a join
+    with the small id frames); only the rows in scope were shuffled, for their
+    eligibility. NULL ids are outside every scope, as in ``flag_eligible``.
+    """
+    rows, in_scope = marks, F.lit(True)
+    if class_id is not None:
+        in_scope = in_scope & (F.col("class_id") == F.lit(class_id))
+    if subject_id is not None:
+        in_scope = in_scope & (F.col("subject_id") == F.lit(subject_id))
+    for col, ids in (("class_id", class_ids), ("subject_id", subject_ids)):
+        if ids is not None:
+            flag = f"_in_{col}"
+            rows = rows.join(ids.select(col).distinct().withColumn(flag, F.lit(True)), col, "left")
+            in_scope = in_scope & F.coalesce(F.col(flag), F.lit(False))
+    outside = rows.where(~F.coalesce(in_scope, F.lit(False))).select(*marks.columns)
+    return outside.unionByName(adjusted.select(*marks.columns))
+
+
 def grace_eligible(flagged: DataFrame) -> DataFrame:
     """(class_id, subject_id, student_id) of the eligible rows."""
     return flagged.where("eligible").select("class_id", "subject_id", "student_id")

@@ -99,7 +99,7 @@ def grace_marks(t: Tables, subject_name: str | None = None, class_name: str | No
         "eligible": eligible,
         "names": grace.eligible_names(eligible, t.students),
         "adjusted_marks": adjusted_marks,
-        "marks": tables.upsert(t.marks, adjusted_marks, S.MARK_KEYS),
+        "marks": grace.next_marks(t.marks, adjusted_marks, class_ids=class_ids, subject_ids=subject_ids),
         "adjusted_scores": grace.adjusted_scores(adjusted),
         "before_after": grace.pass_rate_before_after(adjusted),
         "pass_percentage": tables.upsert(stored, after, S.PASS_KEYS),
