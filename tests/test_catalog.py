@@ -54,7 +54,8 @@ def test_no_python_in_plans(spark, name):
 
 
 def test_scan_pruned_and_filter_pushed(spark):
-    plan = E.queries()["pass_rate"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    from gradeframe.sources import load
+    plan = load(spark, SF_SMALL).marks_long._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double>" in plan
     assert "LessThanOrEqual(l_linenumber,3)" in plan
 
