@@ -65,3 +65,12 @@ def test_scan_pruned_and_filter_pushed(spark):
 def test_aggregates_are_partial_before_the_shuffle(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "partial_" in plan
+
+
+def test_pass_rate_is_one_shuffle_over_the_scores(spark):
+    df = E.queries()["pass_rate"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1
+    # the filled score table: class and subject come from partition folders
+    assert "ReadSchema: struct<student_id:bigint,test_marks:map<int,double>>" in final
