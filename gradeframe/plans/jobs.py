@@ -110,6 +110,7 @@ def fill_tables(t: Tables, out_base: str, version: int | str = 0) -> dict[str, s
     """Write every derived table as a parquet snapshot under ``out_base``."""
     paths = {}
     for name in TABLE_NAMES:
-        df = S.conform(t.table(name), S.SCHEMAS[name])
+        source = t.for_writing(name) if hasattr(t, "for_writing") else t.table(name)
+        df = S.conform(source, S.SCHEMAS[name])
         paths[name] = write_snapshot(df, table_path(out_base, name, version), name)
     return paths

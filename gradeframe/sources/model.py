@@ -182,6 +182,13 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def for_writing(self, name: str) -> DataFrame:
+        """``name`` for a job that writes it: the score table as its plan over the
+        inputs unless it is already filled, so a fill job writes it only once."""
+        if name == "marks" and "marks" not in self._cache:
+            return build_score_map(self.marks_long)
+        return self.table(name)
+
 
 _LOADED: dict[tuple, Tables] = {}
 
