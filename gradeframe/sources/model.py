@@ -15,7 +15,7 @@ marks_long             line items (line number = test id) of each customer's
                        only where the student's group takes the subject
 marks                  ``marks_long`` folded into a map per (group, class,
                        subject, student); written once per application
-subject_group_mapper   distinct (group, subject) pairs of ``marks_long``
+subject_group_mapper   distinct (group, subject) pairs of ``marks``
 class_group_mapper     distinct (class, group) pairs of ``students``
 =====================  ======================================================
 
@@ -171,7 +171,9 @@ class Tables:
     # bridges ----------------------------------------------------------------
     @property
     def subject_group_mapper(self) -> DataFrame:
-        return self._memo("subject_group_mapper", lambda: materialize(self.marks_long.select(
+        # From the filled score table (every long row belongs to one of its
+        # rows), so the line items are not joined a second time for the bridge.
+        return self._memo("subject_group_mapper", lambda: materialize(self.marks.select(
             "group_id", "subject_id").distinct(), "subject_group_mapper"))
 
     @property
