@@ -205,7 +205,7 @@ def load(spark: SparkSession, sf_dir: str, n_tests: int = N_TESTS, fresh: bool =
     ``marks_long`` stay lazy plans over the inputs. Every query's work grows
     with the inputs. ``fresh=True`` derives everything again.
     """
-    key = (application_key(spark), os.path.abspath(sf_dir), n_tests)
+    key = (application_key(spark), id(spark), os.path.abspath(sf_dir), n_tests)
     if fresh or key not in _LOADED:
         _LOADED[key] = Tables(spark, sf_dir, n_tests)
     return _LOADED[key]
