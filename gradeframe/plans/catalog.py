@@ -246,7 +246,7 @@ def build_bridge(t):
 
 @query
 def build_subject_bridge(t):
-    return dims.build_bridge(t.marks_long, "group_id", "subject_id")
+    return dims.build_bridge(t.marks, "group_id", "subject_id")
 
 
 @query
