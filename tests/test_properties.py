@@ -85,3 +85,43 @@ def test_archive_splits_input_exactly(spark, data, member):
     assert sorted(live + hist) == rows(m)
     assert not {r[:4] for r in live} & {r[:4] for r in hist}
     assert all(r[3] == member for r in hist)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 2), st.integers(1, 8), st.integers(1, 3),
+                          st.integers(0, 5).map(lambda x: 10.0 * x)),
+                max_size=30, unique_by=lambda r: (r[0], r[1], r[2])))
+def test_top_per_test_matches_brute_force(spark, data):
+    from gradeframe.operators import topk
+    df = spark.createDataFrame(data, "class_id int, student_id long, test_id int, average_marks double")
+    got = sorted(tuple(r) for r in topk.top_per_test(df, k=3, test_ids=None).collect())
+    want = []
+    for key in {(c, t) for c, _, t, _ in data}:
+        group = sorted((r for r in data if (r[0], r[2]) == key), key=lambda r: (-r[3], r[1]))[:3]
+        want += [(c, t, i + 1, s, a) for i, (c, s, t, a) in enumerate(group)]
+    assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 2), st.integers(1, 3), st.integers(1, 4),
+                          st.integers(0, 4).map(lambda x: 20.0 * x)),
+                min_size=1, max_size=20, unique_by=lambda r: (r[0], r[1], r[2])))
+def test_best_worst_matches_brute_force(spark, data):
+    df = spark.createDataFrame(data, "class_id int, subject_id int, test_id int, mean_mark double")
+    got = {(r[0], r[1]): (r[2], r[4]) for r in stats.best_worst_test(df).collect()}
+    for key in {(c, s) for c, s, _, _ in data}:
+        rows_ = [r for r in data if (r[0], r[1]) == key]
+        best = min(rows_, key=lambda r: (-r[3], r[2]))[2]
+        worst = min(rows_, key=lambda r: (r[3], r[2]))[2]
+        assert got[key] == (best, worst)
+
+
+@SETTINGS
+@given(st.lists(st.text(max_size=4), max_size=40))
+def test_dense_ids_match_sorted_distinct(spark, words):
+    from gradeframe.functions import dense_ids
+    df = spark.createDataFrame([(w,) for w in words], "v string")
+    got = sorted((r[1], r[0]) for r in dense_ids(df, "v", "id").collect())
+    # Spark orders strings by UTF-8 bytes
+    want = [(w, i + 1) for i, w in enumerate(sorted(set(words), key=lambda w: w.encode("utf-8")))]
+    assert got == want
