@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeframe.llm import addressable, packing
+from gradeframe.llm import addressable, packing, paragraphs, quality, simhash, toxicity
 from gradeframe.llm.common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,11 +20,34 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = paragraphs.dedup_substrings(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", "removed_words", "duplicate_of")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, radius=4)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return addressable.encode_and_read(read(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op8_token_files": op8_token_files,
+    "op9_toxicity": op9_toxicity,
 }
