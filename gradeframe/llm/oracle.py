@@ -1,3 +1,34 @@
 """DuckDB SQL for the registered queries that SQL can express on whole tables."""
 
-ORACLE_SQL: dict[str, str] = {}
+#: The template adds 16 characters a turn (markers and line feeds), and one for each escaped character.
+OP3 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(15 + length(replace(replace(replace(role, '\', '\e'), '<', '\l'), chr(10), '\n'))
+           + length(replace(replace(text, '\', '\e'), '<', '\l'))) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+OP6 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM (SELECT DISTINCT vec_id, embedding FROM embeddings)
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, unnest(w) AS x, generate_subscripts(w, 1) AS d, len(w) AS n FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.d = c.d AND q.n = c.n AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_chat_formatting": OP3, "op6_exact_top_k": OP6}
