@@ -25,7 +25,7 @@ from gradeframe.llm.components import components
 
 SEED = 42
 #: Points of the sample that the top of the tree is fitted on; points a shard should hold.
-SAMPLE, SHARD_POINTS = 16_384, 12_288
+SAMPLE, SHARD_POINTS = 16_384, 32_768
 #: Pairs compared at once, and at most without a further split.
 BLOCK, BRUTE = 1 << 20, 1 << 17
 
