@@ -28,9 +28,14 @@ MODULUS, HELD_OUT = 5, 0
 
 #: What a mark or digit may stand for (fixed values of common leetspeak).
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "¡": "i", "#": "h", "%": "o", "*": "aeiou"}
-#: Costs in nats: a look-alike, an unknown filling inside a word, and repetition beyond the reading.
-LOOK_COST, FILL_COST, RUN_COST, WILD_COST = 0.7, 1.5, 0.3, 2.5
-FILLING = set(" .-_*~'`,/\\:;​‌‍­|+^")
+#: Costs in nats: a look-alike; a wild card; a mark as filling where marks are usual, and where it looks like a letter;
+#: a mark or blank as a word edge; repetition beyond the reading.
+LOOK_COST, WILD_COST, FILL_COST, LOST_COST, EDGE_COST, RUN_COST = 0.7, 2.5, 0.1, 5.0, 1.0, 0.3
+FILLING = set(" .-_*~'`,/\\:;|+^")
+#: Longer tokens, and those with over twice as many digits as letters, stand for themselves.
+LONGEST = 32
+#: Single letters in a row that count as spelled out.
+SPELLED = 4
 
 # Symbols of the language model: 0 word edge, 1-26 letters, 27 other letters.
 EDGE, OTHER, SYMBOLS = 0, 27, 32
@@ -40,16 +45,6 @@ for _c in range(0x250):
         _base = unicodedata.normalize("NFD", chr(_c).lower())[0]
         _SYMBOL[_c] = ord(_base) - 96 if "a" <= _base <= "z" else OTHER
 
-_LETTER = r"[^\W\d_]"
-#: Tokens to decode: letters spelled out; letters with look-alikes or filling inside; long runs.
-OBFUSCATED = re.compile(
-    rf"(?<!\S){_LETTER}(?:[ .\-_*~/\\]{{1,2}}[^\W_]){{3,}}(?!\w)"
-    rf"|(?=[^\s]*{_LETTER})[^\s]*?(?:{_LETTER}[0-9@$!|+€£(¡#%*._\-~'​‌‍­]+{_LETTER}|[0-9@$!|+€£¡]+{_LETTER}{{2}}|{_LETTER}{{2}}[0-9@$|+€£]+|({_LETTER})\1\1)[^\s]*"
-)
-_PLAIN = re.compile(r"[0-9@$!|+€£(¡#%*.\-_~'​‌‍­/\\]|(.)\1\1")
-LONGEST = 64
-
-
 def symbols(text: str) -> np.ndarray:
     """Symbol per character; 0 for what is no letter."""
     code = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
@@ -106,7 +101,7 @@ class Decoder:
         self.known: dict[str, str] = {}
 
     def options(self, token: str) -> list[list[tuple[str, float]]]:
-        """Readings of each run of equal characters: (letters or filling, cost)."""
+        """Readings of each run of equal characters: (letters, a blank for a word edge, or nothing; cost)."""
         out = []
         for m in re.finditer(r"(.)\1*", token, re.S):
             c, run = m[1], len(m[0])
@@ -117,11 +112,10 @@ class Decoder:
             else:
                 read = [(x, LOOK_COST if len(LOOKS[c]) < 3 else WILD_COST) for x in LOOKS.get(c, "")]
                 if run == 2:
-                    read += [(x * 2, cost) for x, cost in list(read)]
-                if c in FILLING or not read:
-                    read.append(("", 0.1 if c in FILLING else FILL_COST))
-                else:
-                    read.append(("", FILL_COST * 2))
+                    read = [(x * 2, cost) for x, cost in read] + [(x, cost + 1.0) for x, cost in read]
+                read.append(("", FILL_COST if c in FILLING else LOST_COST))
+                if not c.isdigit():
+                    read.append((" ", EDGE_COST))
             out.append(read)
         return out
 
@@ -144,32 +138,92 @@ class Decoder:
                     total, at = so_far + extra, context
                     for s in codes:
                         total += float(cost[at * SYMBOLS + s])
-                        at = (at * SYMBOLS + s) % SYMBOLS**3
+                        at = (at * SYMBOLS + s) % SYMBOLS**3 if s else 0
                     if at not in after or total < after[at][0]:
                         after[at] = (total, path + letters)
             states = after
         return min((total + float(cost[at * SYMBOLS + EDGE]), path) for at, (total, path) in states.items())[1]
 
-    def restore(self, text: str) -> str:
-        """The lower-cased text with obfuscated tokens replaced by their readings.
+    def token(self, token: str) -> str:
+        """What an obfuscated token (or spelled-out run of letters) says.
 
-        Edges of a token that are plain punctuation stay outside the lattice; a
-        token longer than ``LONGEST`` is read in pieces of that length."""
-        return OBFUSCATED.sub(self._token, text.lower())
-
-    def _token(self, m: re.Match) -> str:
-        token = m[0]
-        if "=" in token or "://" in token:
+        Punctuation around it stays out of the lattice; marks at its edges that may
+        be letters give a second reading."""
+        letters = sum(map(str.isalpha, token))
+        if len(token) > LONGEST or 3 * letters < sum(map(str.isalnum, token)) or "=" in token or "://" in token or re.fullmatch(r"\S+@\S+\.\S+", token):
             return token
-        body = token.strip(".,;:!?\"'()[]{}#%*&$-_~|")
-        if body and not _PLAIN.search(body):
-            return " ".join(("", body, ""))  # only its edges were marked
-        if len(token) <= LONGEST:
-            read = self.decode(token)
-            if body and body != token:  # a mark at the edge may be a letter or just a mark
-                read += " " + (self.decode(body) if _PLAIN.search(body) else body)
-            return f" {read} "
-        return " " + "".join(self.decode(token[i: i + LONGEST]) for i in range(0, len(token), LONGEST)) + " "
+        body = token.strip(_EDGES)
+        inner = body.strip(_MARKS)
+        read = self.decode(body)
+        return read if inner == body else f"{read} {self.decode(inner) if inner else ''}"
+
+    def restore(self, texts: list[str]) -> list[str]:
+        """Lower-cased texts with obfuscated tokens replaced by their readings."""
+        lower = [t.lower() for t in texts]
+        out = []
+        for a, b in slices([len(t) for t in lower]):
+            data = [t.encode("utf-8", "replace") for t in lower[a:b]]
+            buf, text_starts, text, first, last = suspects(data)
+            edges = np.searchsorted(text, np.arange(b - a + 1)).tolist()
+            for i in range(b - a):
+                if edges[i] == edges[i + 1]:
+                    out.append(lower[a + i])
+                    continue
+                own, at, pieces = data[i], 0, []
+                for p, q in zip((first[edges[i]: edges[i + 1]] - text_starts[i]).tolist(), (last[edges[i]: edges[i + 1]] - text_starts[i]).tolist(), strict=True):
+                    pieces += [own[at:p].decode(), self.token(own[p:q].decode())]
+                    at = q
+                out.append("".join([*pieces, own[at:].decode()]))
+        return out
+
+
+_EDGES, _MARKS = ".,;:!?\"'()[]{}", "#%*&$-_~|@!+€£^=0123456789.,;:?\"'()[]{}<>"
+_IS_LETTER = np.zeros(256, bool)
+_IS_LETTER[97:123] = _IS_LETTER[65:91] = _IS_LETTER[128:] = True
+_IS_LOOK = np.zeros(256, bool)
+_IS_LOOK[[ord(c) for c in LOOKS if ord(c) < 128 and c not in "#%*(!"]] = True
+
+
+def suspects(data: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Byte ranges of tokens that may be obfuscated: (buffer, text starts, text, first, last), in order.
+
+    Tokens with a mark or digit right before a letter, with one or two look-alikes at the end of a
+    word, or with a letter said three times; runs of ``SPELLED`` or more single letters."""
+    buf, text_starts, starts, ends, text, _ = word_spans(data)
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return buf, text_starts, none, none, none
+    letter = _IS_LETTER[buf]
+    space = buf <= 32
+    mark = ~letter & ~space
+    found = np.zeros(len(buf), bool)
+    found[:-1] |= mark[:-1] & letter[1:]
+    tail = _IS_LOOK[buf]
+    end = np.flatnonzero(tail[1:-1] & letter[:-2] & space[2:]) + 1
+    found[end] = True
+    end = np.flatnonzero(tail[2:-1] & tail[1:-2] & letter[:-3] & space[3:]) + 1
+    found[end] = True
+    found[:-2] |= letter[:-2] & (buf[:-2] < 128) & (buf[:-2] == buf[1:-1]) & (buf[1:-1] == buf[2:])
+    where = np.flatnonzero(found)
+    word = np.unique(np.searchsorted(starts, where, "right") - 1)
+    length = ends - starts
+    single = (length == 1) & ~space[starts] | (length == 2) & (buf[starts] >= 0xC2)
+    single &= letter[starts] | _IS_LOOK[buf[starts]]
+    edge = np.diff(np.concatenate(([False], single, [False])).astype(np.int8))
+    run, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    # A run does not leave its text.
+    begin = np.concatenate((run, np.flatnonzero(np.diff(text, prepend=-1))))
+    begin = np.unique(begin[np.isin(begin, np.flatnonzero(single))])
+    stop = np.minimum(stop[np.searchsorted(stop, begin, "right")], np.searchsorted(text, text[begin], "right"))
+    spelled = stop - begin >= SPELLED
+    run, stop = begin[spelled], stop[spelled]
+    inside = np.zeros(len(starts) + 1, np.int64)
+    inside[run] += 1
+    inside[stop] -= 1
+    word = word[np.cumsum(inside)[word] == 0]
+    first, last = np.concatenate((starts[word], starts[run])), np.concatenate((ends[word], ends[stop - 1]))
+    order = np.argsort(first)
+    return buf, text_starts, np.concatenate((text[word], text[run]))[order], first[order], last[order]
 
 
 #: Marks and digits that part words once the text is restored.
@@ -209,7 +263,7 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> np.ndarray:
     def features(texts):
         restore = decoder(model).restore
         for a, b in slices([len(t) for t in texts]):
-            text, feature = word_features([restore(t) for t in texts[a:b]])
+            text, feature = word_features(restore(texts[a:b]))
             order = np.argsort(text, kind="stable")
             feature, edges = feature[order], np.searchsorted(text[order], np.arange(b - a + 1))
             for i in range(b - a):
@@ -217,7 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> np.ndarray:
                 index = np.concatenate(([0], index[index > 0]))
                 yield index, np.ones(len(index))
 
-    return ftrl.fit(rows, features, 1 << BITS, epochs=3, alpha=0.2, beta=1.0, l1=1.5, l2=0.1)
+    return ftrl.fit(rows, features, 1 << BITS, epochs=5, alpha=1.0, beta=1.0, l1=3.0, l2=0.0)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -240,7 +294,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             texts = texts_of(batch.column("text"))
             read, out = [], []
             for a, b in slices([len(t) for t in texts]):
-                own = [restore(t) for t in texts[a:b]]
+                own = restore(texts[a:b])
                 text, feature = word_features(own)
                 use = np.flatnonzero((weights[feature] != 0) & (feature > 0))
                 once = np.unique(text[use] * (1 << BITS) + feature[use])
