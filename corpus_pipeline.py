@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gradeframe.llm import mixing, packing, paragraphs, quality, simhash
 from gradeframe.llm.catalog import BYTE_BPE
-from gradeframe.llm.common import read, stored
+from gradeframe.llm.common import read, ship, stored
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +31,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates: the one with the smallest doc_id."""
+    ship(spark)
     found = simhash.near_duplicates(docs, words=4, radius=4)
     stays = found.where(F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
     stays = stays.select(F.col("doc_id").alias("_stays")).distinct()
@@ -39,6 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document keeps; documents left with no text go."""
+    ship(spark)
     cleaned = paragraphs.dedup_substrings(docs).where((F.col("removed_words") == 0) | (F.length("text") > 0))
     chars = F.when(F.col("removed_words") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", chars).select(docs.columns)
@@ -46,11 +48,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources by the weights 5, 2, 1: a row per document and repetition."""
+    ship(spark)
     return mixing.mixed_texts(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the mixed documents in sequences of at most 1024 tokens."""
+    ship(spark)
     return packing.pack(docs, BYTE_BPE, end_id=2, capacity=1024)
 
 

@@ -2,22 +2,46 @@
 
 from __future__ import annotations
 
+import gc
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeframe.session import application_key
 from gradeframe.sources.store import materialize
 
-__all__ = ["crc_rest", "mix64", "read", "slices", "stored", "texts_of", "word_spans"]
+__all__ = ["crc_rest", "mix64", "read", "release", "ship", "slices", "span_hashes", "stored", "texts_of", "word_spans"]
 
 #: Bytes of text that one numpy pass works on (a longer text is one pass of its own).
 PASS_BYTES = 2 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application, so tasks can import it
+    wherever the driver found it. Call before functions for tasks are made."""
+    application = application_key(spark)
+    if application in _SHIPPED:
+        return
+    _SHIPPED.add(application)
+    root = Path(__file__).resolve().parents[2]
+    target = Path(tempfile.mkdtemp(prefix="gradeframe-package-")) / "gradeframe.zip"  # the driver serves it
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted((root / "gradeframe").rglob("*.py")):
+            z.write(path, path.relative_to(root))
+    spark.sparkContext.addPyFile(str(target))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +51,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that nothing reads any more, and let Spark drop
+    the shuffle files of finished steps (it does so when the driver collects garbage)."""
+    for table in tables:
+        spark = table.sparkSession
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def crc_rest(doc_id, modulus: int):
     """crc32 of the id as text, modulo ``modulus`` (NULL for a NULL id)."""
     return (F.crc32(doc_id.cast("string").cast("binary")) % modulus).cast("int")
@@ -84,6 +121,18 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ascending byte ranges that do not overlap."""
+    power, inverse = _powers(len(buf))
+    weighed = buf.astype(np.uint64)
+    weighed += np.uint64(1)
+    weighed *= power[: len(buf)]
+    gap = np.flatnonzero(ends[:-1] < starts[1:])
+    edges = np.insert(starts, gap + 1, ends[gap])  # gaps get sums of their own
+    sums = np.delete(np.add.reduceat(weighed[: ends[-1]], edges), gap + 1 + np.arange(len(gap)))
+    return mix64(sums * inverse[starts])
+
+
 def word_spans(texts: list[bytes], cuts: bytes = b"") -> tuple[np.ndarray, ...]:
     """Words (runs without ASCII white space) of several texts at once.
 
@@ -105,10 +154,5 @@ def word_spans(texts: list[bytes], cuts: bytes = b"") -> tuple[np.ndarray, ...]:
     if not len(starts):
         none = np.zeros(0, np.int64)
         return buf, text_starts, none, none, none, np.zeros(0, np.uint64)
-    power, inverse = _powers(len(buf))
-    weighed = buf.astype(np.uint64)
-    weighed += np.uint64(1)
-    weighed *= power[: len(buf)]
-    weighed[~inside] = 0
-    hashes = mix64(np.add.reduceat(weighed, starts) * inverse[starts])
+    hashes = span_hashes(buf, starts, ends)
     return buf, text_starts, starts, ends, np.searchsorted(text_starts, starts, "right") - 1, hashes

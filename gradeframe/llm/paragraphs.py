@@ -13,8 +13,9 @@ stays (up to ``CONTEXT`` on either side).
 ``ROWS = 2`` hashes a band and ``BANDS = 5`` find a pair of Jaccard 0.8 with
 probability 1 - (1 - 0.8**2)**5 = 0.994, one of 0.9 with 0.9998.
 
-Texts are never gathered: a paragraph travels as its 128-bit key and its bands,
-and only colliding paragraphs carry shingles. Buckets of more than ``BUCKET``
+Texts are never gathered: a paragraph travels as a 64-bit key and its bands; only
+candidates carry a second 64 bits (so a collision of keys joins nothing), and only
+colliding ones shingles. Tables and shuffle files of finished steps are let go. Buckets of more than ``BUCKET``
 distinct paragraphs are dealt as pairs of blocks, and a pair that is connected
 already is not compared. One document is one task's row at most.
 
@@ -30,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import _powers, mix64, slices, stored, texts_of, word_spans
+from gradeframe.llm.common import _powers, mix64, release, slices, stored, texts_of, word_spans
 from gradeframe.llm.components import components
 
 SHORT, LONG, CUT = 10, 40, 8
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 5
-CONTEXT = 32
+CONTEXT = 24
 BUCKET = 1024
 
 _MIX = mix64(np.arange(1, 64, dtype=np.uint64))
@@ -75,8 +76,15 @@ def paragraph_starts(buf: np.ndarray, starts: np.ndarray, hashes: np.ndarray) ->
     return np.union1d(first, np.array(cuts, np.int64)).astype(np.int64)
 
 
+def sequence_hashes(hashes: np.ndarray, begin: np.ndarray, salt: int) -> np.ndarray:
+    """Hash of the words from each ``begin`` to the next."""
+    power, inverse = _powers(len(hashes))
+    n = np.diff(begin, append=len(hashes)).astype(np.uint64)
+    return mix64(np.add.reduceat(mix64(hashes ^ _MIX[salt]) * power[: len(hashes)], begin) * inverse[begin] + n)
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, h, first (word), n (words), key (16 bytes), bands of paragraphs of at least ``SHORT`` words."""
+    """doc_id, h, first (word), n (words), key, bands of paragraphs of at least ``SHORT`` words."""
 
     def run(batches):
         for batch in batches:
@@ -87,8 +95,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                     continue
                 begin = paragraph_starts(buf, starts, hashes)
                 n = np.diff(begin, append=len(starts))
-                power, inverse = _powers(len(starts))
-                keys = [np.add.reduceat(mix64(hashes ^ _MIX[k]) * power[: len(starts)], begin) * inverse[begin] + n.astype(np.uint64) for k in (20, 21)]
+                keys = sequence_hashes(hashes, begin, 20).view(np.int64)
                 of = np.repeat(np.arange(len(begin)), n)
                 s = shingle_hashes(hashes)
                 inner = of[: len(s)] == of[WORDS - 1:]
@@ -103,19 +110,21 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                 bands = np.stack([mix64(mix64(lows[2 * k]) * np.uint64(5) + mix64(lows[2 * k + 1]) + _MIX[30 + k]) for k in range(BANDS)], 1)
                 first_word = np.searchsorted(text, np.arange(b - a))
                 own = text[begin[good]]
-                key = np.stack((mix64(keys[0][good]), mix64(keys[1][good])), 1)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(a, b - a).take(pa.array(own)), batch.column("h").slice(a, b - a).take(pa.array(own)),
                     pa.array((begin[good] - first_word[own]).astype(np.int32)), pa.array(n[good].astype(np.int32)),
-                    pa.array([key[i].tobytes() for i in range(len(key))], pa.binary()),
+                    pa.array(keys[good]),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(good) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel().view(np.int64))),
                 ], names=["doc_id", "h", "first", "n", "key", "bands"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key binary, bands array<bigint>")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint, bands array<bigint>")
 
 
 def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingles and word contexts of wanted paragraphs (doc_id, h, items: first, n, key, probe)."""
+    """Second hash, shingles (of probes) and word contexts of wanted paragraphs.
+
+    ``wanted``: doc_id, h, items (first, n, key, probe). A side where the next paragraph is
+    wanted too has no context: what lies there is dealt with on its own."""
     joined = docs.join(wanted, (docs["doc_id"].eqNullSafe(wanted["doc_id"])) & (docs["h"] == wanted["h"])).select(docs["doc_id"], docs["h"], "text", "items")
 
     def run(batches):
@@ -123,20 +132,52 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             texts = [t.encode("utf-8", "replace") for t in texts_of(batch.column("text"))]
             items = batch.column("items").to_pylist()
             for a, b in slices([len(t) for t in texts]):
-                rows, out = [], [[] for _ in range(6)]
+                rows, out = [], [[] for _ in range(7)]
                 for i in range(a, b):
                     hashes = word_spans([texts[i]])[-1]
+                    short = (hashes & np.uint64(0x7FFFFFFF)).astype(np.int32)
+                    firsts, lasts = {x["first"] for x in items[i]}, {x["first"] + x["n"] for x in items[i]}
                     for x in items[i]:
                         p, q = x["first"], x["first"] + x["n"]
                         rows.append(i)
                         shingles = np.unique(shingle_hashes(hashes[p:q])).view(np.int64) if x["probe"] else None
-                        for c, v in zip(out, (p, x["n"], x["key"], shingles, hashes[max(0, p - CONTEXT): p][::-1].view(np.int64), hashes[q: q + CONTEXT].view(np.int64)), strict=True):
+                        before = short[max(0, p - CONTEXT): p][::-1] if p not in lasts else short[:0]
+                        after = short[q: q + CONTEXT] if q not in firsts else short[:0]
+                        check = int(sequence_hashes(hashes[p:q], np.zeros(1, np.int64), 21).view(np.int64)[0])
+                        for c, v in zip(out, (p, x["n"], x["key"], check, shingles, before, after), strict=True):
                             c.append(v)
-                longs = pa.list_(pa.int64())
-                types = [pa.int32(), pa.int32(), pa.binary(), longs, longs, longs]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), batch.column("h").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=["doc_id", "h", "first", "n", "key", "shingles", "before", "after"])
+                types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), batch.column("h").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=["doc_id", "h", "first", "n", "key", "check", "shingles", "before", "after"])
+
+    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint, check bigint, shingles array<bigint>, before array<int>, after array<int>")
+
+
+def collisions(keys: DataFrame) -> DataFrame:
+    """(band, key, size): the rows of bands that several keys (key, bands; one row a key) share."""
 
-    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key binary, shingles array<bigint>, before array<bigint>, after array<bigint>")
+    def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # rows of the band that may go on
+
+        def shared(band, key):
+            edge = np.flatnonzero(np.diff(band, prepend=band[:1] - 1))
+            size = np.diff(edge, append=len(band))
+            many = np.repeat(size > 1, size)
+            return pa.RecordBatch.from_arrays([pa.array(band[many]), pa.array(key[many]), pa.array(np.repeat(size, size)[many])], names=["band", "key", "size"])
+
+        for batch in batches:
+            band, key = batch.column("band").to_numpy(), batch.column("key").to_numpy()
+            if not len(band):
+                continue
+            cut = int(np.searchsorted(band, band[-1]))
+            if cut or held and held[-1][0][-1] != band[-1]:
+                yield shared(*(np.concatenate(x) for x in zip(*held, (band[:cut], key[:cut]), strict=True)))
+                held = []
+            held.append((band[cut:], key[cut:]))
+        if held:
+            yield shared(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    rows = keys.select("key", F.explode("bands").alias("band"))
+    return rows.repartition("band").sortWithinPartitions("band").mapInArrow(run, "band bigint, key bigint, size bigint")
 
 
 def _similar(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
@@ -168,14 +209,12 @@ def _similar(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def verified(probes: DataFrame) -> DataFrame:
-    """Links (a, b) between keys whose paragraphs share a band and are similar enough.
+def verified(shared: DataFrame, probes: DataFrame) -> DataFrame:
+    """Links (a, b) between keys that share a band and are similar enough.
 
-    ``probes``: key, bands, shingles, one row a key."""
-    rows = stored(probes.select("key", "shingles", F.explode("bands").alias("band")), "band-rows")
-    sizes = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    ``shared``: band, key, size; ``probes``: key, shingles, one row a key."""
     blocks = F.ceil(F.col("size") / BUCKET).cast("int")
-    dealt = rows.join(sizes, "band").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    dealt = shared.join(probes, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     # Every pair of blocks of a bucket is a task: a block takes part once beside each block.
     dealt = dealt.select("band", "key", "shingles", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).alias("second"), "key", "shingles")
@@ -199,13 +238,13 @@ def verified(probes: DataFrame) -> DataFrame:
                     held, at = [], (band, x, y)
                 held.append((key, second, flat[offsets[r]: offsets[r + 1]].copy()))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
                 out = []
         out += flush()
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return dealt.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y").mapInArrow(run, "a binary, b binary").distinct()
+    return dealt.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def common_prefix(a, b):
@@ -221,26 +260,38 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = stored(paragraphs(docs), "paragraphs")
     place = F.struct("doc_id", "h", "first")
     keys = stored(found.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "paragraph-keys")
-    bands = keys.select("key", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("least"), F.max("key").alias("most")).where("size > 1")
-    near = bands.join(shared.select("band"), "band").select("key").distinct().withColumn("probe", F.lit(True))
-    candidates = stored(keys.join(near, "key", "left").where("copies > 1 or probe").select("key", "place", "bands", F.coalesce("probe", F.lit(False)).alias("probe")), "paragraph-candidates")
-    here = found.join(candidates.select("key", "place", "probe"), "key").select("doc_id", "h", F.struct("first", "n", "key", (F.col("probe") & place.eqNullSafe(F.col("place"))).alias("probe")).alias("item"))
-    wanted = here.groupBy("doc_id", "h").agg(F.collect_list("item").alias("items"))
+    shared = stored(collisions(keys), "paragraph-bands")
+    near = shared.select("key").distinct().withColumn("probe", F.lit(True))
+    candidates = keys.join(near, "key", "left").where("copies > 1 or probe").select("key", "place", F.coalesce("probe", F.lit(False)).alias("probe"))
+    candidates = stored(candidates, "paragraph-candidates")
+    release(keys)
+    here = found.select("doc_id", "h", "first", "n", "key").join(candidates, "key")
+    here = here.select("doc_id", "h", F.struct("first", "n", "key", (F.col("probe") & place.eqNullSafe(F.col("place"))).alias("probe")).alias("item"))
+    wanted = stored(here.groupBy("doc_id", "h").agg(F.collect_list("item").alias("items")), "paragraph-wanted")
+    release(found, candidates)
     detail = stored(details(docs, wanted), "paragraph-details")
-
-    probes = detail.where("shingles is not null").dropDuplicates(["key"]).select("key", "shingles").join(candidates.where("probe").select("key", "bands"), "key")
-    classes = stored(components(verified(probes)), "paragraph-classes")
-    member = detail.select("doc_id", "h", "first", "n", "key", "before", "after").join(classes, F.col("key") == F.col("node"), "left")
-    member = stored(member.select("doc_id", "h", "first", "n", F.coalesce("component", "key").alias("class"), "before", "after"), "paragraph-members")
+    release(wanted)
+
+    probes = detail.where("shingles is not null").dropDuplicates(["key"]).select("key", "shingles")
+    classes = components(stored(verified(shared, probes), "paragraph-links"))
+    classes = stored(classes, "paragraph-classes")
+    member = detail.select("doc_id", "h", "first", "n", "key", "check", "before", "after").join(classes, F.col("key") == F.col("node"), "left")
+    # Equal paragraphs agree in both hashes; similar ones are one class by their component.
+    same = F.when(F.col("component").isNull(), F.col("check"))
+    member = member.select("doc_id", "h", "first", "n", F.coalesce("component", "key").alias("class"), same.alias("check"), "before", "after")
     whole = F.struct("doc_id", "h", "first", "before", "after")
-    kept = stored(member.groupBy("class").agg(F.min(whole).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies"), "paragraph-kept")
-    pairs = member.join(kept, "class").where(~F.struct("doc_id", "h", "first").eqNullSafe(F.struct("kept.doc_id", "kept.h", "kept.first")))
-    return pairs.select(
+    kept = member.groupBy("class", "check").agg(F.min(whole).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("class").alias("_class"), F.col("check").alias("_check"), "kept")
+    kept = stored(kept, "paragraph-kept")
+    pairs = member.join(kept, (F.col("class") == F.col("_class")) & F.col("check").eqNullSafe(F.col("_check")))
+    pairs = pairs.where(~F.struct("doc_id", "h", "first").eqNullSafe(F.struct("kept.doc_id", "kept.h", "kept.first")))
+    spans = pairs.select(
         "doc_id", "h",
         (F.col("first") - common_prefix(F.col("before"), F.col("kept.before"))).alias("first"),
         (F.col("first") + F.col("n") + common_prefix(F.col("after"), F.col("kept.after"))).alias("last"),
         F.col("kept.doc_id").alias("kept_doc_id"))
+    spans = stored(spans, "paragraph-spans")
+    release(detail, shared, kept, classes)
+    return spans
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
@@ -270,11 +321,12 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     these names are replaced. Nothing else of a row changes."""
     rest = [c for c in docs.columns if c not in ("removed_words", "duplicate_of")]
     docs = docs.select(rest)
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", text.alias("text"), F.hash(text).alias("h"))
     spans = repeated_spans(keyed)
     lists = spans.groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last")).alias("spans"), F.sort_array(F.collect_set("kept_doc_id")).alias("duplicate_of"))
-    lists = stored(lists, "paragraph-spans").withColumnRenamed("doc_id", "_id").withColumnRenamed("h", "_h")
-    joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == lists["_h"]), "left").drop("_id", "_h")
+    lists = lists.withColumnRenamed("doc_id", "_id").withColumnRenamed("h", "_h")
+    joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["_id"]) & (F.hash(F.coalesce(docs["text"], F.lit(""))) == lists["_h"]), "left").drop("_id", "_h")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", removed_words int, duplicate_of array<{kind}>"
 

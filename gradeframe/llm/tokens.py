@@ -1,9 +1,10 @@
 """Ids of public tokenizers, per text, with a cache of the chunks between white space.
 
 Pre-tokenization never crosses a boundary between a non-space character and
-white space, so a text is cut there, each distinct chunk is encoded once by the
-library, and the ids of a text are the joined ids of its chunks. Nearly all
-chunks are a word of Latin-1 letters, perhaps with punctuation behind it: their
+white space, so texts are cut there (numpy, a few megabytes at a time), each
+distinct chunk of a pass is looked up once, new ones are encoded by the library,
+and the ids of a text are the gathered ids of its chunks. Chunks of a pass are told apart by 64-bit hashes.
+Nearly all are a word of Latin-1 letters, perhaps with punctuation behind it: their
 pieces are plain, and go straight to the library's model; any other chunk goes
 through its whole chain (normalizer, pre-tokenizer, model), which costs four times as much. The cache belongs
 to the Python worker: two generations of at most ``CACHE_ENTRIES`` chunks, where
@@ -19,9 +20,11 @@ from array import array
 
 import numpy as np
 
-CACHE_ENTRIES = 300_000
+from gradeframe.llm.common import span_hashes, word_spans
+
+CACHE_ENTRIES = 500_000
 #: Longer chunks are not kept: they hardly repeat.
-CACHE_CHARS = 64
+CACHE_BYTES = 64
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN_SPACED = re.compile(rf"(\n?)( ?[{_LETTERS}]+)([.,;:!?]*)").fullmatch
@@ -37,9 +40,8 @@ def _byte_alphabet() -> dict[int, str]:
 
 _ALPHABET = _byte_alphabet()
 
-_WITH_SPACE = re.compile(r"\s*\S+|\s+")
-#: Python counts these as white space, the tokenizers' patterns do not.
-_ODD = re.compile("[\x1c-\x1f]")
+#: Other white space before a blank: the cut between them is no boundary, so such a text goes through the chain whole.
+_ODD = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000](?=[\t-\r ])")
 
 
 class Encoder:
@@ -55,14 +57,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = keeps_space
-        self.young: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}  # pieces that are no chunk themselves
-
-    def _chunks(self, text: str) -> list[str]:
-        if not self.keeps_space:
-            return text.replace("\n", " ").split(" ")
-        return [text] if _ODD.search(text) else _WITH_SPACE.findall(text)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}  # pieces of chunks
 
     def _model(self, piece: str) -> bytes:
         """Ids of one pre-tokenized piece, from the library's model."""
@@ -72,21 +69,18 @@ class Encoder:
             letters = piece.encode().decode("latin-1").translate(_ALPHABET)
         return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
-    def _encode_new(self, chunks: set[str]) -> None:
-        rest, young, old, words, model = [], self.young, self.old, self.words, self._model
+    def _encode_new(self, chunks: list[bytes]) -> None:
+        rest, young, words, model = [], self.young, self.words, self._model
         plain = _PLAIN_SPACED if self.keeps_space else _PLAIN_WORD
         for c in chunks:
-            m = plain(c)
+            m = plain(c.decode())
             if m is None:
                 rest.append(c)
                 continue
             line, word, marks = m.groups()
             if not self.keeps_space:
                 word = word.lower()
-            if word == c:
-                young[c] = model(c)
-                continue
-            ids = young.get(word) or old.get(word) or words.get(word)
+            ids = words.get(word)
             if ids is None:
                 ids = words[word] = model(word)
             for extra in (line, marks):
@@ -97,24 +91,62 @@ class Encoder:
             young[c] = ids + words[marks] if marks else ids
         for i in range(0, len(rest), 8192):
             part = rest[i: i + 8192]
-            for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                young[c] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of a few megabytes of texts; all their chunks are in ``young`` meanwhile."""
-        if len(self.young) > CACHE_ENTRIES:
-            self.old, self.young, self.words = self.young, {"": b""}, {}
-        cut = [self._chunks(t) for t in texts]
-        missing = set().union(*cut).difference(self.young)
-        again = missing.intersection(self.old)
-        self.young.update((c, self.old[c]) for c in again)
-        new = missing.difference(again)
+            for c, e in zip(part, self.tokenizer.encode_batch([c.decode() for c in part], add_special_tokens=False), strict=True):
+                young[c] = array("I", e.ids).tobytes()
+
+    def _look_up(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of distinct chunks."""
+        young, old = self.young, self.old
+        if len(young) > CACHE_ENTRIES:
+            old, young = self.old, self.young = young, {}
+            self.words = {}
+        new = []
+        for c in chunks:
+            if c not in young:
+                ids = old.get(c)
+                if ids is None:
+                    new.append(c)
+                else:
+                    young[c] = ids
         self._encode_new(new)
-        get = self.young.__getitem__
-        out = [b"".join(map(get, chunks)) for chunks in cut]
+        out = [young[c] for c in chunks]
         for c in new:
-            if len(c) > CACHE_CHARS:
-                self.young.pop(c, None)
+            if len(c) > CACHE_BYTES:
+                del young[c]
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of a few megabytes of texts."""
+        odd = {i for i, t in enumerate(texts) if not t.isascii() and _ODD.search(t)} if self.keeps_space else set()
+        data = [b"" if i in odd else t.encode("utf-8", "replace") for i, t in enumerate(texts)]
+        whole = b"\n".join(data) + b"\n"
+        buf, begin, starts, ends, text, hashes = word_spans(data)
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        end = begin
+        out = [b""] * len(data)
+        if len(starts):
+            if self.keeps_space:  # a chunk begins where the word before it ended
+                starts = np.concatenate((starts[:1], ends[:-1]))
+                first = np.flatnonzero(np.diff(text, prepend=-1))
+                starts[first] = begin[text[first]]
+                hashes = span_hashes(buf, starts, ends)
+            _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+            found = self._look_up([whole[p:q] for p, q in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            place = np.cumsum(n) - n
+            flat = np.frombuffer(b"".join(found), "<u4")
+            count = n[which]
+            behind = np.cumsum(count)
+            ids = flat[np.repeat(place[which] - behind + count, count) + np.arange(behind[-1])].tobytes()
+            last = np.searchsorted(text, np.arange(len(data)), "right")
+            stop = (np.concatenate(([0], behind))[last] * 4).tolist()
+            out = [ids[p:q] for p, q in zip([0, *stop[:-1]], stop, strict=True)]
+            end = np.where(np.diff(last, prepend=0) > 0, ends[last - 1], begin)
+        if self.keeps_space:  # white space at the end of a text is a chunk of its own
+            for i in np.flatnonzero(end < begin + size).tolist():
+                out[i] += self._look_up([whole[end[i]: begin[i] + size[i]]])[0]
+        for i in odd:
+            out[i] = array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
         return out
 
 
