@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import slices, stored, texts_of
+from gradeframe.llm.common import stored, text_slices
 from gradeframe.llm.tokens import encoder
 
 SEGMENT_TOKENS = 1 << 20
@@ -122,9 +122,9 @@ def encode_files(docs: DataFrame, vocabulary: str, end_id: int, keeps_space: boo
 
         kind = pa.int64()
         for batch in batches:
-            texts, keys, kind = texts_of(batch.column("text")), batch.column("doc_id").to_pylist(), batch.column("doc_id").type
-            for a, b in slices([len(t) for t in texts]):
-                for key, own in zip(keys[a:b], encode(texts[a:b]), strict=True):
+            keys, kind = batch.column("doc_id").to_pylist(), batch.column("doc_id").type
+            for a, b, texts in text_slices(batch.column("text")):
+                for key, own in zip(keys[a:b], encode(texts), strict=True):
                     if ids and n + len(own) // 4 >= SEGMENT_TOKENS:
                         yield segment(kind)
                         start, n, ids, doc_ids = start + n, 0, [], []

@@ -10,13 +10,14 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeframe.session import application_key
 from gradeframe.sources.store import materialize
 
-__all__ = ["crc_rest", "mix64", "read", "release", "ship", "slices", "span_hashes", "stored", "texts_of", "word_spans"]
+__all__ = ["crc_rest", "mix64", "read", "release", "ship", "slices", "span_hashes", "stored", "text_slices", "texts_of", "word_spans"]
 
 #: Bytes of text that one numpy pass works on (a longer text is one pass of its own).
 PASS_BYTES = 2 << 20
@@ -85,6 +86,14 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
+def text_slices(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """(first row, end, texts) of consecutive parts of an Arrow column, a few megabytes each,
+    so that a task never holds a whole batch of texts as Python strings."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for a, b in slices(sizes):
+        yield a, b, texts_of(column.slice(a, b - a))
+
+
 def slices(sizes: list[int], limit: int = PASS_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges whose sizes add up to about ``limit``."""
     a, total = 0, 0

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import mix64, stored, texts_of, word_spans
+from gradeframe.llm.common import mix64, stored, text_slices, word_spans
 
 BLOCK, REPEATS, SHARDS, SEED = 64, 3, 256, 7
 #: Weights of the sources by code point (NULL last), repeating.
@@ -70,7 +70,7 @@ def placed(docs: DataFrame) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            size = [len(t.encode("utf-8", "replace").split()) for t in texts_of(batch.column("text"))]
+            size = [len(t.encode("utf-8", "replace").split()) for _, _, texts in text_slices(batch.column("text")) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), batch.column("h"), pa.array(size, pa.int64())], names=["doc_id", "source", "h", "size"])
 
     def place(batches):
@@ -124,7 +124,8 @@ class Mixture:
         """(shard, sid, slot, block): the block that each output slot takes."""
         rows = [(shard, sid, first + a, min(RUN, n - a)) for shard, sid, first, n in self.draws() for a in range(0, n, RUN)]
         blocks, seed = self.blocks, self.seed
-        runs = self.spark.createDataFrame(rows, "shard int, sid int, first bigint, n bigint").repartition("shard", "sid", "first")
+        runs = self.spark.createDataFrame(rows, "shard int, sid int, first bigint, n bigint")
+        runs = runs.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))  # a number, so that it stays
 
         def run(batches):
             for batch in batches:
@@ -150,7 +151,8 @@ class Mixture:
 
     def taken(self) -> DataFrame:
         """(row, first, last, times): pieces that the mix takes."""
-        times = self.slot_rows().groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
+        # Stored: Spark would take the few rows that the slots expand from for their size, and broadcast them.
+        times = stored(self.slot_rows().groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times")), "mix-times")
         return self.pieces().join(times, ["sid", "block"]).select("row", "first", "last", "times")
 
 
@@ -184,14 +186,14 @@ def mixed_texts(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
 
     def run(batches):
         for batch in batches:
-            texts, taken = texts_of(batch.column("text")), batch.column("_taken").to_pylist()
-            for a in range(0, batch.num_rows, 64):
+            for a, b, texts in text_slices(batch.column("text")):
+                taken = batch.column("_taken").slice(a, b - a).to_pylist()
                 index, out = [], []
-                for i in range(a, min(a + 64, batch.num_rows)):
-                    data = texts[i].encode("utf-8", "surrogatepass")
+                for i in range(a, b):
+                    data = texts[i - a].encode("utf-8", "surrogatepass")
                     starts = np.append(word_spans([data])[2], len(data))
                     starts[0] = 0
-                    pieces = sorted((x["first"], x["last"], x["times"]) for x in taken[i])
+                    pieces = sorted((x["first"], x["last"], x["times"]) for x in taken[i - a])
                     for again in range(max(t for _, _, t in pieces)):
                         index.append(i)
                         out.append(b"".join(data[starts[p]: starts[q]] for p, q, t in pieces if t > again).decode("utf-8", "surrogatepass"))

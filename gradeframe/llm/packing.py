@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import slices, stored, texts_of
+from gradeframe.llm.common import stored, text_slices
 from gradeframe.llm.tokens import encoder
 
 CAPACITY = 1024
@@ -239,11 +239,10 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAP
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
-            texts = texts_of(batch.column("text"))
             doc_ids = batch.column("doc_id")
-            for a, b in slices([len(t) for t in texts]):
+            for a, b, texts in text_slices(batch.column("text")):
                 rows, cols = [], [[] for _ in range(6 + with_ids)]
-                for i, ids in zip(range(a, b), encode(texts[a:b]), strict=True):
+                for i, ids in zip(range(a, b), encode(texts), strict=True):
                     ids += end
                     for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
                         own = ids[4 * start: 4 * (start + n)]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import _powers, mix64, release, slices, stored, texts_of, word_spans
+from gradeframe.llm.common import _powers, mix64, release, stored, text_slices, word_spans
 from gradeframe.llm.components import components
 
 SHORT, LONG, CUT = 10, 40, 8
@@ -88,9 +88,8 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [t.encode("utf-8", "replace") for t in texts_of(batch.column("text"))]
-            for a, b in slices([len(t) for t in texts]):
-                buf, _, starts, _, text, hashes = word_spans(texts[a:b])
+            for a, b, texts in text_slices(batch.column("text")):
+                buf, _, starts, _, text, hashes = word_spans([t.encode("utf-8", "replace") for t in texts])
                 if len(starts) < SHORT:
                     continue
                 begin = paragraph_starts(buf, starts, hashes)
@@ -129,12 +128,11 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [t.encode("utf-8", "replace") for t in texts_of(batch.column("text"))]
-            items = batch.column("items").to_pylist()
-            for a, b in slices([len(t) for t in texts]):
+            for a, b, texts in text_slices(batch.column("text")):
+                items = dict(enumerate(batch.column("items").slice(a, b - a).to_pylist(), a))
                 rows, out = [], [[] for _ in range(7)]
                 for i in range(a, b):
-                    hashes = word_spans([texts[i]])[-1]
+                    hashes = word_spans([texts[i - a].encode("utf-8", "replace")])[-1]
                     short = (hashes & np.uint64(0x7FFFFFFF)).astype(np.int32)
                     firsts, lasts = {x["first"] for x in items[i]}, {x["first"] + x["n"] for x in items[i]}
                     for x in items[i]:
@@ -332,15 +330,16 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
-            removed = []
-            for i, own in enumerate(spans):
-                n = 0
-                if own:
-                    texts[i], n = without(texts[i], [(x["first"], x["last"]) for x in own])
-                removed.append(n)
-            columns = [pa.array(texts, batch.column("text").type) if c == "text" else batch.column(c) for c in rest]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32()), batch.column("duplicate_of")], names=[*rest, "removed_words", "duplicate_of"])
+            for a, b, texts in text_slices(batch.column("text")):
+                part, removed, new = batch.slice(a, b - a), [], {}
+                for i, own in enumerate(part.column("spans").to_pylist()):
+                    n = 0
+                    if own:
+                        new[i], n = without(texts[i], [(x["first"], x["last"]) for x in own])
+                    removed.append(n)
+                texts = [new.get(i, t) for i, t in enumerate(part.column("text").to_pylist())]
+                columns = [pa.array(texts, part.column("text").type) if c == "text" else part.column(c) for c in rest]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32()), part.column("duplicate_of")], names=[*rest, "removed_words", "duplicate_of"])
 
     out = joined.mapInArrow(run, schema)
     return out.withColumn("duplicate_of", F.coalesce("duplicate_of", F.array().cast(f"array<{kind}>")))

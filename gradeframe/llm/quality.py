@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeframe.llm import ftrl
-from gradeframe.llm.common import _powers, crc_rest, mix64, slices, texts_of, word_spans
+from gradeframe.llm.common import _powers, crc_rest, mix64, slices, text_slices, word_spans
 
 BITS = 18
 SCALE = 30.0
@@ -87,11 +87,10 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     return ftrl.fit(rows, features, 1 << BITS, epochs=3, alpha=0.3, beta=1.0, l1=0.02, l2=0.001)
 
 
-def score_batch(texts: list[str], weights: np.ndarray) -> np.ndarray:
-    data = [t.encode("utf-8", "replace") for t in texts]
+def score_column(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     out = []
-    for a, b in slices([len(t) for t in data]):
-        text, feature = ngrams(data[a:b])
+    for a, b, texts in text_slices(column):
+        text, feature = ngrams([t.encode("utf-8", "replace") for t in texts])
         total = np.bincount(text, np.where(feature > 0, weights[feature], 0), b - a)
         out.append(weights[0] + SCALE * total / np.maximum(1, np.bincount(text, minlength=b - a)))
     return ftrl.logistic(np.concatenate(out)) if out else np.zeros(0)
@@ -104,7 +103,7 @@ def scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(score_batch(texts_of(batch.column("text")), weights))], names=[*rest, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(score_column(batch.column("text"), weights))], names=[*rest, "score"])
 
     return docs.select(rest).mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import mix64, stored, texts_of
+from gradeframe.llm.common import mix64, stored, text_slices
 from gradeframe.llm.components import components
 
 SEED = 42
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            values = np.array([fingerprint(t, words) for t in texts_of(batch.column("text"))], np.uint64)
+            values = np.array([fingerprint(t, words) for _, _, texts in text_slices(batch.column("text")) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint")

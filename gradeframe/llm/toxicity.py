@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeframe.llm import ftrl
-from gradeframe.llm.common import crc_rest, mix64, slices, texts_of, word_spans
+from gradeframe.llm.common import crc_rest, mix64, slices, text_slices, word_spans
 
 BITS = 20
 THRESHOLD = 0.5
@@ -63,9 +63,8 @@ def four_grams(docs: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(SYMBOLS**4, np.int64)
         for batch in batches:
-            texts = texts_of(batch.column("text"))
-            for a, b in slices([len(t) for t in texts]):
-                s = symbols("  ".join(["", *texts[a:b], ""])).astype(np.int32)
+            for _, _, texts in text_slices(batch.column("text")):
+                s = symbols("  ".join(["", *texts, ""])).astype(np.int32)
                 first = (s[1:] != EDGE) | (s[:-1] != EDGE)  # an edge once, however many marks
                 s = np.concatenate((np.zeros(3, np.int32), s[1:][first]))
                 # Context does not reach over a word edge: pad with edges on its left.
@@ -291,17 +290,14 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches):
         restore = decoder(model).restore
         for batch in batches:
-            texts = texts_of(batch.column("text"))
-            read, out = [], []
-            for a, b in slices([len(t) for t in texts]):
-                own = restore(texts[a:b])
+            for a, b, texts in text_slices(batch.column("text")):
+                own = restore(texts)
                 text, feature = word_features(own)
                 use = np.flatnonzero((weights[feature] != 0) & (feature > 0))
                 once = np.unique(text[use] * (1 << BITS) + feature[use])
-                out.append(weights[0] + np.bincount(once >> BITS, weights[once & (1 << BITS) - 1], b - a))
-                read += own
-            value = ftrl.logistic(np.concatenate(out)) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(value), pa.array(read, pa.string())], names=[*rest, "score", "restored"])
+                value = ftrl.logistic(weights[0] + np.bincount(once >> BITS, weights[once & (1 << BITS) - 1], b - a))
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(value), pa.array(own, pa.string())], names=[*rest, "score", "restored"])
 
     out = docs.select(rest).mapInArrow(run, schema)
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")).withColumn("held_out", crc_rest(F.col("doc_id"), MODULUS) == HELD_OUT)
