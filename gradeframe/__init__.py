@@ -13,7 +13,6 @@ Layout:
 * ``operators`` -- relational operators (lookups, statistics, top-k, upsert,
   delete, archive, grace eligibility).
 * ``plans``     -- the user-visible jobs and the registered query catalog.
-* ``streaming`` -- intentionally empty (the modelled application has no streams).
 """
 
 from gradeframe.session import get_session

@@ -1,24 +1,26 @@
-"""Command line: run one operation on an input directory.
+"""Command line: run one operation on a store of score tables.
 
-    python -m gradeframe pass-percentage --input /root/testdata/sf0.01
-    python -m gradeframe grace --input DIR --subject medium --class building
-    python -m gradeframe top3 --input DIR --class building --out /shared/out
-    python -m gradeframe fill --input DIR --out /shared/warehouse
+    python -m gradeframe fill --input /root/testdata/sf0.01 --store /shared/scores
+    python -m gradeframe pass-percentage --store /shared/scores
+    python -m gradeframe grace --store /shared/scores --subject medium --class building
+    python -m gradeframe archive --store /shared/scores --student-id 10
+    python -m gradeframe top3 --store /shared/scores --class building
 
-Each operation prints its outputs (``--show`` rows each) or, with ``--out``,
-writes each output as a new parquet snapshot under ``--out/<output name>``.
+``fill`` derives the tables from the inputs; every other operation reads the
+latest version of the store (or, with ``--input`` instead of ``--store``,
+derives what it needs and stores nothing). Operations that change tables
+(pass-percentage, grace, archive) commit the next version. Outputs are printed (``--show`` rows each).
 """
 
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 
 from gradeframe import schemas as S
 from gradeframe.plans import jobs
 from gradeframe.session import get_session
-from gradeframe.sources import load
+from gradeframe.sources import StoredTables, load
 
 
 def _outputs(args, t) -> dict:
@@ -38,12 +40,23 @@ def _outputs(args, t) -> dict:
     raise ValueError(op)
 
 
+def _commit(args, store):
+    """The next version after an operation that changes tables; None for the others."""
+    if args.operation == "pass-percentage":
+        return jobs.store_pass_percentage(store, args.threshold, args.keep_zero)
+    if args.operation == "grace":
+        return jobs.store_grace_marks(store, subject_name=args.subject, class_name=args.class_name)
+    if args.operation == "archive":
+        return jobs.store_archive_student(store, args.student_id, args.leaving_date)
+    return None
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="gradeframe")
     p.add_argument("operation", choices=["profile", "subject-stats", "pass-percentage", "top3",
                                          "archive", "grace", "fill"])
-    p.add_argument("--input", required=True, help="directory with the input parquet tables")
-    p.add_argument("--out", help="write outputs as parquet snapshots under this folder")
+    p.add_argument("--input", help="directory with the input parquet tables")
+    p.add_argument("--store", help="folder of the store")
     p.add_argument("--student-id", type=int, default=S.DEFAULT_STUDENT_ID)
     p.add_argument("--subject", help="subject name (any case)")
     p.add_argument("--class", dest="class_name", help="class name (any case)")
@@ -54,23 +67,24 @@ def main(argv=None) -> int:
     p.add_argument("--show", type=int, default=20)
     p.add_argument("--master", help="Spark master (default: local[BENCH_CPUS or 8])")
     args = p.parse_args(argv)
-    if args.operation in ("fill",) and not args.out:
-        p.error("fill needs --out")
+    if args.operation == "fill" and not (args.store and args.input):
+        p.error("fill needs --input and --store")
+    if bool(args.store) == bool(args.input) and args.operation != "fill":
+        p.error("give either --store or --input")
 
     spark = get_session(master=args.master)
-    t = load(spark, args.input)
     if args.operation == "fill":
-        for name, path in jobs.fill_tables(t, args.out).items():
-            print(f"{name}: {path}")
+        print(f"version {jobs.fill_tables(load(spark, args.input), args.store).version}")
         return 0
+    t = StoredTables(spark, args.store) if args.store else load(spark, args.input)
+    if args.store and t.version < 0:
+        p.error(f"no store at {args.store}: run fill first")
     for name, df in _outputs(args, t).items():
-        if args.out:
-            path = os.path.join(args.out, name)
-            df.write.mode("errorifexists").parquet(path)
-            print(f"{name}: {path}")
-        else:
-            print(f"== {name}")
-            df.show(args.show, truncate=False)
+        print(f"== {name}")
+        df.show(args.show, truncate=False)
+    after = _commit(args, t) if args.store else None
+    if after is not None:
+        print(f"version {after.version}")
     return 0
 
 

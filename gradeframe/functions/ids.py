@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeframe import schemas as S
-from gradeframe.session import ensure_checkpoint_dir
+from gradeframe.scratch import materialize
 
 
 def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None = None,
@@ -20,21 +20,19 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
     shifted by the sizes of the lower ranges. Only the per-range sizes (one row
     per range, bounded by the shuffle partition count) meet in one place.
 
-    The locally numbered ranges are materialised with a reliable
-    ``checkpoint()`` (in the session's ``spark.checkpoint.dir``): the range
-    bounds come from sampling, so two separate evaluations of the range shuffle
-    could cut the values differently, and the local numbers and the range sizes
-    must come from the same cut. The checkpoint holds one row per distinct value
-    and survives executor loss; inside each range the values are sorted (they
-    are unique) before they are numbered, so a retried task numbers them the same.
+    The locally numbered ranges are written once under ``spark.checkpoint.dir``:
+    the range bounds come from sampling, so two separate evaluations of the
+    range shuffle could cut the values differently, and the local numbers and
+    the range sizes must come from the same cut. Inside each range the values
+    are sorted (they are unique) before they are numbered, so a retried task
+    numbers them the same. The range sizes (one row per range) become literals,
+    so the result is one projection of the written table, with its real size.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     vals = df.select(F.col(value_col)).where(F.col(value_col).isNotNull()).distinct()
     # Without an explicit count AQE may coalesce neighbouring ranges (order is kept).
     ranged = (vals.repartitionByRange(num_ranges, value_col) if num_ranges
               else vals.repartitionByRange(value_col))
-    local = (
+    local = materialize(
         ranged
         .sortWithinPartitions(value_col)
         .select(
@@ -45,31 +43,29 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
         .select(
             value_col, "_range",
             (F.col("_mid") - F.shiftleft(F.col("_range").cast("long"), 33) + 1).alias("_local"),
-        )
-        .checkpoint(eager=True)
-    )
-    sizes = local.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select(
-        "_range",
-        F.coalesce(
-            F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_offset"),
-    )
-    out = local.join(F.broadcast(offsets), "_range").select(
-        (F.col("_offset") + F.col("_local")).cast("int").alias(id_col),
+        ), id_col)
+    before, offsets = 0, [F.lit(-1), F.lit(0)]  # a map literal needs an entry
+    for r in sorted(local.groupBy("_range").count().collect()):  # one row per range
+        offsets += [F.lit(r["_range"]), F.lit(before)]
+        before += r["count"]
+    return local.select(
+        (F.element_at(F.create_map(*offsets), F.col("_range")) + F.col("_local")).cast("int").alias(id_col),
         F.col(value_col).alias(name_col or value_col),
     )
-    return out
+
+
+def _ceil_div(value: Column, width: int) -> Column:
+    """ceil(value / width) in integer arithmetic (a double is inexact above 2**53)."""
+    return F.call_function("div", value + F.pmod(-value, F.lit(width)), F.lit(width))
 
 
 def group_bucket(student_id: Column, width: int = S.GROUP_BUCKET_WIDTH,
                  buckets: int = S.GROUP_BUCKETS) -> Column:
     """Group of an id: consecutive blocks of ``width`` ids, folded onto 1..buckets."""
-    block = F.ceil(student_id / F.lit(float(width)))
+    block = _ceil_div(student_id, width)
     return (((block - 1) % buckets) + 1).cast("int")
 
 
 def class_bucket(student_id: Column, width: int = S.CLASS_BUCKET_WIDTH) -> Column:
     """Class of an id: 1 for ids up to ``width``, 2 above."""
-    return F.when(F.ceil(student_id / F.lit(float(width))) > 1, F.lit(2)).otherwise(F.lit(1)).cast("int")
+    return F.when(_ceil_div(student_id, width) > 1, F.lit(2)).otherwise(F.lit(1)).cast("int")

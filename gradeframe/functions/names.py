@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def capitalize_first(s: Column) -> Column:
     """Upper-case the first character only (``initcap`` would touch every word)."""
-    return F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, 2, 1 << 30))
+    return F.concat(F.upper(F.substring(s, 1, 1)), F.substring(s, F.lit(2), F.length(s)))
 
 
 def full_name(first: Column, last: Column, capitalize: bool = False) -> Column:

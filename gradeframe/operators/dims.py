@@ -25,14 +25,9 @@ def point_lookup(students: DataFrame, student_id: int) -> DataFrame:
 
 
 def member_keys(students: DataFrame, student_id: int) -> DataFrame:
-    """Key rows (group_id, class_id, student_id) of one member id, marked for broadcast.
-
-    Size bound: a member id names at most one row per (group, class), so this
-    side has at most |groups| x |classes| rows (two small dimensions) whatever
-    the size of ``students``. Broadcasting it lets deletes and archives run
-    without shuffling the large table they are applied to.
-    """
-    return F.broadcast(point_lookup(students, student_id).select(*S.STUDENT_KEYS))
+    """Distinct keys (group_id, class_id, student_id) of one member id; Spark's size check
+    decides whether a join with them is a broadcast."""
+    return point_lookup(students, student_id).select(*S.STUDENT_KEYS).distinct()
 
 
 def ids_by_name(dim: DataFrame, id_col: str, name_col: str, name: str) -> DataFrame:
@@ -40,6 +35,11 @@ def ids_by_name(dim: DataFrame, id_col: str, name_col: str, name: str) -> DataFr
     return dim.where(name_matches(F.col(name_col), name)).select(id_col)
 
 
+def rows_by_name(dim: DataFrame, name_col: str, name: str) -> DataFrame:
+    """Rows of a dimension whose name equals ``name`` ignoring case."""
+    return dim.where(name_matches(F.col(name_col), name))
+
+
 def attach_name(df: DataFrame, dim: DataFrame, id_col: str, name_col: str,
                 default: str = "") -> DataFrame:
     """Left join an id column to its name; a missing name becomes ``default``."""
@@ -68,6 +68,18 @@ def groups_of_class(class_group: DataFrame, class_id: int | None = None) -> Data
     return restrict(class_group.select("class_id", "group_id"), "class_id", class_id)
 
 
+def group_takes_subject(students: DataFrame, subject_group: DataFrame, student_id: int,
+                        subject_ids: DataFrame) -> DataFrame:
+    """(subject_id, takes): whether the member's group takes each of the subjects.
+
+    Tells "the group does not take it" apart from "no marks yet"."""
+    group = point_lookup(students, student_id).select("group_id").distinct()
+    taken = (subject_group.select("group_id", "subject_id").join(group, "group_id")
+             .select("subject_id", F.lit(True).alias("_takes")).distinct())
+    return (subject_ids.select("subject_id").distinct().join(taken, "subject_id", "left")
+            .select("subject_id", F.coalesce("_takes", F.lit(False)).alias("takes")))
+
+
 def enrollment_fanout(students: DataFrame, subject_group: DataFrame) -> DataFrame:
     """Each member times the subjects of the member's group: (student_id, subject_id)."""
     return (students.select("group_id", "student_id")
@@ -94,8 +106,8 @@ def key_lists(bridge: DataFrame, key: str, value: str, out: str) -> DataFrame:
     The list is bounded by the size of the value dimension (e.g. the number of
     subjects), so collecting it per key is safe.
     """
-    return (bridge.select(key, value).distinct().groupBy(key)
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(value)), lambda v: v.cast("string")),
+    return (bridge.groupBy(key)
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_set(value)), lambda v: v.cast("string")),
                               ",").alias(out)))
 
 

@@ -1,32 +1,31 @@
 """Grace marks.
 
-A member's rows of a subject get the grace rule on one test when
+A member's row of a subject gets the grace rule on one test when
 
+* the member's group takes the subject,
 * the map mean of the member's row in that subject is above
   ``subject_threshold`` (50), and
-* the member's mean in the grace test over all their subjects (exploded path,
-  NULL marks skipped) is above ``test_threshold`` (50).
+* the mean of the same member (group, class and id) in the grace test over all
+  their subjects (exploded path, NULL marks skipped) is above ``test_threshold`` (50).
 
 Without ``class_id`` / ``subject_id`` every (class, subject) pair is handled at
-once, each exactly as if the job had been run for that pair alone: a member's
-own rows all belong to groups that take the subject, so the grace-test mean
-covers all of the member's subjects either way.
+once, each exactly as if the job had been run for that pair alone.
 
-Plan: the per-member grace-test mean is one aggregate on ``student_id``; the
-subject rows are joined to it on ``student_id`` (left join -> eligibility flag).
-No id list is collected to the driver.
+Plan: one scan of the class's score rows and one shuffle by member; the
+grace-test mean is a window over the member's rows (as many as the member has
+subjects), after which the rows of the subject are picked. No id list is
+collected to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeframe import schemas as S
 from gradeframe.functions.names import full_name
 from gradeframe.functions.scores import grace_map, map_mean
 from gradeframe.operators.dims import restrict
-from gradeframe.operators.stats import members_mean_over
 
 
 def flag_eligible(marks: DataFrame, class_id: int | None = None, subject_id: int | None = None,
@@ -34,22 +33,29 @@ def flag_eligible(marks: DataFrame, class_id: int | None = None, subject_id: int
                   subject_threshold: float = S.GRACE_SUBJECT_THRESHOLD,
                   test_threshold: float = S.GRACE_TEST_THRESHOLD,
                   class_ids: DataFrame | None = None,
-                  subject_ids: DataFrame | None = None) -> DataFrame:
+                  subject_ids: DataFrame | None = None,
+                  subject_group: DataFrame | None = None) -> DataFrame:
     """The subject rows in scope with an ``eligible`` flag.
 
     The scope is given by ids (``class_id``, ``subject_id``) or by one-column
     id DataFrames (``class_ids``, ``subject_ids``, e.g. from a name lookup). The
-    grace-test mean always covers all of a member's subjects.
+    grace-test mean always covers all of a member's subjects. ``subject_group``
+    (group_id, subject_id) restricts the rows to groups that take the subject.
     """
     in_class = restrict(marks, "class_id", class_id, class_ids)
-    scope = restrict(in_class, "subject_id", subject_id, subject_ids)
-    test_ok = (members_mean_over(in_class, test_id, test_threshold)
-               .select("student_id", F.lit(True).alias("_test_ok")))
-    return (scope.join(test_ok, "student_id", "left")
-            .select(*S.MARK_KEYS, "test_marks",
-                    (F.coalesce(F.col("_test_ok"), F.lit(False))
-                     & F.coalesce(map_mean("test_marks") > F.lit(subject_threshold), F.lit(False))
-                     ).alias("eligible")))
+    member = Window.partitionBy(*S.STUDENT_KEYS)
+    with_mean = in_class.select(
+        *S.MARK_KEYS, "test_marks",
+        F.avg(F.try_element_at("test_marks", F.lit(test_id))).over(member).alias("_test_mean"))
+    scope = restrict(with_mean, "subject_id", subject_id, subject_ids)
+    if subject_group is not None:
+        scope = scope.join(subject_group.select("group_id", "subject_id").distinct(),
+                           ["group_id", "subject_id"], "left_semi")
+    return scope.select(
+        *S.MARK_KEYS, "test_marks",
+        (F.coalesce(F.col("_test_mean") > F.lit(test_threshold), F.lit(False))
+         & F.coalesce(map_mean("test_marks") > F.lit(subject_threshold), F.lit(False))
+         ).alias("eligible"))
 
 
 def next_marks(marks: DataFrame, adjusted: DataFrame, class_id: int | None = None,
@@ -76,8 +82,8 @@ def next_marks(marks: DataFrame, adjusted: DataFrame, class_id: int | None = Non
 
 
 def grace_eligible(flagged: DataFrame) -> DataFrame:
-    """(class_id, subject_id, student_id) of the eligible rows."""
-    return flagged.where("eligible").select("class_id", "subject_id", "student_id")
+    """Keys (group_id, class_id, subject_id, student_id) of the eligible rows."""
+    return flagged.where("eligible").select(*S.MARK_KEYS)
 
 
 def grace_adjust(flagged: DataFrame, test_id: int = S.GRACE_TEST_ID, amount: float = S.GRACE_AMOUNT,
@@ -98,23 +104,31 @@ def grace_adjust(flagged: DataFrame, test_id: int = S.GRACE_TEST_ID, amount: flo
 def adjusted_scores(adjusted: DataFrame) -> DataFrame:
     """Exploded adjusted marks with a ``changed`` flag per entry (NULL marks kept)."""
     pairs = adjusted.select(
-        "class_id", "subject_id", "student_id",
+        *S.MARK_KEYS,
         F.explode(F.map_zip_with("test_marks_before", "test_marks",
                                  lambda k, old, new: F.struct(old.alias("old"), new.alias("new"))))
         .alias("test_id", "pair"),
     )
     return pairs.select(
-        "class_id", "subject_id", "student_id", "test_id",
+        *S.MARK_KEYS, "test_id",
         F.col("pair.new").alias("mark"),
         F.coalesce(F.col("pair.new") != F.col("pair.old"), F.lit(False)).alias("changed"),
     )
 
 
 def eligible_names(eligible: DataFrame, students: DataFrame) -> DataFrame:
-    """Full names ("first last", NULL parts empty) of the eligible members."""
-    return (eligible.join(students.select("student_id", "firstname", "lastname"), "student_id")
-            .select("class_id", "subject_id", "student_id",
-                    full_name(F.col("firstname"), F.col("lastname")).alias("full_name")))
+    """Full names ("first last", NULL parts empty) of the eligible members, joined on the member's whole key."""
+    return (eligible.join(students.select(*S.STUDENT_KEYS, "firstname", "lastname"), S.STUDENT_KEYS)
+            .select(*S.MARK_KEYS, full_name(F.col("firstname"), F.col("lastname")).alias("full_name")))
+
+
+def stored_before_after(stored: DataFrame, after: DataFrame) -> DataFrame:
+    """The stored pass percentage beside the one after grace, per (class, subject) of ``after``
+    or of ``stored`` (restricted by the caller to the job's scope); a side that is absent is NULL."""
+    none = F.lit(None).cast("double")
+    both = (stored.select(*S.PASS_KEYS, F.col("pass_percentage").alias("before_pct"), none.alias("after_pct"))
+            .unionByName(after.select(*S.PASS_KEYS, none.alias("before_pct"), F.col("pass_percentage").alias("after_pct"))))
+    return both.groupBy(*S.PASS_KEYS).agg(F.max("before_pct").alias("before_pct"), F.max("after_pct").alias("after_pct"))
 
 
 def pass_rate_before_after(adjusted: DataFrame, threshold: float = S.PASS_THRESHOLD,

@@ -7,7 +7,7 @@ reduced to one row per map task before it moves.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeframe import schemas as S
@@ -91,32 +91,47 @@ def pass_rate(marks: DataFrame, threshold: float = S.PASS_THRESHOLD,
 
 
 def student_test_means(marks: DataFrame, class_id: int | None = None) -> DataFrame:
-    """Mean mark per (member, test) over all the member's subjects (exploded path)."""
-    rows = restrict(marks, "class_id", class_id)
+    """Mean mark per (member, test) over all the member's subjects (exploded path).
+
+    The map rows are dealt by member before they are exploded: this aggregate and
+    a following one per member then need no further shuffle."""
+    rows = restrict(marks, "class_id", class_id).repartition("class_id", "student_id")
     return (explode_scores(rows).groupBy("class_id", "student_id", "test_id")
             .agg(F.avg("mark").alias("average_marks")))
 
 
-# Means of means add inexact doubles in an order Spark does not fix; they are
-# rounded to this many places so results do not depend on that order.
-MEAN_OF_MEANS_DIGITS = 9
-
-
 def student_total_mean(test_means_df: DataFrame) -> DataFrame:
-    """Mean of a member's test means: each test weighs the same, whatever its subject count."""
-    return (test_means_df.groupBy("class_id", "student_id")
-            .agg(F.round(F.avg("average_marks"), MEAN_OF_MEANS_DIGITS).alias("total_average")))
+    """Mean of a member's test means: each test weighs the same, whatever its subject count.
+
+    The means of a member (at most one per test) are added in test order, so the
+    double does not depend on the order in which rows arrive."""
+    means = F.array_sort(F.collect_list(F.struct("test_id", "average_marks")))
+    total = F.aggregate(F.col("_means"), F.lit(0.0), lambda acc, m: acc + m["average_marks"])
+    return (test_means_df.groupBy("class_id", "student_id").agg(means.alias("_means"))
+            .select("class_id", "student_id", (total / F.size("_means")).alias("total_average")))
 
 
 def members_mean_over(marks: DataFrame, test_id: int = S.GRACE_TEST_ID,
                       threshold: float = S.GRACE_TEST_THRESHOLD,
                       class_id: int | None = None) -> DataFrame:
-    """Members whose mean in ``test_id`` over all their subjects is strictly above ``threshold``.
+    """Members (group_id, class_id, student_id) whose mean in ``test_id`` over all their
+    subjects is strictly above ``threshold``.
 
     Reads the one map entry directly (NULL when absent; ``avg`` skips NULLs, as
     the exploded path does) instead of exploding every entry and filtering.
     """
     rows = restrict(marks, "class_id", class_id)
-    return (rows.select("student_id", F.try_element_at("test_marks", F.lit(test_id)).alias("mark"))
-            .groupBy("student_id").agg(F.avg("mark").alias("average"))
+    return (rows.select(*S.STUDENT_KEYS, F.try_element_at("test_marks", F.lit(test_id)).alias("mark"))
+            .groupBy(*S.STUDENT_KEYS).agg(F.avg("mark").alias("average"))
             .where(F.col("average") > F.lit(threshold)))
+
+
+def ranked_test_means(means: DataFrame) -> DataFrame:
+    """Test means with their place in the (class, subject): best first, ties to the lower test id."""
+    order = Window.partitionBy("class_id", "subject_id").orderBy(F.desc("mean_mark"), "test_id")
+    return means.withColumn("rank", F.row_number().over(order))
+
+
+def stored_pass_rate(stored: DataFrame, class_id: int, subject_id: int) -> DataFrame:
+    """The stored pass percentage of one (class, subject)."""
+    return stored.where((F.col("class_id") == F.lit(class_id)) & (F.col("subject_id") == F.lit(subject_id)))

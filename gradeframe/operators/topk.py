@@ -3,8 +3,7 @@
 Ties are broken by ``student_id`` so every run returns the same rows. Per-key
 top-k is ``row_number() <= k`` over a window; Spark plans it with a partial
 ``WindowGroupLimit`` on the map side, so each map task ships at most k rows per
-key and a key holding most of the rows never gathers them in one task. A single
-top-k is ``orderBy().limit()`` (``TakeOrderedAndProject``: k rows per task).
+key and a key holding most of the rows never gathers them in one task.
 """
 
 from __future__ import annotations
@@ -21,10 +20,6 @@ def top_k_per(df: DataFrame, partition_by: list[str], order_by: list[Column], k:
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= F.lit(k))
 
 
-def top_k(df: DataFrame, order_by: list[Column], k: int) -> DataFrame:
-    return df.orderBy(*order_by).limit(k)
-
-
 def top_per_test(test_means_df: DataFrame, k: int = S.TOP_K,
                  test_ids: list[int] | None = None) -> DataFrame:
     """Top k members by mean per (class, test); optionally only some tests."""
@@ -40,9 +35,3 @@ def top_overall(totals: DataFrame, k: int = S.TOP_K) -> DataFrame:
     """Top k members by mean of test means per class."""
     ranked = top_k_per(totals, ["class_id"], [F.desc("total_average"), F.asc("student_id")], k)
     return ranked.select("class_id", "rank", "student_id", "total_average")
-
-
-def top_overall_of_class(totals: DataFrame, class_id: int, k: int = S.TOP_K) -> DataFrame:
-    """Top k of one class as a single ordered limit."""
-    one = totals.where(F.col("class_id") == F.lit(class_id))
-    return top_k(one, [F.desc("total_average"), F.asc("student_id")], k)

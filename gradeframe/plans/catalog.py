@@ -25,6 +25,7 @@ from gradeframe.sources.model import load
 
 # Parameters of the registered queries.
 STUDENT_ID = S.DEFAULT_STUDENT_ID
+NEXT_STUDENT_ID = S.DEFAULT_STUDENT_ID + 1
 LEAVING_DATE = S.DEFAULT_LEAVING_DATE
 GRACE_CLASS_ID = 2
 GRACE_SUBJECT_ID = 3
@@ -74,8 +75,7 @@ def members_of_class_groups(t):
 
 @query
 def subject_by_name(t):
-    return dims.ids_by_name(t.subjects, "subject_id", "subject_name", LOOKUP_SUBJECT_NAME).join(
-        t.subjects, "subject_id")
+    return dims.rows_by_name(t.subjects, "subject_name", LOOKUP_SUBJECT_NAME)
 
 
 @query
@@ -119,6 +119,11 @@ def test_means_for_subject(t):
     return stats.test_means(t.marks)
 
 
+@query
+def test_means_ranked(t):
+    return stats.ranked_test_means(stats.test_means(t.marks))
+
+
 @query
 def best_worst_test(t):
     return stats.best_worst_test(stats.test_means(t.marks))
@@ -171,22 +176,22 @@ def members_mean_over(t):
 
 @query
 def grace_eligible(t):
-    return grace.grace_eligible(grace.flag_eligible(t.marks))
+    return grace.grace_eligible(grace.flag_eligible(t.marks, subject_group=t.subject_group_mapper))
 
 
 @query
 def grace_eligible_names(t):
-    return grace.eligible_names(grace.grace_eligible(grace.flag_eligible(t.marks)), t.students)
+    return grace.eligible_names(grace.grace_eligible(grace.flag_eligible(t.marks, subject_group=t.subject_group_mapper)), t.students)
 
 
 @query
 def grace_adjusted_scores(t):
-    return grace.adjusted_scores(grace.grace_adjust(grace.flag_eligible(t.marks)))
+    return grace.adjusted_scores(grace.grace_adjust(grace.flag_eligible(t.marks, subject_group=t.subject_group_mapper)))
 
 
 @query
 def grace_pass_rate_before_after(t):
-    return grace.pass_rate_before_after(grace.grace_adjust(grace.flag_eligible(t.marks)))
+    return grace.pass_rate_before_after(grace.grace_adjust(grace.flag_eligible(t.marks, subject_group=t.subject_group_mapper)))
 
 
 @query
@@ -200,6 +205,16 @@ def upsert_pass_rate(t):
     return jobs.grace_marks(t, subject_id=GRACE_SUBJECT_ID, class_id=GRACE_CLASS_ID)["pass_percentage"]
 
 
+@query
+def stored_pass_rate_lookup(t):
+    return stats.stored_pass_rate(jobs.pass_percentage(t), GRACE_CLASS_ID, GRACE_SUBJECT_ID)
+
+
+@query
+def group_takes_subject(t):
+    return dims.group_takes_subject(t.students, t.subject_group_mapper, STUDENT_ID, t.subjects)
+
+
 # -- table changes (O5) --------------------------------------------------------
 
 @query
@@ -222,6 +237,12 @@ def archive_students_history(t):
     return _archive(t)["students_history"]
 
 
+@query
+def archive_history_append(t):
+    first = _archive(t)["students_history"]
+    return jobs.archive_student(t, NEXT_STUDENT_ID, LEAVING_DATE, students_history=first)["students_history"]
+
+
 @query
 def archive_marks_live(t):
     return explode_scores(_archive(t)["marks_live"], keep_null=True)

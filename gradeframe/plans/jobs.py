@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from gradeframe import schemas as S
 from gradeframe.operators import dims, grace, stats, tables, topk
-from gradeframe.sources.model import TABLE_NAMES, Tables
-from gradeframe.sources.store import table_path, write_snapshot
+from gradeframe.sources.model import Tables
+from gradeframe.sources.store import StoredTables
 
 
 def _ids(t: Tables, dim: str, id_col: str, name_col: str, name: str | None, id_: int | None):
@@ -26,15 +26,19 @@ def _ids(t: Tables, dim: str, id_col: str, name_col: str, name: str | None, id_:
 
 def subject_mean_report(t: Tables, student_id: int, subject_name: str | None = None,
                         subject_id: int | None = None) -> dict[str, DataFrame]:
-    """Profile of one member, the member's score row in one subject and its mean
-    (no rows if the member's group does not take the subject)."""
+    """Profile of one member, whether the member's group takes the subject(s), and the
+    member's score rows in subjects the group takes, with their means."""
     subject_ids = _ids(t, "subjects", "subject_id", "subject_name", subject_name, subject_id)
     rows = dims.restrict(t.marks, "student_id", student_id)
     rows = dims.restrict(rows, "subject_id", ids=subject_ids) if subject_ids is not None else rows
+    rows = rows.join(t.subject_group_mapper.select("group_id", "subject_id").distinct(),
+                     ["group_id", "subject_id"], "left_semi").select(*S.MARKS.fieldNames())
+    asked = subject_ids if subject_ids is not None else t.subjects.select("subject_id")
     return {
         "member": dims.point_lookup(t.students, student_id),
         "profile": dims.member_profile(t.students, t.groups, t.classes, t.subjects,
                                        t.subject_group_mapper, student_id),
+        "takes_subject": dims.group_takes_subject(t.students, t.subject_group_mapper, student_id, asked),
         "marks": rows,
         "mean": stats.subject_mean_of_student(rows),
     }
@@ -54,8 +58,7 @@ def subject_statistics(t: Tables, subject_name: str | None = None, class_name: s
         roster = dims.restrict(roster, "class_id", ids=class_ids)
         marks = dims.restrict(marks, "class_id", ids=class_ids)
     means = stats.test_means(marks)
-    ordered = means.orderBy(F.desc("mean_mark"), "test_id")  # one row per test: a tiny sort
-    return {"roster": roster, "test_means": ordered, "best_worst": stats.best_worst_test(means)}
+    return {"roster": roster, "test_means": stats.ranked_test_means(means), "best_worst": stats.best_worst_test(means)}
 
 
 def pass_percentage(t: Tables, threshold: float = S.PASS_THRESHOLD, keep_zero: bool = False) -> DataFrame:
@@ -67,14 +70,20 @@ def top_students(t: Tables, class_name: str | None = None, class_id: int | None
     """Top k per test (tests 1 and 2 unless ``test_ids``; None = all) and overall
     (by mean of test means), per class or for one class."""
     class_ids = _ids(t, "classes", "class_id", "class_name", class_name, class_id)
-    marks = dims.restrict(t.marks, "class_id", ids=class_ids) if class_ids is not None else t.marks
+    marks = t.marks
+    if class_ids is not None:  # the rows of the class, in groups that belong to it
+        pairs = dims.groups_of_class(t.class_group_mapper).join(class_ids.distinct(), "class_id", "left_semi")
+        marks = marks.join(pairs, ["class_id", "group_id"], "left_semi").select(*S.MARKS.fieldNames())
     per_test = stats.student_test_means(marks)
     totals = stats.student_total_mean(per_test)
     return {"per_test": topk.top_per_test(per_test, k, test_ids), "overall": topk.top_overall(totals, k)}
 
 
-def archive_student(t: Tables, student_id: int, leaving_date=None) -> dict[str, DataFrame]:
-    return tables.archive(t.students, t.marks, dims.member_keys(t.students, student_id), leaving_date)
+def archive_student(t: Tables, student_id: int, leaving_date=None,
+                    students_history: DataFrame | None = None,
+                    marks_history: DataFrame | None = None) -> dict[str, DataFrame]:
+    return tables.archive(t.students, t.marks, dims.member_keys(t.students, student_id), leaving_date,
+                          students_history, marks_history)
 
 
 def grace_marks(t: Tables, subject_name: str | None = None, class_name: str | None = None,
@@ -83,34 +92,82 @@ def grace_marks(t: Tables, subject_name: str | None = None, class_name: str | No
     """Grace marks for a subject in a class (or every pair when no names/ids are given).
 
     ``stored_pass_rate`` is the previously stored pass-percentage table; it
-    defaults to the rate computed from the input snapshot. ``pass_percentage``
-    is that table with the after-grace rates upserted; ``marks`` is the whole
-    marks table with the adjusted rows upserted (the next marks version).
+    defaults to the rate computed from the input snapshot. ``before_after`` puts
+    the stored rate of the scope beside the new one, ``pass_percentage`` is the
+    stored table with the new rates upserted; ``marks`` is the whole marks table
+    after the job (the rows in scope rewritten, the others as they are).
     """
-    subject_ids = _ids(t, "subjects", "subject_id", "subject_name", subject_name, subject_id)
-    class_ids = _ids(t, "classes", "class_id", "class_name", class_name, class_id)
-    flagged = grace.flag_eligible(t.marks, class_ids=class_ids, subject_ids=subject_ids)
+    # Ids given as values are literals (filters, partition pruning); only names need a lookup.
+    subject_ids = _ids(t, "subjects", "subject_id", "subject_name", subject_name, None)
+    class_ids = _ids(t, "classes", "class_id", "class_name", class_name, None)
+    scope = {"class_id": class_id, "class_ids": class_ids, "subject_id": subject_id, "subject_ids": subject_ids}
+    flagged = grace.flag_eligible(t.marks, **scope, subject_group=t.subject_group_mapper)
     adjusted = grace.grace_adjust(flagged)
     eligible = grace.grace_eligible(flagged)
-    after = stats.pass_rate(adjusted.select(*S.MARK_KEYS, "test_marks"))
-    stored = stored_pass_rate if stored_pass_rate is not None else stats.pass_rate(t.marks)
     adjusted_marks = adjusted.select(*S.MARK_KEYS, "test_marks")
+    after = stats.pass_rate(adjusted_marks)
+    stored = stored_pass_rate if stored_pass_rate is not None else stats.pass_rate(t.marks)
+    before = dims.restrict(dims.restrict(stored, "class_id", class_id, class_ids), "subject_id", subject_id, subject_ids)
     return {
         "eligible": eligible,
         "names": grace.eligible_names(eligible, t.students),
         "adjusted_marks": adjusted_marks,
-        "marks": grace.next_marks(t.marks, adjusted_marks, class_ids=class_ids, subject_ids=subject_ids),
+        "marks": grace.next_marks(t.marks, adjusted_marks, **scope),
         "adjusted_scores": grace.adjusted_scores(adjusted),
-        "before_after": grace.pass_rate_before_after(adjusted),
+        "before_after": grace.stored_before_after(before, after),
+        "after": after,
         "pass_percentage": tables.upsert(stored, after, S.PASS_KEYS),
     }
 
 
-def fill_tables(t: Tables, out_base: str, version: int | str = 0) -> dict[str, str]:
-    """Write every derived table as a parquet snapshot under ``out_base``."""
-    paths = {}
-    for name in TABLE_NAMES:
-        source = t.for_writing(name) if hasattr(t, "for_writing") else t.table(name)
-        df = S.conform(source, S.SCHEMAS[name])
-        paths[name] = write_snapshot(df, table_path(out_base, name, version), name)
-    return paths
+def fill_tables(t: Tables, out_base: str) -> StoredTables:
+    """Fill a new store under ``out_base``: derive students and marks once each into it, and
+    the bridges from what was written. Returns the store's first version."""
+    store = StoredTables(t.spark, out_base)
+    if store.version >= 0:
+        raise ValueError(f"there is a store at {out_base} already")
+    names = ("groups", "classes", "subjects", "tests", "students", "marks")
+    written = StoredTables(t.spark, out_base, -1)
+    written._folders = {name: store.write(name, t.table(name)) for name in names}
+    pairs = dims.build_bridge(written.marks, "group_id", "subject_id")
+    written._folders["subject_group_mapper"] = store.write("subject_group_mapper", pairs)
+    pairs = dims.build_bridge(written.students, "class_id", "group_id")
+    written._folders["class_group_mapper"] = store.write("class_group_mapper", pairs)
+    return store.commit(written._folders)
+
+
+# -- jobs on a store: each returns the store's next version ---------------------
+
+def store_pass_percentage(store: StoredTables, threshold: float = S.PASS_THRESHOLD,
+                          keep_zero: bool = False) -> StoredTables:
+    """O3: compute the pass percentages and upsert them into the stored ones."""
+    rates = tables.upsert(store.pass_percentage, pass_percentage(store, threshold, keep_zero), S.PASS_KEYS)
+    return store.commit({"pass_percentage": store.replaced("pass_percentage", rates)})
+
+
+def store_grace_marks(store: StoredTables, subject_name: str | None = None, class_name: str | None = None,
+                      subject_id: int | None = None, class_id: int | None = None) -> StoredTables:
+    """O6: rewrite the marks of the scope's partitions and upsert the new pass percentages."""
+    subject_ids = _ids(store, "subjects", "subject_id", "subject_name", subject_name, None)
+    class_ids = _ids(store, "classes", "class_id", "class_name", class_name, None)
+    job = grace_marks(store, subject_name, class_name, subject_id, class_id, store.pass_percentage)
+    scope = store.marks.select("class_id", "subject_id")
+    scope = dims.restrict(dims.restrict(scope, "class_id", class_id, class_ids), "subject_id", subject_id, subject_ids)
+    rates = job["pass_percentage"]
+    folders = store.rewritten("marks", scope.distinct(), lambda rows: tables.upsert(
+        rows, job["adjusted_marks"], S.MARK_KEYS))
+    return store.commit({"marks": folders, "pass_percentage": store.replaced("pass_percentage", rates)})
+
+
+def store_archive_student(store: StoredTables, student_id: int, leaving_date=None) -> StoredTables:
+    """O5: add the member's rows to the histories and rewrite the partitions that held them."""
+    keys = dims.member_keys(store.students, student_id)
+    moved = tables.archive(store.students, store.marks, keys, leaving_date)
+    new = {name: store.write(name, moved[name]) for name in ("students_history", "marks_history")}
+    held = tables.select_by_key(store.marks, keys, S.STUDENT_KEYS).select("class_id", "subject_id").distinct()
+    live = {
+        "students": store.rewritten("students", keys.select("class_id").distinct(),
+                                    lambda rows: tables.delete_by_key(rows, keys, S.STUDENT_KEYS)),
+        "marks": store.rewritten("marks", held, lambda rows: tables.delete_by_key(rows, keys, S.STUDENT_KEYS)),
+    }
+    return store.commit({**live, **{name: store.folders(name) + folders for name, folders in new.items()}})

@@ -17,18 +17,17 @@ cls AS (
   SELECT CAST(dense_rank() OVER (ORDER BY c_mktsegment) AS INTEGER) AS class_id, c_mktsegment AS class_name
   FROM (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL) d),
 grp AS (SELECT CAST(r_regionkey + 1 AS INTEGER) AS group_id, r_name AS group_name FROM region),
-tst AS (SELECT DISTINCT CAST(l_linenumber AS INTEGER) AS test_id FROM lineitem WHERE l_linenumber <= 3),
+tst AS (SELECT DISTINCT CAST(l_linenumber AS INTEGER) AS test_id FROM lineitem WHERE l_linenumber IS NOT NULL),
 stud AS (
   SELECT CAST(n_regionkey + 1 AS INTEGER) AS group_id, cls.class_id,
          CAST(c_custkey + 1 AS BIGINT) AS student_id, c_name AS firstname, c_mktsegment AS lastname
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN cls ON c_mktsegment = cls.class_name),
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN cls ON c_mktsegment = cls.class_name),
 ml AS (
   SELECT s.group_id, s.class_id, p.subject_id, s.student_id, CAST(l_linenumber AS INTEGER) AS test_id,
-         CASE WHEN max(l_quantity) < 4 THEN NULL ELSE 2 * max(l_quantity) END AS mark
+         CAST(2 * max(l_quantity) AS DOUBLE) AS mark
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        JOIN part ON l_partkey = p_partkey JOIN subj p ON p_type = p.subject_name
        JOIN stud s ON s.student_id = o_custkey + 1
-  WHERE l_linenumber <= 3 AND (s.group_id + p.subject_id) % 3 <> 0
   GROUP BY s.group_id, s.class_id, p.subject_id, s.student_id, l_linenumber),
 sgm AS (SELECT DISTINCT group_id, subject_id FROM ml),
 cgm AS (SELECT DISTINCT class_id, group_id FROM stud),
@@ -40,17 +39,21 @@ stm AS (
   SELECT class_id, student_id, test_id, avg(mark) AS average_marks
   FROM ml WHERE mark IS NOT NULL GROUP BY class_id, student_id, test_id),
 t1 AS (
-  SELECT student_id FROM ml WHERE mark IS NOT NULL AND test_id = 1
-  GROUP BY student_id HAVING avg(mark) > 50),
+  SELECT group_id, class_id, student_id FROM ml WHERE mark IS NOT NULL AND test_id = 1
+  GROUP BY group_id, class_id, student_id HAVING avg(mark) > 50),
 elig AS (
-  SELECT class_id, subject_id, student_id FROM mrow
-  WHERE average > 50 AND student_id IN (SELECT student_id FROM t1)),
+  SELECT m.group_id, m.class_id, m.subject_id, m.student_id FROM mrow m
+  WHERE average > 50
+    AND EXISTS (SELECT 1 FROM sgm g WHERE g.group_id = m.group_id AND g.subject_id = m.subject_id)
+    AND EXISTS (SELECT 1 FROM t1 WHERE t1.group_id IS NOT DISTINCT FROM m.group_id
+                AND t1.class_id IS NOT DISTINCT FROM m.class_id AND t1.student_id = m.student_id)),
 adj AS (
   SELECT ml.*, e.student_id IS NOT NULL AS eligible,
          CASE WHEN e.student_id IS NOT NULL AND ml.test_id = 1 AND ml.mark <= 95
               THEN ml.mark + 5 ELSE ml.mark END AS new_mark
   FROM ml LEFT JOIN elig e
-    ON ml.class_id = e.class_id AND ml.subject_id = e.subject_id AND ml.student_id = e.student_id),
+    ON ml.group_id = e.group_id AND ml.class_id = e.class_id AND ml.subject_id = e.subject_id
+       AND ml.student_id = e.student_id),
 member_keys AS (SELECT group_id, class_id, student_id FROM stud WHERE student_id = 10)
 """
 
@@ -147,7 +150,8 @@ FROM mrow WHERE average > 40 GROUP BY class_id, subject_id""",
 SELECT class_id, student_id, test_id, average_marks FROM stm""",
 
     "student_total_mean": """
-SELECT class_id, student_id, round(avg(average_marks), 9) AS total_average
+SELECT class_id, student_id,
+       list_reduce(list(average_marks ORDER BY test_id), lambda a, b: a + b) / count(*) AS total_average
 FROM stm GROUP BY class_id, student_id""",
 
     "top3_per_test": """
@@ -157,7 +161,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY class_id, test_id
 WHERE rn <= 3""",
 
     "top3_overall": """,
-tot AS (SELECT class_id, student_id, round(avg(average_marks), 9) AS total_average
+tot AS (SELECT class_id, student_id,
+               list_reduce(list(average_marks ORDER BY test_id), lambda a, b: a + b) / count(*) AS total_average
         FROM stm GROUP BY class_id, student_id)
 SELECT class_id, CAST(rn AS INTEGER) AS "rank", student_id, total_average
 FROM (SELECT *, row_number() OVER (PARTITION BY class_id
@@ -165,19 +170,20 @@ FROM (SELECT *, row_number() OVER (PARTITION BY class_id
 WHERE rn <= 3""",
 
     "members_mean_over": """
-SELECT student_id, avg(mark) AS average FROM ml
-WHERE mark IS NOT NULL AND test_id = 1 GROUP BY student_id HAVING avg(mark) > 50""",
+SELECT group_id, class_id, student_id, avg(mark) AS average FROM ml
+WHERE mark IS NOT NULL AND test_id = 1 GROUP BY group_id, class_id, student_id HAVING avg(mark) > 50""",
 
     "grace_eligible": """
-SELECT class_id, subject_id, student_id FROM elig""",
+SELECT group_id, class_id, subject_id, student_id FROM elig""",
 
     "grace_eligible_names": """
-SELECT e.class_id, e.subject_id, e.student_id,
+SELECT e.group_id, e.class_id, e.subject_id, e.student_id,
        coalesce(s.firstname, '') || ' ' || coalesce(s.lastname, '') AS full_name
-FROM elig e JOIN stud s ON e.student_id = s.student_id""",
+FROM elig e JOIN stud s ON e.group_id = s.group_id AND e.class_id = s.class_id
+     AND e.student_id = s.student_id""",
 
     "grace_adjusted_scores": """
-SELECT class_id, subject_id, student_id, test_id, new_mark AS mark,
+SELECT group_id, class_id, subject_id, student_id, test_id, new_mark AS mark,
        coalesce(new_mark <> mark, false) AS changed
 FROM adj""",
 
@@ -199,20 +205,9 @@ FROM c WHERE pb > 0 OR pa > 0""",
 
     "upsert_pass_rate": """,
 stored AS (""" + _PASS_RATE + """),
-t1c AS (
-  SELECT student_id FROM ml WHERE mark IS NOT NULL AND test_id = 1 AND class_id = 2
-  GROUP BY student_id HAVING avg(mark) > 50),
-scope AS (SELECT * FROM mrow WHERE class_id = 2 AND subject_id = 3),
-el AS (SELECT student_id FROM scope WHERE average > 50 AND student_id IN (SELECT student_id FROM t1c)),
-adj23 AS (
-  SELECT ml.class_id, ml.subject_id, ml.student_id, ml.group_id,
-         CASE WHEN el.student_id IS NOT NULL AND ml.test_id = 1 AND ml.mark <= 95
-              THEN ml.mark + 5 ELSE ml.mark END AS new_mark
-  FROM ml LEFT JOIN el ON ml.student_id = el.student_id
-  WHERE ml.class_id = 2 AND ml.subject_id = 3),
 a AS (
   SELECT class_id, subject_id, student_id, sum(coalesce(new_mark, 0)) / count(*) AS average
-  FROM adj23 GROUP BY group_id, class_id, subject_id, student_id),
+  FROM adj WHERE class_id = 2 AND subject_id = 3 GROUP BY group_id, class_id, subject_id, student_id),
 after AS (
   SELECT class_id, subject_id,
          CAST(count(CASE WHEN average > 40 THEN student_id END) AS DOUBLE) / count(student_id) * 100e0
@@ -224,18 +219,26 @@ WHERE NOT EXISTS (SELECT 1 FROM after f WHERE f.class_id = s.class_id AND f.subj
 UNION ALL
 SELECT * FROM after""",
 
-    "grace_upsert_marks": """,
-t1c AS (
-  SELECT student_id FROM ml WHERE mark IS NOT NULL AND test_id = 1 AND class_id = 2
-  GROUP BY student_id HAVING avg(mark) > 50),
-el AS (
-  SELECT student_id FROM mrow
-  WHERE class_id = 2 AND subject_id = 3 AND average > 50 AND student_id IN (SELECT student_id FROM t1c))
-SELECT ml.group_id, ml.class_id, ml.subject_id, ml.student_id, ml.test_id,
-       CASE WHEN ml.class_id = 2 AND ml.subject_id = 3 AND el.student_id IS NOT NULL
-                 AND ml.test_id = 1 AND ml.mark <= 95
-            THEN ml.mark + 5 ELSE ml.mark END AS mark
-FROM ml LEFT JOIN el ON ml.student_id = el.student_id""",
+    "grace_upsert_marks": """
+SELECT group_id, class_id, subject_id, student_id, test_id,
+       CASE WHEN class_id = 2 AND subject_id = 3 THEN new_mark ELSE mark END AS mark
+FROM adj""",
+
+    "stored_pass_rate_lookup": """
+SELECT * FROM (""" + _PASS_RATE + """) r WHERE class_id = 2 AND subject_id = 3""",
+
+    "group_takes_subject": """
+SELECT subject_id, EXISTS (SELECT 1 FROM sgm g JOIN stud s ON s.group_id = g.group_id
+                           WHERE s.student_id = 10 AND g.subject_id = subj.subject_id) AS takes
+FROM subj""",
+
+    "test_means_ranked": """
+SELECT *, CAST(row_number() OVER (PARTITION BY class_id, subject_id ORDER BY mean_mark DESC, test_id) AS INTEGER) AS "rank"
+FROM (SELECT class_id, subject_id, test_id, avg(mark) AS mean_mark
+      FROM ml WHERE mark IS NOT NULL GROUP BY class_id, subject_id, test_id) m""",
+
+    "archive_history_append": """
+SELECT s.*, DATE '2024-06-30' AS date_of_leaving FROM stud s WHERE student_id IN (10, 11)""",
 
     "delete_by_key": """
 SELECT m.group_id, m.class_id, m.subject_id, m.student_id FROM mrow m

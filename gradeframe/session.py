@@ -2,8 +2,8 @@
 
 Library code never builds its own session; callers pass one in. This helper is
 for tests, ``bench.py`` and command-line use. It keeps the Spark UI off, turns
-AQE (skew-join splitting, broadcast conversion from measured sizes; partition
-coalescing on clusters) on, and leaves ``autoBroadcastJoinThreshold`` at
+AQE (skew-join splitting, broadcast conversion from measured sizes, partition
+coalescing) on, and leaves ``autoBroadcastJoinThreshold`` at
 Spark's default so that every broadcast is behind Spark's own size check.
 """
 
@@ -27,10 +27,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
-        # Shuffle partitions equal the local core count, so merging small
-        # partitions would only idle cores; clusters keep AQE coalescing on.
-        .config("spark.sql.adaptive.coalescePartitions.enabled",
-                "false" if master.startswith("local") else "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("GRADEFRAME_DRIVER_MEMORY", "16g"))

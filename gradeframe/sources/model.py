@@ -7,30 +7,28 @@ with the inputs and nothing is collected:
 groups                 ``region``: group_id = r_regionkey + 1, group_name = r_name
 classes                distinct ``c_mktsegment`` numbered 1..n in name order
 subjects               distinct ``p_type`` numbered 1..n in name order
-tests                  distinct ``l_linenumber`` up to ``n_tests``, "Test i"
-students               ``customer`` joined to ``nation`` and ``classes``;
-                       written once per application
+tests                  distinct ``l_linenumber``, "Test i"
+students               ``customer`` with the group of its nation and the class
+                       of its segment (NULL where either is unknown)
 marks_long             line items (line number = test id) of each customer's
                        orders, per (student, subject of the part, test):
-                       mark = 2 x max(quantity), NULL when max(quantity) < 4,
-                       only where the student's group takes the subject
+                       mark = 2 x max(quantity)
 marks                  ``marks_long`` folded into a map per (group, class,
-                       subject, student); written once per application
-subject_group_mapper   distinct (group, subject) pairs of ``marks``
+                       subject, student)
+subject_group_mapper   distinct (group, subject) pairs of ``marks_long``
 class_group_mapper     distinct (class, group) pairs of ``students``
 =====================  ======================================================
 
+Every line item whose keys match counts. All tables are lazy plans over the
+inputs but the numbered dimensions, the tests and the subject bridge: these
+small tables are written once per application and input under
+``spark.checkpoint.dir``, so Spark's broadcast check sees their real size.
+A production run fills a store once (``jobs.fill_tables``) and reads that.
+
 Plan notes (for cluster scale): the line items are aggregated to one row per
 (customer, subject, test) -- with map-side partial aggregation, so a customer
 holding a large share of the line items does not land in one task -- before
-the join with ``students``. The small derived tables (numbered dimensions,
-tests, bridges) are written once per application under ``spark.checkpoint.dir``
-and read back (``store.materialize``), so Spark's broadcast size check sees
-their real size; no join carries a broadcast hint. ``marks`` is written once
-per application as well (``store.materialize_table``: partitioned by class and
-subject, sorted by member), so jobs scan it with partition pruning instead of
-repeating the line-item joins -- and a job that reads it under several filters
-never re-derives it once per filter.
+the join with ``students``. No join carries a broadcast hint.
 """
 
 from __future__ import annotations
@@ -38,25 +36,20 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeframe import schemas as S
 from gradeframe.functions.ids import dense_ids
 from gradeframe.functions.scores import build_score_map
+from gradeframe.scratch import folder_state, materialize
 from gradeframe.session import application_key
-from gradeframe.sources.store import materialize, materialize_table
-
-# Fixed values of the derivation from the input tables.
-N_TESTS = 3               # line numbers 1..3 are the three tests
-MARK_FACTOR = 2.0         # mark = 2 x max(l_quantity)
-MIN_QUANTITY = 4.0        # max(l_quantity) below this gives a NULL mark
-SUBJECT_RULE_MODULUS = 3  # a group takes a subject when (group_id + subject_id) % 3 <> 0
 
+# Fixed value of the derivation from the input tables.
+MARK_FACTOR = 2.0  # mark = 2 x max(l_quantity)
 
-def takes_subject(group_id: Column, subject_id: Column) -> Column:
-    """Rule of the derived data: which groups take which subjects."""
-    return ((group_id + subject_id) % F.lit(SUBJECT_RULE_MODULUS)) != F.lit(0)
+#: Input tables that the score tables are derived from.
+INPUTS = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 
 def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +62,6 @@ class Tables:
 
     spark: SparkSession
     sf_dir: str
-    n_tests: int = N_TESTS
     _cache: dict = field(default_factory=dict, repr=False)
 
     def _memo(self, name, build):
@@ -90,19 +82,19 @@ class Tables:
 
     @property
     def classes(self) -> DataFrame:
-        return self._memo("classes", lambda: materialize(dense_ids(
-            self.raw("customer"), "c_mktsegment", "class_id", "class_name"), "classes"))
+        return self._memo("classes", lambda: dense_ids(
+            self.raw("customer"), "c_mktsegment", "class_id", "class_name"))
 
     @property
     def subjects(self) -> DataFrame:
-        return self._memo("subjects", lambda: materialize(dense_ids(
-            self.raw("part"), "p_type", "subject_id", "subject_name"), "subjects"))
+        return self._memo("subjects", lambda: dense_ids(
+            self.raw("part"), "p_type", "subject_id", "subject_name"))
 
     @property
     def tests(self) -> DataFrame:
         def build():
-            ids = (self.raw("lineitem").where(F.col("l_linenumber") <= self.n_tests)
-                   .select(F.col("l_linenumber").cast("int").alias("test_id")).distinct())
+            ids = (self.raw("lineitem").select(F.col("l_linenumber").cast("int").alias("test_id"))
+                   .where(F.col("test_id").isNotNull()).distinct())
             return materialize(ids.select("test_id", F.concat(
                 F.lit(S.TEST_LABEL_PREFIX), F.col("test_id").cast("string")).alias("test_name")), "tests")
         return self._memo("tests", build)
@@ -113,9 +105,9 @@ class Tables:
         def build():
             cust = self.raw("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
             nation = self.raw("nation").select("n_nationkey", "n_regionkey")
-            derived = (
-                cust.join(nation, cust.c_nationkey == nation.n_nationkey)
-                .join(self.classes, F.col("c_mktsegment") == F.col("class_name"))
+            return (
+                cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
+                .join(self.classes, F.col("c_mktsegment") == F.col("class_name"), "left")
                 .select(
                     (F.col("n_regionkey") + 1).cast("int").alias("group_id"),
                     F.col("class_id"),
@@ -124,18 +116,13 @@ class Tables:
                     F.col("c_mktsegment").alias("lastname"),
                 )
             )
-            # Filled once per application (partitioned by class, sorted by
-            # member id): member lookups prune row groups on ``student_id``,
-            # which a filter on ``c_custkey + 1`` could not push into the scan.
-            return materialize_table(derived, "students")
         return self._memo("students", build)
 
     # marks ------------------------------------------------------------------
     @property
     def marks_long(self) -> DataFrame:
         def build():
-            li = (self.raw("lineitem").where(F.col("l_linenumber") <= self.n_tests)
-                  .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
+            li = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
             orders = self.raw("orders").select("o_orderkey", "o_custkey")
             part = self.raw("part").select("p_partkey", "p_type")
             # The subject lookup is a small stored table (broadcast by Spark's
@@ -157,28 +144,21 @@ class Tables:
             members = self.students.select("group_id", "class_id", "student_id")
             return (
                 per_test.join(members, "student_id")
-                .where(takes_subject(F.col("group_id"), F.col("subject_id")))
                 .select(
                     "group_id", "class_id", "subject_id", "student_id", "test_id",
-                    F.when(F.col("q") < MIN_QUANTITY, F.lit(None).cast("double"))
-                    .otherwise(F.lit(MARK_FACTOR) * F.col("q")).alias("mark"),
+                    (F.lit(MARK_FACTOR) * F.col("q")).cast("double").alias("mark"),
                 )
             )
         return self._memo("marks_long", build)
 
     @property
     def marks(self) -> DataFrame:
-        # Filled once per application, like the stored table of the original
-        # application: every job reads it (with partition pruning) instead of
-        # joining and aggregating the line items again in each query.
-        return self._memo("marks", lambda: materialize_table(build_score_map(self.marks_long), "marks"))
+        return self._memo("marks", lambda: build_score_map(self.marks_long))
 
     # bridges ----------------------------------------------------------------
     @property
     def subject_group_mapper(self) -> DataFrame:
-        # From the filled score table (every long row belongs to one of its
-        # rows), so the line items are not joined a second time for the bridge.
-        return self._memo("subject_group_mapper", lambda: materialize(self.marks.select(
+        return self._memo("subject_group_mapper", lambda: materialize(self.marks_long.select(
             "group_id", "subject_id").distinct(), "subject_group_mapper"))
 
     @property
@@ -189,30 +169,21 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    def for_writing(self, name: str) -> DataFrame:
-        """``name`` for a job that writes it: the score table as its plan over the
-        inputs unless it is already filled, so a fill job writes it only once."""
-        if name == "marks" and "marks" not in self._cache:
-            return build_score_map(self.marks_long)
-        return self.table(name)
-
 
 _LOADED: dict[tuple, Tables] = {}
 
 
-def load(spark: SparkSession, sf_dir: str, n_tests: int = N_TESTS, fresh: bool = False) -> Tables:
+def load(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Tables:
     """The derived tables of ``sf_dir``, shared by all callers in one application.
 
-    Input directories are immutable snapshots, so the small derived tables
-    (numbered dimensions, tests, bridges) and the score table ``marks`` are
-    derived once per application and input and written under the checkpoint
-    folder (``marks`` partitioned by class and subject, ``students`` by class);
-    ``marks_long`` stays a lazy plan over the inputs. Every query's work grows
-    with the inputs. ``fresh=True`` derives everything again.
+    The small derived tables are made once per application and state of the
+    input files (their names, sizes and times); everything else is a lazy plan.
+    ``fresh=True`` derives the small tables again.
     """
-    key = (application_key(spark), id(spark), os.path.abspath(sf_dir), n_tests)
-    if fresh or key not in _LOADED:
-        _LOADED[key] = Tables(spark, sf_dir, n_tests)
+    state = tuple(folder_state(spark, os.path.join(sf_dir, f"{name}.parquet")) for name in INPUTS)
+    key = (application_key(spark), sf_dir, state)
+    if fresh or key not in _LOADED or _LOADED[key].spark is not spark:
+        _LOADED[key] = Tables(spark, sf_dir)
     return _LOADED[key]
 
 

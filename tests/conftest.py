@@ -8,6 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from gradeframe import schemas as S  # noqa: E402
 from gradeframe.session import get_session  # noqa: E402
 
+from gradeframe.plans.catalog import QUERIES  # noqa: E402
+
+#: The queries of the score tables (other subpackages have tests of their own).
+NAMES = sorted(QUERIES)
+
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
 

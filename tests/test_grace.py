@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import marks_frame, rows, students_frame
+from gradeframe import schemas as S
 from gradeframe.functions.scores import explode_scores
 from gradeframe.operators import grace
 
@@ -23,7 +24,7 @@ def _marks(spark):
 
 def test_eligibility(spark):
     flagged = grace.flag_eligible(_marks(spark), class_id=2, subject_id=3)
-    assert rows(grace.grace_eligible(flagged)) == [(2, 3, 1), (2, 3, 4)]
+    assert rows(grace.grace_eligible(flagged)) == [(1, 2, 3, 1), (1, 2, 3, 4)]
 
 
 def test_all_pairs_equal_per_pair_runs(spark):
@@ -70,7 +71,7 @@ def test_scope_by_id_frames_equals_scope_by_ids(spark):
     ids = spark.createDataFrame([(3,)], "subject_id int")
     cls = spark.createDataFrame([(2,)], "class_id int")
     by_frame = rows(grace.grace_eligible(grace.flag_eligible(m, class_ids=cls, subject_ids=ids)))
-    assert by_id == by_frame == [(2, 3, 1), (2, 3, 4)]
+    assert by_id == by_frame == [(1, 2, 3, 1), (1, 2, 3, 4)]
 
 
 def test_next_marks_equals_upsert_of_adjusted_rows(spark):
@@ -82,9 +83,35 @@ def test_next_marks_equals_upsert_of_adjusted_rows(spark):
     def rows_any(df):  # rows may hold NULL ids
         return sorted((tuple(r) for r in df.collect()), key=repr)
 
-    want = rows_any(tables.upsert(m, adj, S.MARK_KEYS, check_unique=False))
+    want = rows_any(tables.upsert(m, adj, S.MARK_KEYS))
     assert rows_any(grace.next_marks(m, adj, class_id=2, subject_id=3)) == want
     cls = spark.createDataFrame([(2,)], "class_id int")
     sub = spark.createDataFrame([(3,)], "subject_id int")
     assert rows_any(grace.next_marks(m, adj, class_ids=cls, subject_ids=sub)) == want
     assert grace.next_marks(m, adj, class_ids=cls, subject_ids=sub).count() == m.count()
+
+
+def test_same_student_id_in_two_classes_and_two_groups(spark):
+    """The test mean, the eligibility and the names are the member's own: (group, class, id)."""
+    m = marks_frame(spark, [
+        (1, 1, 3, 7, {1: 60.0}), (1, 2, 3, 7, {1: 20.0, 2: 100.0, 3: 100.0}),   # two classes
+        (1, 1, 3, 8, {1: 60.0}), (2, 1, 3, 8, {1: 20.0, 2: 100.0, 3: 100.0}),   # two groups
+    ])
+    want = [(1, 1, 3, 7), (1, 1, 3, 8)]
+    assert rows(grace.grace_eligible(grace.flag_eligible(m))) == want
+    assert rows(grace.grace_eligible(grace.flag_eligible(m, class_id=1, subject_id=3))) == want
+    st = students_frame(spark, [(1, 1, 7, "a", "x"), (1, 2, 7, "b", "y"), (1, 1, 8, "c", "z"), (2, 1, 8, "d", "w")])
+    names = grace.eligible_names(grace.grace_eligible(grace.flag_eligible(m)), st)
+    assert rows(names, "student_id", "full_name") == [(7, "a x"), (8, "c z")]
+
+
+def test_only_groups_that_take_the_subject(spark):
+    m = marks_frame(spark, [(1, 1, 3, 7, {1: 60.0}), (2, 1, 3, 8, {1: 60.0})])
+    bridge = spark.createDataFrame([(1, 3), (2, 4)], S.SUBJECT_GROUP)
+    assert rows(grace.grace_eligible(grace.flag_eligible(m, subject_group=bridge))) == [(1, 1, 3, 7)]
+
+
+def test_stored_rate_is_the_before_side(spark):
+    stored = spark.createDataFrame([(2, 3, 12.5)], S.PASS_PERCENTAGE)
+    after = spark.createDataFrame([(2, 3, 50.0), (2, 4, 10.0)], S.PASS_PERCENTAGE)
+    assert sorted(rows(grace.stored_before_after(stored, after)), key=str) == [(2, 3, 12.5, 50.0), (2, 4, None, 10.0)]

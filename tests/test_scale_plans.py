@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from conftest import NAMES, SF_SMALL
 from test_catalog import TABLES, _canon
 
 NO_BROADCAST = {
@@ -39,7 +39,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_shuffle_join_plans_match_oracle(large_mode, con, name):
     df = E.queries()[name](large_mode, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
@@ -58,7 +58,26 @@ def test_derivation_uses_shuffle_joins_with_partial_aggregation(large_mode):
     assert "partial_max(l_quantity" in plan
 
 
-def test_point_keys_stay_broadcast(large_mode):
-    df = E.queries()["delete_by_key"](large_mode, SF_SMALL)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+def _final(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_rate_upsert_reads_the_marks_twice_at_most(large_mode):
+    """On a store: one scan of marks (scope with test means) and five shuffles; two scans if the rates are computed too."""
+    import tempfile
+
+    from gradeframe.plans import jobs
+    from gradeframe.sources import load
+    store = jobs.fill_tables(load(large_mode, SF_SMALL), tempfile.mkdtemp(prefix="gradeframe-store-") + "/s")
+    def marks_scans(plan):
+        return [x for x in plan.splitlines() if "FileScan parquet" in x and "test_marks" in x]
+
+    store = jobs.store_pass_percentage(store)
+    plan = _final(jobs.grace_marks(store, subject_id=3, class_id=2, stored_pass_rate=store.pass_percentage)["pass_percentage"])
+    assert len(marks_scans(plan)) == 1 and "PartitionFilters: [isnotnull(class_id" in marks_scans(plan)[0]
+    assert plan.count("Exchange hashpartitioning") <= 5
+    plan = _final(jobs.grace_marks(store, subject_id=3, class_id=2)["pass_percentage"])
+    assert len(marks_scans(plan)) == 2 and plan.count("Exchange hashpartitioning") <= 6
+    plan = _final(jobs.top_students(store)["overall"])
+    assert plan.count("Exchange hashpartitioning") <= 2

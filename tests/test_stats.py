@@ -78,4 +78,4 @@ def test_members_mean_over_is_strict(spark):
         (1, 2, 3, 1, {1: 50.0}), (1, 2, 4, 1, {1: 50.0}),
         (1, 2, 3, 2, {1: 52.0}), (1, 2, 4, 2, {1: None}),
     ])
-    assert rows(stats.members_mean_over(m)) == [(2, 52.0)]
+    assert rows(stats.members_mean_over(m)) == [(1, 2, 2, 52.0)]

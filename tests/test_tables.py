@@ -89,3 +89,31 @@ def test_outputs_keep_the_table_column_order(spark):
     assert out["students_history"].columns == st.columns + ["date_of_leaving"]
     assert tables.delete_by_key(m, keys, S.STUDENT_KEYS).columns == m.columns
     assert tables.upsert(m, m.limit(1), S.MARK_KEYS).columns == m.columns
+
+
+@pytest.mark.parametrize("use", [lambda d: d.count(), lambda d: d.select(*S.PASS_KEYS).collect(), lambda d: d.collect()])
+def test_upsert_rejects_duplicate_keys_however_it_is_read(spark, use):
+    dup = _rates(spark, [(2, 4, 60.0), (2, 4, 61.0)])
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        use(tables.upsert(_rates(spark, [(2, 3, 50.0)]), dup, S.PASS_KEYS))
+
+
+def test_null_keys_are_keys(spark):
+    stored, new = _rates(spark, [(None, 3, 50.0), (2, 3, 1.0)]), _rates(spark, [(None, 3, 60.0), (2, None, 7.0)])
+    once = tables.upsert(stored, new, S.PASS_KEYS)
+    twice = tables.upsert(once, new, S.PASS_KEYS)
+    want = [(2, 3, 1.0), (2, None, 7.0), (None, 3, 60.0)]
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str) == sorted(want, key=str)
+    left = tables.delete_by_key(twice, _rates(spark, [(None, 3, 0.0)]), S.PASS_KEYS)
+    assert sorted(map(tuple, left.collect()), key=str) == [(2, 3, 1.0), (2, None, 7.0)]
+
+
+def test_second_archive_keeps_the_first_member(spark):
+    st, m = students_frame(spark, STUDENTS), marks_frame(spark, FIXTURE_MARKS)
+    keys = lambda i: st.where(f"student_id = {i}").select(*S.STUDENT_KEYS)
+    one = tables.archive(st, m, keys(1), "2024-06-30")
+    two = tables.archive(one["students_live"], one["marks_live"], keys(2), "2024-07-01",
+                         one["students_history"], one["marks_history"])
+    assert rows(two["students_history"], "student_id") == [(1,), (2,)]
+    assert rows(two["marks_history"], "student_id") == [(1,), (2,)]
+    assert two["students_live"].count() == len(STUDENTS) - 2

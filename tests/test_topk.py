@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from conftest import marks_frame, rows
 from gradeframe.operators import stats, topk
 
@@ -25,8 +27,8 @@ def test_overall_matches_single_class_limit(spark):
     per_test = stats.student_test_means(_tie_marks(spark))
     totals = stats.student_total_mean(per_test)
     a = rows(topk.top_overall(totals), "student_id", "total_average")
-    b = rows(topk.top_overall_of_class(totals, 2), "student_id", "total_average")
-    assert a == b and len(a) == 3
+    b = totals.where("class_id = 2").orderBy(F.desc("total_average"), "student_id").limit(3)
+    assert a == rows(b, "student_id", "total_average") and len(a) == 3
 
 
 def test_per_key_top_k_plans_partial_group_limit(spark):
@@ -36,9 +38,8 @@ def test_per_key_top_k_plans_partial_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_single_top_k_is_take_ordered(spark):
-    from gradeframe.sources import load
-    t = load(spark, "/root/testdata/sf0.001")
-    totals = stats.student_total_mean(stats.student_test_means(t.marks))
-    plan = topk.top_overall_of_class(totals, 2)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
+def test_ranked_on_the_exact_mean(spark):
+    """Means that differ only far behind the point are no tie."""
+    data = [(1, 2, 3, 1, {1: 70.0}), (1, 2, 3, 2, {1: 70.0 + 1e-11}), (1, 2, 3, 3, {1: 70.0 + 2e-11})]
+    totals = stats.student_total_mean(stats.student_test_means(marks_frame(spark, data)))
+    assert rows(topk.top_overall(totals), "rank", "student_id") == [(1, 3), (2, 2), (3, 1)]
