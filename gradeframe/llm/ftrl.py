@@ -69,4 +69,5 @@ def fit(rows: DataFrame, features, size: int, epochs: int, **parameters) -> np.n
         yield pa.RecordBatch.from_arrays([pa.array([model.weights().astype("<f4").tobytes()], pa.binary())], names=["weights"])
 
     ordered = rows.repartition(1).sortWithinPartitions("place", "text", "label")
-    return np.frombuffer(ordered.mapInArrow(run, "weights binary").first()["weights"], "<f4")
+    found = ordered.mapInArrow(run, "weights binary").first()
+    return np.frombuffer(found["weights"], "<f4") if found else np.zeros(size, "<f4")

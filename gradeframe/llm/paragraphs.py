@@ -83,6 +83,16 @@ def sequence_hashes(hashes: np.ndarray, begin: np.ndarray, salt: int) -> np.ndar
     return mix64(np.add.reduceat(mix64(hashes ^ _MIX[salt]) * power[: len(hashes)], begin) * inverse[begin] + n)
 
 
+def range_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, salt: int) -> np.ndarray:
+    """Hash of the words of each range."""
+    if not len(first):
+        return np.zeros(0, np.uint64)
+    power, inverse = _powers(len(hashes))
+    weighed = np.append(mix64(hashes ^ _MIX[salt]) * power[: len(hashes)], np.uint64(0))
+    sums = np.add.reduceat(weighed, np.stack((first, last), 1).ravel())[::2]
+    return mix64(sums * inverse[first] + (last - first).astype(np.uint64))
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, h, first (word), n (words), key, bands of paragraphs of at least ``SHORT`` words."""
 
@@ -129,21 +139,25 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for a, b, texts in text_slices(batch.column("text")):
-                items = dict(enumerate(batch.column("items").slice(a, b - a).to_pylist(), a))
-                rows, out = [], [[] for _ in range(7)]
-                for i in range(a, b):
-                    hashes = word_spans([texts[i - a].encode("utf-8", "replace")])[-1]
-                    short = (hashes & np.uint64(0x7FFFFFFF)).astype(np.int32)
-                    firsts, lasts = {x["first"] for x in items[i]}, {x["first"] + x["n"] for x in items[i]}
-                    for x in items[i]:
+                items = batch.column("items").slice(a, b - a).to_pylist()
+                *_, text, hashes = word_spans([t.encode("utf-8", "replace") for t in texts])
+                begin = np.searchsorted(text, np.arange(len(texts) + 1))
+                short = (hashes & np.uint64(0x7FFFFFFF)).astype(np.int32)
+                shingles = shingle_hashes(hashes)
+                rows, out = [], [[] for _ in range(6)]
+                for i, own in enumerate(items):
+                    at, end = int(begin[i]), int(begin[i + 1])
+                    firsts, lasts = {x["first"] for x in own}, {x["first"] + x["n"] for x in own}
+                    for x in own:
                         p, q = x["first"], x["first"] + x["n"]
-                        rows.append(i)
-                        shingles = np.unique(shingle_hashes(hashes[p:q])).view(np.int64) if x["probe"] else None
-                        before = short[max(0, p - CONTEXT): p][::-1] if p not in lasts else short[:0]
-                        after = short[q: q + CONTEXT] if q not in firsts else short[:0]
-                        check = int(sequence_hashes(hashes[p:q], np.zeros(1, np.int64), 21).view(np.int64)[0])
-                        for c, v in zip(out, (p, x["n"], x["key"], check, shingles, before, after), strict=True):
+                        rows.append(a + i)
+                        found = np.unique(shingles[at + p: at + q - WORDS + 1]).view(np.int64) if x["probe"] else None
+                        before = short[max(at, at + p - CONTEXT): at + p][::-1] if p not in lasts else short[:0]
+                        after = short[at + q: min(end, at + q + CONTEXT)] if q not in firsts else short[:0]
+                        for c, v in zip(out, (p, x["n"], x["key"], found, before, after), strict=True):
                             c.append(v)
+                first = begin[np.array(rows, np.int64) - a] + np.array(out[0], np.int64)
+                out.insert(3, range_hashes(hashes, first, first + np.array(out[1], np.int64), 21).view(np.int64))
                 types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), batch.column("h").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=["doc_id", "h", "first", "n", "key", "check", "shingles", "before", "after"])
 
@@ -322,7 +336,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.hash(text).alias("h"))
     spans = repeated_spans(keyed)
-    lists = spans.groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last")).alias("spans"), F.sort_array(F.collect_set("kept_doc_id")).alias("duplicate_of"))
+    lists = spans.groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last")).alias("_spans"), F.sort_array(F.collect_set("kept_doc_id")).alias("duplicate_of"))
     lists = lists.withColumnRenamed("doc_id", "_id").withColumnRenamed("h", "_h")
     joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["_id"]) & (F.hash(F.coalesce(docs["text"], F.lit(""))) == lists["_h"]), "left").drop("_id", "_h")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -332,7 +346,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for a, b, texts in text_slices(batch.column("text")):
                 part, removed, new = batch.slice(a, b - a), [], {}
-                for i, own in enumerate(part.column("spans").to_pylist()):
+                for i, own in enumerate(part.column("_spans").to_pylist()):
                     n = 0
                     if own:
                         new[i], n = without(texts[i], [(x["first"], x["last"]) for x in own])

@@ -270,7 +270,7 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> np.ndarray:
                 index = np.concatenate(([0], index[index > 0]))
                 yield index, np.ones(len(index))
 
-    return ftrl.fit(rows, features, 1 << BITS, epochs=5, alpha=1.0, beta=1.0, l1=3.0, l2=0.0)
+    return ftrl.fit(rows, features, 1 << BITS, epochs=3, alpha=1.0, beta=1.0, l1=5.0, l2=0.0)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
