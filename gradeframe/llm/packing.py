@@ -16,6 +16,7 @@ length) from the tokenizing pass plus the counts of earlier tasks.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ from gradeframe.llm.tokens import encoder
 
 CAPACITY = 1024
 #: Fillings that the search may enumerate in all, and per bin.
-NODES, STEPS, KEPT = 60_000, 400, 4
+NODES, STEPS, KEPT = 12_000, 400, 4
 
 Pattern = tuple[tuple[int, ...], int]  # lengths of one bin, number of such bins
 
@@ -86,29 +87,32 @@ def fillings(counts: np.ndarray, room: int, most_waste: int) -> tuple[list[tuple
     if room and counts[room]:
         return [(room,)], 1
     sizes = np.flatnonzero(counts[: room + 1])[::-1].tolist()
+    rising = [-n for n in sizes]
     found: list[tuple[int, tuple[int, ...]]] = []
-    steps = 0
+    steps = perfect = 0
 
     def go(i: int, left: int, taken: list[int]) -> bool:
-        nonlocal steps
+        nonlocal steps, perfect
         steps += 1
-        if steps > STEPS or sum(not w for w, _ in found) >= KEPT:
+        if steps > STEPS or perfect >= KEPT:
             return False
         grown = False
         # One last piece that closes the room exactly comes first.
         if left and i < len(sizes) and left <= sizes[i] and counts[left] > taken.count(left):
             found.append((0, (*taken, left)))
+            perfect += 1
             return True
-        for j in range(i, len(sizes)):
+        for j in range(max(i, bisect_left(rising, -left)), len(sizes)):
             n = sizes[j]
-            if n > left or counts[n] <= taken.count(n):
+            if counts[n] <= taken.count(n):
                 continue
             grown = True
             go(j, left - n, [*taken, n])
-            if steps > STEPS or sum(not w for w, _ in found) >= KEPT:
+            if steps > STEPS or perfect >= KEPT:
                 break
         if not grown and left <= most_waste:
             found.append((left, tuple(taken)))
+            perfect += not left
         return True
 
     go(0, room, [])

@@ -22,7 +22,7 @@ import numpy as np
 
 from gradeframe.llm.common import span_hashes, word_spans
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 #: Longer chunks are not kept: they hardly repeat.
 CACHE_BYTES = 64
 
@@ -100,16 +100,19 @@ class Encoder:
         if len(young) > CACHE_ENTRIES:
             old, young = self.old, self.young = young, {}
             self.words = {}
+        out = list(map(young.get, chunks))
+        missing = [i for i, ids in enumerate(out) if ids is None]
         new = []
-        for c in chunks:
-            if c not in young:
-                ids = old.get(c)
-                if ids is None:
-                    new.append(c)
-                else:
-                    young[c] = ids
+        for i in missing:
+            c = chunks[i]
+            ids = old.get(c)
+            if ids is None:
+                new.append(c)
+            else:
+                young[c] = ids
         self._encode_new(new)
-        out = [young[c] for c in chunks]
+        for i in missing:
+            out[i] = young[chunks[i]]
         for c in new:
             if len(c) > CACHE_BYTES:
                 del young[c]
@@ -130,7 +133,11 @@ class Encoder:
                 first = np.flatnonzero(np.diff(text, prepend=-1))
                 starts[first] = begin[text[first]]
                 hashes = span_hashes(buf, starts, ends)
-            _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+            order = np.argsort(hashes)
+            same = hashes[order]
+            edge = np.concatenate(([True], same[1:] != same[:-1]))
+            at, which = order[edge], np.empty(len(order), np.int64)
+            which[order] = np.cumsum(edge) - 1
             found = self._look_up([whole[p:q] for p, q in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             n = np.fromiter(map(len, found), np.int64, len(found)) // 4
             place = np.cumsum(n) - n
