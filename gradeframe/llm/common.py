@@ -52,17 +52,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
-def release(*tables: DataFrame) -> None:
-    """Delete tables made by ``stored`` that nothing reads any more, and let Spark drop
-    the shuffle files of finished steps (it does so when the driver collects garbage)."""
+def release(*tables: DataFrame, sweep: bool = False) -> None:
+    """Delete tables made by ``stored`` that nothing reads any more; with ``sweep`` let Spark
+    drop the shuffle files of finished steps too (it does so when the driver collects garbage)."""
     for table in tables:
         spark = table.sparkSession
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()
+    if sweep:
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def crc_rest(doc_id, modulus: int):

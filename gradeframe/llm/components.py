@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import stored
+from gradeframe.llm.common import release, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,7 +27,9 @@ def components(links: DataFrame) -> DataFrame:
         least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         after = stored(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        if after.count() == edges.count() and after.join(edges, ["u", "v"], "left_anti").isEmpty():
+        same = after.count() == edges.count() and after.join(edges, ["u", "v"], "left_anti").isEmpty()
+        release(edges, smallest, large, least)
+        if same:
             break
         edges = after
     return after.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

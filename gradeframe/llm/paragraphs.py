@@ -276,13 +276,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     near = shared.select("key").distinct().withColumn("probe", F.lit(True))
     candidates = keys.join(near, "key", "left").where("copies > 1 or probe").select("key", "place", F.coalesce("probe", F.lit(False)).alias("probe"))
     candidates = stored(candidates, "paragraph-candidates")
-    release(keys)
+    release(keys, sweep=True)
     here = found.select("doc_id", "h", "first", "n", "key").join(candidates, "key")
     here = here.select("doc_id", "h", F.struct("first", "n", "key", (F.col("probe") & place.eqNullSafe(F.col("place"))).alias("probe")).alias("item"))
     wanted = stored(here.groupBy("doc_id", "h").agg(F.collect_list("item").alias("items")), "paragraph-wanted")
-    release(found, candidates)
+    release(found, candidates, sweep=True)
     detail = stored(details(docs, wanted), "paragraph-details")
-    release(wanted)
+    release(wanted, sweep=True)
 
     probes = detail.where("shingles is not null").dropDuplicates(["key"]).select("key", "shingles")
     classes = components(stored(verified(shared, probes), "paragraph-links"))
@@ -302,7 +302,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         (F.col("first") + F.col("n") + common_prefix(F.col("after"), F.col("kept.after"))).alias("last"),
         F.col("kept.doc_id").alias("kept_doc_id"))
     spans = stored(spans, "paragraph-spans")
-    release(detail, shared, kept, classes)
+    release(detail, shared, kept, classes, sweep=True)
     return spans
 
 

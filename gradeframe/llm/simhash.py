@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import mix64, stored, text_slices
+from gradeframe.llm.common import mix64, release, stored, text_slices
 from gradeframe.llm.components import components
 
 SEED = 42
@@ -253,4 +253,5 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, shard_poin
     classes = stored(components(joined), "fingerprint-classes")
     named = points.join(roots.select("rep", "root"), "rep", "left").join(classes, F.col("root") == F.col("node"), "left")
     named = stored(named.select("fp", F.coalesce("component", "root", "rep").alias("component_id")), "fingerprint-components")
+    release(points, found, roots, classes)
     return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
