@@ -104,7 +104,7 @@ def key_lists(bridge: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Per ``key`` the sorted distinct ``value``s as a comma list.
 
     The list is bounded by the size of the value dimension (e.g. the number of
-    subjects), so collecting it per key is safe.
+    subjects), which must be small enough for one row.
     """
     return (bridge.groupBy(key)
             .agg(F.array_join(F.transform(F.array_sort(F.collect_set(value)), lambda v: v.cast("string")),
@@ -114,7 +114,10 @@ def key_lists(bridge: DataFrame, key: str, value: str, out: str) -> DataFrame:
 def member_profile(students: DataFrame, groups: DataFrame, classes: DataFrame,
                    subjects: DataFrame, subject_group: DataFrame,
                    student_id: int | None = None) -> DataFrame:
-    """Name, group name, class name and subject names (in subject id order) per member."""
+    """Name, group name, class name and subject names (in subject id order) per member.
+
+    The subject list of a group stands on each of its members' rows: meant for
+    dimensions of subjects that stay small (hundreds); use the bridge otherwise."""
     subject_names = (
         subject_group.select("group_id", "subject_id").distinct()
         .join(subjects, "subject_id")
