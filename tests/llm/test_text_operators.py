@@ -417,3 +417,20 @@ def test_four_grams_count_the_whole_corpus(spark, docs):
     got = {r["gram"]: r["n"] for r in toxicity.four_grams(spark.createDataFrame([("ab ab1ab",), (None,), ("Éa",)], "text string").repartition(2)).collect()}
     code = lambda *s: ((s[0] * 32 + s[1]) * 32 + s[2]) * 32 + s[3]
     assert got[code(0, 0, 0, 1)] == 3 and got[code(0, 0, 1, 2)] == 3 and got[code(0, 1, 2, 0)] == 3 and got[code(0, 0, 5, 1)] == 1
+
+
+@pytest.mark.parametrize("limits", [(40, 10**6), (10**6, 60), (300, 2000), (10**6, 10**7)])
+@pytest.mark.parametrize(("path", "spaced"), [(BYTE_BPE, True), (WORD_BPE, False)])
+def test_cached_chunks_give_the_ids_of_whole_texts(monkeypatch, limits, path, spaced):
+    """Also when the cache keeps dropping chunks."""
+    from gradeframe.llm import tokens
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", limits[0])
+    monkeypatch.setattr(tokens, "CACHE_IDS", limits[1])
+    monkeypatch.setattr(tokens, "CACHE_PIECES", limits[0])
+    texts = [r[1] or "" for r in ROWS if r[0] != 5] + [" lead", "trail \n", "   x \xa0\ny", "a   b", "日本語" * 500, "it's I'LL 'tis", "12,5.3 a.b,c ...?!", "ªb ºc µm ×÷"]
+    own, library = tokens.Encoder(path, spaced), Tokenizer.from_file(path)
+    r = random.Random(limits[0])
+    for _ in range(6):
+        some = r.sample(texts, 9)
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert own.encode([]) == []
