@@ -35,36 +35,36 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, creating a scratch one only if unset.
+    """The cluster's checkpoint folder; nothing of the caller's session is changed.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as is.
     Only in local mode with nothing configured (tests) is a fresh temporary
-    folder set; on a cluster a missing setting is an error, because a
-    machine-local folder is not visible to the executors.
+    folder made, one an application; on a cluster a missing setting is an
+    error, because a machine-local folder is not visible to the executors.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the folder
-        configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
             raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
         return configured
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir() or configured
     if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir()
+        return current
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder "
                            "(HDFS, object store) for checkpoints and derived tables")
-    scratch = tempfile.mkdtemp(prefix="gradeframe-ckpt-")
-    sc.setCheckpointDir(scratch)
-    return sc.getCheckpointDir()
+    if sc.applicationId not in _SCRATCH:
+        _SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="gradeframe-scratch-")
+    return _SCRATCH[sc.applicationId]
 
 
 def application_key(spark: SparkSession) -> str:
