@@ -41,7 +41,7 @@ WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 5
 CONTEXT = 24
 LEAST = 25
-BUCKET = 1024
+BUCKET = 256
 
 _MIX = mix64(np.arange(1, 64, dtype=np.uint64))
 _ODD = mix64(np.arange(101, 101 + ROWS * BANDS, dtype=np.uint64)) | np.uint64(1)
