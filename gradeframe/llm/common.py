@@ -20,7 +20,7 @@ from gradeframe.sources.store import materialize
 __all__ = ["crc_rest", "mix64", "read", "release", "ship", "slices", "span_hashes", "stored", "text_slices", "texts_of", "word_spans"]
 
 #: Bytes of text that one numpy pass works on (a longer text is one pass of its own).
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
 
 
 _SHIPPED: set[str] = set()
