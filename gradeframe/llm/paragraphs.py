@@ -39,7 +39,7 @@ from gradeframe.llm.components import components
 SHORT, LONG, NEAR = 9, 40, 8
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 5
-CONTEXT = 24
+CONTEXT = 32
 LEAST = 25
 BUCKET = 256
 
@@ -129,11 +129,30 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint, bands array<bigint>")
 
 
+def covered(items: list) -> list[tuple[bool, bool]]:
+    """Whether the words before and after each item are removed by another item for sure.
+
+    ``items`` of one document: dicts or rows with first, n, both, kept and shift."""
+    out = [[False, False] for _ in items]
+    for side in (0, 1):
+        reach: dict = {}  # by occurrence and shift: how far the items so far go
+        for k in sorted(range(len(items)), key=lambda k: items[k]["first"] if not side else -items[k]["first"] - items[k]["n"]):
+            x = items[k]
+            if x["both"]:
+                continue
+            near, far = (x["first"], x["first"] + x["n"]) if not side else (-x["first"] - x["n"], -x["first"])
+            line = x["kept"], x["shift"]
+            out[k][side] = reach.get(line, near - 1) >= near
+            reach[line] = max(reach.get(line, far), far)
+    return [(a, b) for a, b in out]
+
+
 def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Second hash, shingles (of probes) and word contexts of wanted paragraphs.
 
-    ``wanted``: doc_id, h, items (first, n, key, probe). A side where the next paragraph is
-    wanted too has no context: what lies there is dealt with on its own."""
+    ``wanted``: doc_id, h, items (first, n, key, probe, both, kept, shift). A side has no context
+    only where another paragraph repeats the words there from the same occurrence (``kept``, at
+    the same ``shift``) and removes them itself; what may stay or change class (``both``) has both."""
     joined = docs.join(wanted, (docs["doc_id"].eqNullSafe(wanted["doc_id"])) & (docs["h"] == wanted["h"])).select(docs["doc_id"], docs["h"], "text", "items")
 
     def run(batches):
@@ -147,13 +166,13 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 rows, out = [], [[] for _ in range(6)]
                 for i, own in enumerate(items):
                     at, end = int(begin[i]), int(begin[i + 1])
-                    firsts, lasts = {x["first"] for x in own}, {x["first"] + x["n"] for x in own}
-                    for x in own:
+                    beside = covered(own)
+                    for x, (has_before, has_after) in zip(own, beside, strict=True):
                         p, q = x["first"], x["first"] + x["n"]
                         rows.append(a + i)
                         found = np.unique(shingles[at + p: at + q - WORDS + 1]).view(np.int64) if x["probe"] else None
-                        before = short[max(at, at + p - CONTEXT): at + p][::-1] if p not in lasts else short[:0]
-                        after = short[at + q: min(end, at + q + CONTEXT)] if q not in firsts else short[:0]
+                        before = short[max(at, at + p - CONTEXT): at + p][::-1] if not has_before else short[:0]
+                        after = short[at + q: min(end, at + q + CONTEXT)] if not has_after else short[:0]
                         for c, v in zip(out, (p, x["n"], x["key"], found, before, after), strict=True):
                             c.append(v)
                 first = begin[np.array(rows, np.int64) - a] + np.array(out[0], np.int64)
@@ -265,6 +284,16 @@ def common_prefix(a, b):
     return F.when(differs > 0, differs - 1).otherwise(F.size(a)).cast("int")
 
 
+def holders(found: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(doc_id, h, item) of each place in ``found`` of a candidate (key, place, probe), as ``details`` reads them."""
+    here = found.select("doc_id", "h", "first", "n", "key").join(candidates, "key")
+    own = F.struct("doc_id", "h").eqNullSafe(F.struct("place.doc_id", "place.h"))
+    probe = F.col("probe") & F.struct("doc_id", "h", "first").eqNullSafe(F.col("place"))
+    return here.select("doc_id", "h", F.struct(
+        "first", "n", "key", probe.alias("probe"), (F.col("probe") | own).alias("both"),
+        F.xxhash64("place.doc_id", "place.h").alias("kept"), (F.col("place.first") - F.col("first")).alias("shift")).alias("item"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """Word ranges to remove: doc_id, h, first, last (exclusive), kept_doc_id.
 
@@ -277,9 +306,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     candidates = keys.join(near, "key", "left").where("copies > 1 or probe").select("key", "place", F.coalesce("probe", F.lit(False)).alias("probe"))
     candidates = stored(candidates, "paragraph-candidates")
     release(keys, sweep=True)
-    here = found.select("doc_id", "h", "first", "n", "key").join(candidates, "key")
-    here = here.select("doc_id", "h", F.struct("first", "n", "key", (F.col("probe") & place.eqNullSafe(F.col("place"))).alias("probe")).alias("item"))
-    wanted = stored(here.groupBy("doc_id", "h").agg(F.collect_list("item").alias("items")), "paragraph-wanted")
+    wanted = stored(holders(found, candidates).groupBy("doc_id", "h").agg(F.collect_list("item").alias("items")), "paragraph-wanted")
     release(found, candidates, sweep=True)
     detail = stored(details(docs, wanted), "paragraph-details")
     release(wanted, sweep=True)
@@ -291,14 +318,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # Equal paragraphs agree in both hashes; similar ones are one class by their component.
     same = F.when(F.col("component").isNull(), F.col("check"))
     member = member.select("doc_id", "h", "first", "n", F.coalesce("component", "key").alias("class"), same.alias("check"), "before", "after")
-    whole = F.struct("doc_id", "h", "first", "before", "after")
+    whole = F.struct("doc_id", "h", "first", "n", "before", "after")
     kept = member.groupBy("class", "check").agg(F.min(whole).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("class").alias("_class"), F.col("check").alias("_check"), "kept")
     kept = stored(kept, "paragraph-kept")
     pairs = member.join(kept, (F.col("class") == F.col("_class")) & F.col("check").eqNullSafe(F.col("_check")))
     pairs = pairs.where(~F.struct("doc_id", "h", "first").eqNullSafe(F.struct("kept.doc_id", "kept.h", "kept.first")))
+    # In its own document a repeat does not reach back into the occurrence that stays.
+    here = F.struct("doc_id", "h").eqNullSafe(F.struct("kept.doc_id", "kept.h"))
+    gap = F.when(here, F.col("first") - F.col("kept.first") - F.col("kept.n"))
+    pairs = pairs.where(F.coalesce(gap, F.lit(0)) >= 0)
     spans = pairs.select(
         "doc_id", "h",
-        (F.col("first") - common_prefix(F.col("before"), F.col("kept.before"))).alias("first"),
+        (F.col("first") - F.least(common_prefix(F.col("before"), F.col("kept.before")), gap)).alias("first"),
         (F.col("first") + F.col("n") + common_prefix(F.col("after"), F.col("kept.after"))).alias("last"),
         F.col("kept.doc_id").alias("kept_doc_id"))
     spans = stored(spans, "paragraph-spans")
