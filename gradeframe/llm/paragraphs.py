@@ -1,10 +1,13 @@
 """Substring dedup by paragraph MinHash banding.
 
-Paragraphs are the lines of a text; a line of more than ``LONG`` words is cut
+Paragraphs are the lines of a text, short lines in a row (fewer than ``SHORT`` words each) taken
+together; one of more than ``LONG`` words is cut
 further at content-defined places: where the hash of two neighbouring words is the
-smallest among ``NEAR`` words on either side. A cut depends on these words alone, so a
-passage inside differing lines yields equal inner paragraphs (in a simulation,
-all but 3 % of passages of 50 words and 1 % of 60 words share one). Equal paragraphs are one class; distinct
+smallest among ``NEAR`` words on either side. Beside them, whatever the line feeds, every
+``WINDOW`` places in a row of a text hold an anchor: the ``GRAM`` words from the place of
+smallest hash on. So any two passages of ``PASSAGE = GRAM + WINDOW - 1 = 50`` equal words share an anchor;
+what anchors find counts from that length on. Equal
+anchors, and equal paragraphs, are one class; distinct
 paragraphs that share a MinHash band are verified by the exact Jaccard similarity
 of their word shingles; classes are the components of the verified pairs. The
 first occurrence (smallest doc_id, then place) of a class stays, the others go,
@@ -37,6 +40,8 @@ from gradeframe.llm.common import _powers, mix64, release, stored, text_slices,
 from gradeframe.llm.components import components
 
 SHORT, LONG, NEAR = 9, 40, 8
+GRAM, WINDOW = 25, 26
+PASSAGE = GRAM + WINDOW - 1
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 2, 5
 CONTEXT = 32
@@ -47,26 +52,29 @@ _MIX = mix64(np.arange(1, 64, dtype=np.uint64))
 _ODD = mix64(np.arange(101, 101 + ROWS * BANDS, dtype=np.uint64)) | np.uint64(1)
 
 
-def shingle_hashes(hashes: np.ndarray) -> np.ndarray:
-    """Hash of the ``WORDS`` words from each word on (for all but the last few)."""
-    n = len(hashes) - WORDS + 1
+def shingle_hashes(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """Hash of the ``words`` words from each word on (for all but the last few)."""
+    n = len(hashes) - words + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for k in range(WORDS):
+    for k in range(words):
         out += hashes[k: n + k] * (_MIX[k] | np.uint64(1))
     return mix64(out)
 
 
-def paragraph_starts(buf: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Index of the first word of each paragraph (texts end at line feeds too)."""
+def paragraph_starts(buf: np.ndarray, starts: np.ndarray, hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Index of the first word of each paragraph."""
     line = np.searchsorted(np.flatnonzero(buf == 10), starts)
     first = np.flatnonzero(np.diff(line, prepend=-1))
+    short = np.diff(first, append=len(starts)) < SHORT
+    joined = short[1:] & short[:-1] & (text[first[1:]] == text[first[:-1]])
+    first = first[np.concatenate(([True], ~joined))]
     length = np.diff(first, append=len(starts))
     row = np.repeat(np.arange(len(first)), length)
     h = np.full(len(starts), 2**64 - 1, np.uint64)
     h[1:] = mix64(hashes[:-1] * np.uint64(3) + hashes[1:])
-    h[first] = 2**64 - 1  # pairs over a line feed count for nothing
+    h[first] = 2**64 - 1  # pairs over two paragraphs count for nothing
     is_cut = length[row] > LONG
     is_cut[first] = False
     for d in range(1, NEAR + 1):
@@ -76,6 +84,35 @@ def paragraph_starts(buf: np.ndarray, starts: np.ndarray, hashes: np.ndarray) ->
     return np.union1d(first, np.flatnonzero(is_cut)).astype(np.int64)
 
 
+def anchor_places(grams: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Places whose hash is the smallest (the first such) of some ``WINDOW`` places in a row.
+
+    ``whole``: which places hold ``GRAM`` words of one text; there are at least ``GRAM - 1`` others between texts.
+    Where few words repeat at once (places of one hash follow each other closely), some are left out:
+    every window still holds one of that hash."""
+    n = len(grams)
+    h = np.where(whole, grams, np.uint64(2**64 - 1))
+    span = np.ones(n, np.int16)  # places in a row, this one among them, over which it is the smallest
+    left, right = whole.copy(), whole.copy()
+    for d in range(1, WINDOW):
+        left[d:] &= h[:-d] > h[d:]
+        right[:-d] &= h[d:] >= h[:-d]
+        span += left
+        span += right
+    places = np.flatnonzero(whole & (span >= WINDOW))
+    if not len(places):
+        return places
+    again = np.zeros(len(places), bool)
+    again[1:] = (h[places[1:]] == h[places[:-1]]) & (np.diff(places) <= WINDOW // 2)
+    start = np.maximum.accumulate(np.where(again, 0, np.arange(len(places))))
+    step = (places - places[start]) // (WINDOW // 2)
+    keep = ~again
+    keep[1:] |= step[1:] != step[:-1]
+    keep[:-1] |= ~again[1:]
+    keep[-1] = True
+    return places[keep]
+
+
 def sequence_hashes(hashes: np.ndarray, begin: np.ndarray, salt: int) -> np.ndarray:
     """Hash of the words from each ``begin`` to the next."""
     power, inverse = _powers(len(hashes))
@@ -102,7 +139,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                 buf, _, starts, _, text, hashes = word_spans([t.encode("utf-8", "replace") for t in texts])
                 if len(starts) < SHORT:
                     continue
-                begin = paragraph_starts(buf, starts, hashes)
+                begin = paragraph_starts(buf, starts, hashes, text)
                 n = np.diff(begin, append=len(starts))
                 keys = sequence_hashes(hashes, begin, 20).view(np.int64)
                 of = np.repeat(np.arange(len(begin)), n)
@@ -129,6 +166,27 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint, bands array<bigint>")
 
 
+def anchors(docs: DataFrame) -> DataFrame:
+    """doc_id, h, first (word), n (words), key of the anchors of all texts."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b, texts in text_slices(batch.column("text")):
+                *_, text, hashes = word_spans([t.encode("utf-8", "replace") for t in texts])
+                if len(hashes) < GRAM:
+                    continue
+                grams = shingle_hashes(hashes, GRAM)
+                places = anchor_places(grams, text[: len(grams)] == text[GRAM - 1:])
+                own = text[places]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").slice(a, b - a).take(pa.array(own)), batch.column("h").slice(a, b - a).take(pa.array(own)),
+                    pa.array((places - np.searchsorted(text, np.arange(b - a))[own]).astype(np.int32)), pa.array(np.full(len(places), GRAM, np.int32)),
+                    pa.array(mix64(grams[places] ^ _MIX[40]).view(np.int64)),
+                ], names=["doc_id", "h", "first", "n", "key"])
+
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint")
+
+
 def covered(items: list) -> list[tuple[bool, bool]]:
     """Whether the words before and after each item are removed by another item for sure.
 
@@ -150,7 +208,7 @@ def covered(items: list) -> list[tuple[bool, bool]]:
 def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Second hash, shingles (of probes) and word contexts of wanted paragraphs.
 
-    ``wanted``: doc_id, h, items (first, n, key, probe, both, kept, shift). A side has no context
+    ``wanted``: doc_id, h, items (first, n, key, anchor, probe, both, kept, shift). A side has no context
     only where another paragraph repeats the words there from the same occurrence (``kept``, at
     the same ``shift``) and removes them itself; what may stay or change class (``both``) has both."""
     joined = docs.join(wanted, (docs["doc_id"].eqNullSafe(wanted["doc_id"])) & (docs["h"] == wanted["h"])).select(docs["doc_id"], docs["h"], "text", "items")
@@ -163,7 +221,7 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 begin = np.searchsorted(text, np.arange(len(texts) + 1))
                 short = (hashes & np.uint64(0x7FFFFFFF)).astype(np.int32)
                 shingles = shingle_hashes(hashes)
-                rows, out = [], [[] for _ in range(6)]
+                rows, out = [], [[] for _ in range(7)]
                 for i, own in enumerate(items):
                     at, end = int(begin[i]), int(begin[i + 1])
                     beside = covered(own)
@@ -173,14 +231,14 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         found = np.unique(shingles[at + p: at + q - WORDS + 1]).view(np.int64) if x["probe"] else None
                         before = short[max(at, at + p - CONTEXT): at + p][::-1] if not has_before else short[:0]
                         after = short[at + q: min(end, at + q + CONTEXT)] if not has_after else short[:0]
-                        for c, v in zip(out, (p, x["n"], x["key"], found, before, after), strict=True):
+                        for c, v in zip(out, (p, x["n"], x["key"], x["anchor"], found, before, after), strict=True):
                             c.append(v)
                 first = begin[np.array(rows, np.int64) - a] + np.array(out[0], np.int64)
                 out.insert(3, range_hashes(hashes, first, first + np.array(out[1], np.int64), 21).view(np.int64))
-                types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), batch.column("h").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=["doc_id", "h", "first", "n", "key", "check", "shingles", "before", "after"])
+                types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), batch.column("h").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=["doc_id", "h", "first", "n", "key", "check", "anchor", "shingles", "before", "after"])
 
-    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint, check bigint, shingles array<bigint>, before array<int>, after array<int>")
+    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint, check bigint, anchor boolean, shingles array<bigint>, before array<int>, after array<int>")
 
 
 def collisions(keys: DataFrame) -> DataFrame:
@@ -284,13 +342,15 @@ def common_prefix(a, b):
     return F.when(differs > 0, differs - 1).otherwise(F.size(a)).cast("int")
 
 
-def holders(found: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(doc_id, h, item) of each place in ``found`` of a candidate (key, place, probe), as ``details`` reads them."""
+def holders(found: DataFrame, candidates: DataFrame, anchor: bool) -> DataFrame:
+    """(doc_id, h, item) of each place in ``found`` of a candidate (key, place, probe), as ``details`` reads them.
+
+    Anchors have both contexts, as their matches are measured one by one."""
     here = found.select("doc_id", "h", "first", "n", "key").join(candidates, "key")
     own = F.struct("doc_id", "h").eqNullSafe(F.struct("place.doc_id", "place.h"))
     probe = F.col("probe") & F.struct("doc_id", "h", "first").eqNullSafe(F.col("place"))
     return here.select("doc_id", "h", F.struct(
-        "first", "n", "key", probe.alias("probe"), (F.col("probe") | own).alias("both"),
+        "first", "n", "key", F.lit(anchor).alias("anchor"), probe.alias("probe"), (F.col("probe") | own | F.lit(anchor)).alias("both"),
         F.xxhash64("place.doc_id", "place.h").alias("kept"), (F.col("place.first") - F.col("first")).alias("shift")).alias("item"))
 
 
@@ -298,26 +358,31 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """Word ranges to remove: doc_id, h, first, last (exclusive), kept_doc_id.
 
     ``docs``: doc_id, text (not NULL), h (a hash of the text)."""
-    found = stored(paragraphs(docs), "paragraphs")
     place = F.struct("doc_id", "h", "first")
+    marks = stored(anchors(docs), "anchors")
+    repeated = marks.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    held = stored(holders(marks, repeated.select("key", "place", F.lit(False).alias("probe")), True), "anchor-holders")
+    release(marks, sweep=True)
+    found = stored(paragraphs(docs), "paragraphs")
     keys = stored(found.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "paragraph-keys")
     shared = stored(collisions(keys), "paragraph-bands")
     near = shared.select("key").distinct().withColumn("probe", F.lit(True))
     candidates = keys.join(near, "key", "left").where("copies > 1 or probe").select("key", "place", F.coalesce("probe", F.lit(False)).alias("probe"))
     candidates = stored(candidates, "paragraph-candidates")
     release(keys, sweep=True)
-    wanted = stored(holders(found, candidates).groupBy("doc_id", "h").agg(F.collect_list("item").alias("items")), "paragraph-wanted")
-    release(found, candidates, sweep=True)
+    wanted = holders(found, candidates, False).unionByName(held)
+    wanted = stored(wanted.groupBy("doc_id", "h").agg(F.collect_list("item").alias("items")), "paragraph-wanted")
+    release(found, candidates, held, sweep=True)
     detail = stored(details(docs, wanted), "paragraph-details")
     release(wanted, sweep=True)
 
     probes = detail.where("shingles is not null").dropDuplicates(["key"]).select("key", "shingles")
     classes = components(stored(verified(shared, probes), "paragraph-links"))
     classes = stored(classes, "paragraph-classes")
-    member = detail.select("doc_id", "h", "first", "n", "key", "check", "before", "after").join(classes, F.col("key") == F.col("node"), "left")
+    member = detail.select("doc_id", "h", "first", "n", "key", "check", "anchor", "before", "after").join(classes, F.col("key") == F.col("node"), "left")
     # Equal paragraphs agree in both hashes; similar ones are one class by their component.
     same = F.when(F.col("component").isNull(), F.col("check"))
-    member = member.select("doc_id", "h", "first", "n", F.coalesce("component", "key").alias("class"), same.alias("check"), "before", "after")
+    member = member.select("doc_id", "h", "first", "n", F.coalesce("component", "key").alias("class"), same.alias("check"), "anchor", "before", "after")
     whole = F.struct("doc_id", "h", "first", "n", "before", "after")
     kept = member.groupBy("class", "check").agg(F.min(whole).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("class").alias("_class"), F.col("check").alias("_check"), "kept")
     kept = stored(kept, "paragraph-kept")
@@ -331,7 +396,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "doc_id", "h",
         (F.col("first") - F.least(common_prefix(F.col("before"), F.col("kept.before")), gap)).alias("first"),
         (F.col("first") + F.col("n") + common_prefix(F.col("after"), F.col("kept.after"))).alias("last"),
-        F.col("kept.doc_id").alias("kept_doc_id"))
+        F.col("kept.doc_id").alias("kept_doc_id"), "anchor").where(~F.col("anchor") | (F.col("last") - F.col("first") >= PASSAGE)).drop("anchor")
     spans = stored(spans, "paragraph-spans")
     release(detail, shared, kept, classes, sweep=True)
     return spans

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from gradeframe.llm import paragraphs
 
 
@@ -34,3 +36,34 @@ def test_sides_that_another_repeat_removes():
     item = {"n": 10, "both": False, "kept": 5, "shift": 0}
     rows = [{**item, "first": 0}, {**item, "first": 10}, {**item, "first": 20, "both": True}, {**item, "first": 30}, {**item, "first": 40, "shift": 3}]
     assert paragraphs.covered(rows) == [(False, True), (True, False), (False, False), (False, False), (False, False)]
+
+
+def test_passages_go_however_their_lines_break(spark):
+    """In short lines; over parts of two lines; in short lines here and on one line there; 51 words within long lines."""
+    texts, first = [], {}
+    for k in range(40):
+        p, a, b = words(300 + k, 51), words(400 + k, 40), words(500 + k, 40)
+        lines = "\n".join(" ".join(p[i: i + 6]) for i in range(0, 51, 6))
+        parts = [
+            ("\n".join((" ".join(a[:12]), lines, " ".join(b[:12]))), "\n".join((" ".join(a[20:32]), lines, " ".join(b[20:32])))),
+            (" ".join(a[:9] + p[:25]) + "\n" + " ".join(p[25:] + b[:9]), " ".join(a[20:29] + p[:25]) + "\n" + " ".join(p[25:] + b[20:29])),
+            (" ".join(p), lines),
+            (" ".join(a[:20] + p + b[:20]), " ".join(a[20:] + p + b[20:])),
+        ][k % 4]
+        texts += parts
+        first[2 * k + 1] = 2 * k
+    out = deduped(spark, texts)
+    got = {i: (out[i]["removed_words"] in (51, 52), out[i]["duplicate_of"], out[j]["removed_words"]) for i, j in first.items()}  # the word beside may be equal
+    assert got == {i: (True, [j], 0) for i, j in first.items()}
+
+
+def test_every_window_holds_an_anchor():
+    r = np.random.default_rng(1)
+    for h in (r.integers(0, 2**60, 4000), r.integers(0, 3, 4000), np.zeros(400, int), np.arange(4000) % 2, np.arange(4000) % 20, np.repeat(r.integers(0, 9, 100), 40)):
+        h = h.astype(np.uint64)
+        places = paragraphs.anchor_places(h, np.ones(len(h), bool))
+        w = paragraphs.WINDOW
+        for s in range(len(h) - w + 1):
+            own = places[(places >= s) & (places < s + w)]
+            assert h[s: s + w].min() in h[own]
+        assert len(places) <= 0.2 * len(h)
