@@ -6,14 +6,15 @@ further at content-defined places: where the hash of two neighbouring words is t
 smallest among ``NEAR`` words on either side. Beside them, whatever the line feeds, every
 ``WINDOW`` places in a row of a text hold an anchor: the ``GRAM`` words from the place of
 smallest hash on. So any two passages of ``PASSAGE = GRAM + WINDOW - 1 = 50`` equal words share an anchor;
-what anchors find counts from that length on. Equal
-anchors, and equal paragraphs, are one class; distinct
+what anchors find counts from that length on. Anchors that repeat the same document at the
+same shift and lie side by side are one run, compared and extended as a whole. Equal
+runs, and equal paragraphs, are one class; distinct
 paragraphs that share a MinHash band are verified by the exact Jaccard similarity
 of their word shingles; classes are the components of the verified pairs. The
 first occurrence (smallest doc_id, then place) of a class stays, the others go,
 together with the words beside them that equal those beside the occurrence that
-stays (up to ``CONTEXT`` on either side). What adds up to fewer than ``LEAST`` words
-in a row stays: headings and licence lines are no passages.
+stays (up to ``CONTEXT`` on either side). Whole lines of together at least ``SHORT`` words always go; a
+fragment inside a line stays if it adds up to fewer than ``LEAST`` words in a row.
 
 ``ROWS = 2`` hashes a band and ``BANDS = 5`` find a pair of Jaccard 0.8 with
 probability 1 - (1 - 0.8**2)**5 = 0.994, one of 0.9 with 0.9998.
@@ -342,15 +343,35 @@ def common_prefix(a, b):
     return F.when(differs > 0, differs - 1).otherwise(F.size(a)).cast("int")
 
 
-def holders(found: DataFrame, candidates: DataFrame, anchor: bool) -> DataFrame:
-    """(doc_id, h, item) of each place in ``found`` of a candidate (key, place, probe), as ``details`` reads them.
+def anchor_runs(marks: DataFrame) -> DataFrame:
+    """(doc_id, h, item) of runs of repeated anchors and of what they repeat, as ``details`` reads them.
 
-    Anchors have both contexts, as their matches are measured one by one."""
+    A run's key is that of the range it repeats. In its own document every anchor is a run."""
+    place = F.struct("doc_id", "h", "first")
+    repeated = marks.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("key", "place")
+    again = marks.join(repeated, "key").where(~place.eqNullSafe(F.col("place")))
+    lines = again.groupBy("doc_id", "h", F.col("place.doc_id").alias("kept_id"), F.col("place.h").alias("kept_h"), (F.col("place.first") - F.col("first")).alias("shift"))
+    lines = lines.agg(F.sort_array(F.collect_set("first")).alias("at"))
+    own = F.struct("doc_id", "h").eqNullSafe(F.struct("kept_id", "kept_h"))
+    # Starts are first anchors, and those that no anchor before touches; likewise ends.
+    starts = F.filter("at", lambda x, i: (i == 0) | own | (x - F.get("at", i - 1) > GRAM))
+    ends = F.filter("at", lambda x, i: (i == F.size("at") - 1) | own | (F.get("at", i + 1) - x > GRAM))
+    runs = lines.select("doc_id", "h", "kept_id", "kept_h", "shift", F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("run"))
+    runs = runs.select("doc_id", "h", "kept_id", "kept_h", F.col("run.a").alias("first"), (F.col("run.b") - F.col("run.a") + GRAM).alias("n"), (F.col("run.a") + F.col("shift")).alias("kept_first"))
+    runs = stored(runs.withColumn("key", F.xxhash64("kept_id", "kept_h", "kept_first", "n")), "anchor-runs")
+    kept = runs.select(F.col("kept_id").alias("doc_id"), F.col("kept_h").alias("h"), F.col("kept_first").alias("first"), "n", "key").distinct()
+    rows = runs.select("doc_id", "h", "first", "n", "key").unionByName(kept)
+    no, yes = F.lit(False), F.lit(True)
+    return rows.select("doc_id", "h", F.struct("first", "n", "key", yes.alias("anchor"), no.alias("probe"), yes.alias("both"), F.lit(0).cast("bigint").alias("kept"), F.lit(0).alias("shift")).alias("item"))
+
+
+def holders(found: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(doc_id, h, item) of each place in ``found`` of a candidate (key, place, probe), as ``details`` reads them."""
     here = found.select("doc_id", "h", "first", "n", "key").join(candidates, "key")
     own = F.struct("doc_id", "h").eqNullSafe(F.struct("place.doc_id", "place.h"))
     probe = F.col("probe") & F.struct("doc_id", "h", "first").eqNullSafe(F.col("place"))
     return here.select("doc_id", "h", F.struct(
-        "first", "n", "key", F.lit(anchor).alias("anchor"), probe.alias("probe"), (F.col("probe") | own | F.lit(anchor)).alias("both"),
+        "first", "n", "key", F.lit(False).alias("anchor"), probe.alias("probe"), (F.col("probe") | own).alias("both"),
         F.xxhash64("place.doc_id", "place.h").alias("kept"), (F.col("place.first") - F.col("first")).alias("shift")).alias("item"))
 
 
@@ -360,8 +381,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     ``docs``: doc_id, text (not NULL), h (a hash of the text)."""
     place = F.struct("doc_id", "h", "first")
     marks = stored(anchors(docs), "anchors")
-    repeated = marks.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    held = stored(holders(marks, repeated.select("key", "place", F.lit(False).alias("probe")), True), "anchor-holders")
+    held = stored(anchor_runs(marks), "anchor-holders")
     release(marks, sweep=True)
     found = stored(paragraphs(docs), "paragraphs")
     keys = stored(found.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "paragraph-keys")
@@ -370,7 +390,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     candidates = keys.join(near, "key", "left").where("copies > 1 or probe").select("key", "place", F.coalesce("probe", F.lit(False)).alias("probe"))
     candidates = stored(candidates, "paragraph-candidates")
     release(keys, sweep=True)
-    wanted = holders(found, candidates, False).unionByName(held)
+    wanted = holders(found, candidates).unionByName(held)
     wanted = stored(wanted.groupBy("doc_id", "h").agg(F.collect_list("item").alias("items")), "paragraph-wanted")
     release(found, candidates, held, sweep=True)
     detail = stored(details(docs, wanted), "paragraph-details")
@@ -405,9 +425,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def without(text: str, spans: list[tuple[int, int]], least: int = 1) -> tuple[str, np.ndarray]:
     """The text without word ranges (and the blanks after them), and which words are gone.
 
-    Ranges that together cover fewer than ``least`` words in a row stay."""
+    Of ranges that together cover fewer than ``least`` words in a row, only whole
+    lines go, if these hold ``SHORT`` words or more."""
     data = text.encode("utf-8", "surrogatepass")
-    _, _, starts, ends, _, _ = word_spans([data])
+    buf, _, starts, ends, _, _ = word_spans([data])
+    line = np.searchsorted(np.flatnonzero(buf == 10), starts)
+    opens = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(starts))  # first words of lines
     gone = np.zeros(len(starts), bool)
     for a, b in spans:
         gone[max(a, 0): b] = True
@@ -416,7 +439,10 @@ def without(text: str, spans: list[tuple[int, int]], least: int = 1) -> tuple[st
     for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
         if b - a < least:
             gone[a:b] = False
-            continue
+            a, b = (int(x) for x in opens[[np.searchsorted(opens, a), np.searchsorted(opens, b, "right") - 1]])
+            if b - a < SHORT:
+                continue
+            gone[a:b] = True
         out.append(data[at: starts[a]])
         at = int(ends[b - 1])
         while at < len(data) and data[at] in b" \t":
@@ -451,7 +477,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                     ids, gone = set(), np.zeros(0, bool)
                     if own:
                         new[i], gone = without(texts[i], [(x["first"], x["last"]) for x in own], LEAST)
-                        ids = {x["kept_doc_id"] for x in own if gone[max(x["first"], 0)]}
+                        ids = {x["kept_doc_id"] for x in own if gone[max(x["first"], 0): x["last"]].any()}
                     removed.append(int(gone.sum()))
                     kept.append(sorted(ids, key=lambda x: (x is not None, x)))
                 texts = [new.get(i, t) for i, t in enumerate(part.column("text").to_pylist())]

@@ -67,3 +67,19 @@ def test_every_window_holds_an_anchor():
             own = places[(places >= s) & (places < s + w)]
             assert h[s: s + w].min() in h[own]
         assert len(places) <= 0.2 * len(h)
+
+
+def test_whole_repeated_lines_go_whatever_their_length(spark):
+    line, doc, short = " ".join(words(1, 14)), " ".join(words(2, 11)), " ".join(words(3, 8))
+    texts = [" ".join(words(k, 30)) + "\n" + line for k in (11, 12, 13)] + [doc, doc, short, short]
+    out = deduped(spark, texts)
+    assert [(out[i]["removed_words"], out[i]["duplicate_of"]) for i in range(7)] == [(0, []), (14, [0]), (14, [0]), (0, []), (11, [3]), (0, []), (0, [])]
+    assert out[1]["text"] == texts[1].split("\n")[0] and out[4]["text"] == ""
+
+
+def test_short_runs_leave_whole_lines_only():
+    a, b, c = (" ".join(words(k, 12)) for k in (1, 2, 3))
+    text = f"{a}\n{b}\n{c}"
+    for spans, want in (([(10, 24)], f"{a}\n{c}"), ([(12, 27)], f"{a}\n{c}"), ([(3, 20)], text), ([(0, 12)], f"{b}\n{c}"), ([(24, 36)], f"{a}\n{b}"), ([(1, 12)], text)):
+        left, gone = paragraphs.without(text, spans, 25)
+        assert left.strip("\n") == want and gone.sum() == (0 if want == text else 12)
