@@ -11,6 +11,7 @@ its words and their beginnings, trained by FTRL updates on labelled rows.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 
@@ -32,7 +33,9 @@ LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g",
 #: a mark or blank as a word edge; repetition beyond the reading.
 LOOK_COST, WILD_COST, FILL_COST, LOST_COST, EDGE_COST, RUN_COST = 0.7, 2.5, 0.1, 5.0, 1.0, 0.3
 FILLING = set(" .-_*~'`,/\\:;|+^")
-#: Longer tokens, and those with over twice as many digits as letters, stand for themselves.
+#: A digit that stays one (plain numbers beside letters).
+KEEP_COST = 3.0
+#: Characters up to which readings are memoised, and after which what all paths share is written out.
 LONGEST = 32
 #: Single letters in a row that count as spelled out.
 SPELLED = 4
@@ -113,12 +116,13 @@ class Decoder:
                 if run == 2:
                     read = [(x * 2, cost) for x, cost in read] + [(x, cost + 1.0) for x, cost in read]
                 read.append(("", FILL_COST if c in FILLING else LOST_COST))
-                if not c.isdigit():
-                    read.append((" ", EDGE_COST))
+                read.append((c * run, KEEP_COST * run) if c.isdigit() else (" ", EDGE_COST))
             out.append(read)
         return out
 
     def decode(self, token: str) -> str:
+        if len(token) > LONGEST:
+            return self._viterbi(token)
         if token not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
@@ -129,31 +133,39 @@ class Decoder:
         cost = self.cost
         # States are the last three symbols; each keeps its cheapest path.
         states: dict[int, tuple[float, str]] = {0: (0.0, "")}
-        for read in self.options(token):
+        done = []
+        for step, read in enumerate(self.options(token), 1):
+            if step % LONGEST == 0:  # paths meet soon: the work is linear in the token
+                shared = os.path.commonprefix([path for _, path in states.values()])
+                done.append(shared)
+                states = {at: (total, path[len(shared):]) for at, (total, path) in states.items()}
             after: dict[int, tuple[float, str]] = {}
             for letters, extra in read:
-                codes = symbols(letters).tolist() if letters else []
+                codes = [EDGE] if letters.isdigit() else symbols(letters).tolist()
                 for context, (so_far, path) in states.items():
                     total, at = so_far + extra, context
                     for s in codes:
+                        if s == at == EDGE and letters != " ":  # beside a digit that stays
+                            continue
                         total += float(cost[at * SYMBOLS + s])
                         at = (at * SYMBOLS + s) % SYMBOLS**3 if s else 0
                     if at not in after or total < after[at][0]:
                         after[at] = (total, path + letters)
             states = after
-        return min((total + float(cost[at * SYMBOLS + EDGE]), path) for at, (total, path) in states.items())[1]
+        return "".join([*done, min((total + float(cost[at * SYMBOLS + EDGE]), path) for at, (total, path) in states.items())[1]])
 
     def token(self, token: str) -> str:
         """What an obfuscated token (or spelled-out run of letters) says.
 
         Punctuation around it stays out of the lattice; marks at its edges that may
         be letters give a second reading."""
-        letters = sum(map(str.isalpha, token))
-        if len(token) > LONGEST or 3 * letters < sum(map(str.isalnum, token)) or "=" in token or "://" in token or re.fullmatch(r"\S+@\S+\.\S+", token):
+        if not any(map(str.isalpha, token)) or "=" in token or "://" in token or re.fullmatch(r"\S+@\S+\.\S+", token):
             return token
         body = token.strip(_EDGES)
         inner = body.strip(_MARKS)
         read = self.decode(body)
+        if read == body:
+            return token
         return read if inner == body else f"{read} {self.decode(inner) if inner else ''}"
 
     def restore(self, texts: list[str]) -> list[str]:

@@ -1,0 +1,27 @@
+"""Obfuscated words are read whatever their length and however they are hidden."""
+
+import pytest
+
+from gradeframe.llm import toxicity
+
+DOCUMENTS = "/root/testdata/sf0.1/documents.parquet"
+
+
+@pytest.fixture(scope="module")
+def restore(spark):
+    decoder = toxicity.Decoder(toxicity.language_model(spark.read.parquet(DOCUMENTS)))
+    return lambda text: decoder.restore([text])[0]
+
+
+@pytest.mark.parametrize("said", ["stu" + "u" * 60 + "pid", "w0rd-and-th3n-an0ther-l0ng-0ne-stup1d", "s t u p i d " + "s t u p i d " * 3])
+def test_tokens_of_any_length(restore, said):
+    assert "stupid" in restore(f"The {said} of and.").replace(" ", "").replace("-", "")
+
+
+def test_tokens_of_mostly_digits(restore):
+    assert "this" in restore("Of 7h15 and.").split() and "idiot" in restore("Of 1d107 and.").split()
+    assert restore("In the 1990s of 2024b and 100th.") == "in the 1990s of 2024b and 100th."
+
+
+def test_work_is_linear_in_the_token(restore):
+    assert len(restore("th1s" * 20_000)) >= 60_000
