@@ -397,8 +397,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     release(wanted, sweep=True)
 
     probes = detail.where("shingles is not null").dropDuplicates(["key"]).select("key", "shingles")
-    classes = components(stored(verified(shared, probes), "paragraph-links"))
-    classes = stored(classes, "paragraph-classes")
+    links = stored(verified(shared, probes), "paragraph-links")
+    release(shared, sweep=True)
+    classes = stored(components(links), "paragraph-classes")
     member = detail.select("doc_id", "h", "first", "n", "key", "check", "anchor", "before", "after").join(classes, F.col("key") == F.col("node"), "left")
     # Equal paragraphs agree in both hashes; similar ones are one class by their component.
     same = F.when(F.col("component").isNull(), F.col("check"))
@@ -406,6 +407,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     whole = F.struct("doc_id", "h", "first", "n", "before", "after")
     kept = member.groupBy("class", "check").agg(F.min(whole).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("class").alias("_class"), F.col("check").alias("_check"), "kept")
     kept = stored(kept, "paragraph-kept")
+    release(links, sweep=True)
     pairs = member.join(kept, (F.col("class") == F.col("_class")) & F.col("check").eqNullSafe(F.col("_check")))
     pairs = pairs.where(~F.struct("doc_id", "h", "first").eqNullSafe(F.struct("kept.doc_id", "kept.h", "kept.first")))
     # In its own document a repeat does not reach back into the occurrence that stays.
@@ -418,7 +420,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         (F.col("first") + F.col("n") + common_prefix(F.col("after"), F.col("kept.after"))).alias("last"),
         F.col("kept.doc_id").alias("kept_doc_id"), "anchor").where(~F.col("anchor") | (F.col("last") - F.col("first") >= PASSAGE)).drop("anchor")
     spans = stored(spans, "paragraph-spans")
-    release(detail, shared, kept, classes, sweep=True)
+    release(detail, kept, classes, sweep=True)
     return spans
 
 
