@@ -32,13 +32,15 @@ LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g",
 #: Costs in nats: a look-alike; a wild card; a mark as filling where marks are usual, and where it looks like a letter;
 #: a mark or blank as a word edge; repetition beyond the reading.
 LOOK_COST, WILD_COST, FILL_COST, LOST_COST, EDGE_COST, RUN_COST = 0.7, 2.5, 0.1, 5.0, 1.0, 0.3
-FILLING = set(" .-_*~'`,/\\:;|+^")
-#: A digit that stays one (plain numbers beside letters).
-KEEP_COST = 3.0
+#: Characters without width.
+HIDDEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
+FILLING = set(" .-_*~'`,/\\:;|+^" + HIDDEN)
+#: A digit that stays one, in tokens with over twice as many digits as letters; as much again right after a letter.
+KEEP_COST = 1.0
 #: Characters up to which readings are memoised, and after which what all paths share is written out.
 LONGEST = 32
 #: Single letters in a row that count as spelled out.
-SPELLED = 4
+SPELLED = 3
 
 # Symbols of the language model: 0 word edge, 1-26 letters, 27 other letters.
 EDGE, OTHER, SYMBOLS = 0, 27, 32
@@ -105,6 +107,7 @@ class Decoder:
     def options(self, token: str) -> list[list[tuple[str, float]]]:
         """Readings of each run of equal characters: (letters, a blank for a word edge, or nothing; cost)."""
         out = []
+        number = 3 * sum(map(str.isalpha, token)) < sum(map(str.isalnum, token))
         for m in re.finditer(r"(.)\1*", token, re.S):
             c, run = m[1], len(m[0])
             if c.isalpha():
@@ -116,7 +119,10 @@ class Decoder:
                 if run == 2:
                     read = [(x * 2, cost) for x, cost in read] + [(x, cost + 1.0) for x, cost in read]
                 read.append(("", FILL_COST if c in FILLING else LOST_COST))
-                read.append((c * run, KEEP_COST * run) if c.isdigit() else (" ", EDGE_COST))
+                if not c.isdigit():
+                    read.append((" ", EDGE_COST))
+                elif number:
+                    read.append((c * run, KEEP_COST * run))
             out.append(read)
         return out
 
@@ -143,7 +149,7 @@ class Decoder:
             for letters, extra in read:
                 codes = [EDGE] if letters.isdigit() else symbols(letters).tolist()
                 for context, (so_far, path) in states.items():
-                    total, at = so_far + extra, context
+                    total, at = so_far + extra + KEEP_COST * (context != EDGE and letters.isdigit()), context
                     for s in codes:
                         if s == at == EDGE and letters != " ":  # beside a digit that stays
                             continue
@@ -192,14 +198,17 @@ _EDGES, _MARKS = ".,;:!?\"'()[]{}", "#%*&$-_~|@!+€£^=0123456789.,;:?\"'()[]{}
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[97:123] = _IS_LETTER[65:91] = _IS_LETTER[128:] = True
 _IS_LOOK = np.zeros(256, bool)
-_IS_LOOK[[ord(c) for c in LOOKS if ord(c) < 128 and c not in "#%*(!"]] = True
+_IS_LOOK[[ord(c) for c in LOOKS if ord(c) < 128 and c not in "(!"]] = True  # these end words as they are
+#: Look-alikes and hidden characters beyond ASCII, which are no letters.
+_SEQUENCES = [c.encode() for c in [*LOOKS, *HIDDEN] if ord(c) >= 128]
 
 
 def suspects(data: list[bytes]) -> tuple[np.ndarray, ...]:
     """Byte ranges of tokens that may be obfuscated: (buffer, text starts, text, first, last), in order.
 
-    Tokens with a mark or digit right before a letter, with one or two look-alikes at the end of a
-    word, or with a letter said three times; runs of ``SPELLED`` or more single letters."""
+    Tokens with a mark or digit right before a letter, a look-alike right after one, a look-alike beyond
+    ASCII, a hidden character, or a letter said three times; runs of ``SPELLED`` or more single letters,
+    each with a mark beside it or not."""
     buf, text_starts, starts, ends, text, _ = word_spans(data)
     if not len(starts):
         none = np.zeros(0, np.int64)
@@ -209,17 +218,22 @@ def suspects(data: list[bytes]) -> tuple[np.ndarray, ...]:
     mark = ~letter & ~space
     found = np.zeros(len(buf), bool)
     found[:-1] |= mark[:-1] & letter[1:]
-    tail = _IS_LOOK[buf]
-    end = np.flatnonzero(tail[1:-1] & letter[:-2] & space[2:]) + 1
-    found[end] = True
-    end = np.flatnonzero(tail[2:-1] & tail[1:-2] & letter[:-3] & space[3:]) + 1
-    found[end] = True
+    found[:-1] |= letter[:-1] & _IS_LOOK[buf[1:]]
+    for sequence in _SEQUENCES:
+        at = np.flatnonzero(buf[: len(buf) - len(sequence) + 1] == sequence[0])
+        for k in range(1, len(sequence)):
+            at = at[buf[at + k] == sequence[k]]
+        found[at] = True
     found[:-2] |= letter[:-2] & (buf[:-2] < 128) & (buf[:-2] == buf[1:-1]) & (buf[1:-1] == buf[2:])
     where = np.flatnonzero(found)
     word = np.unique(np.searchsorted(starts, where, "right") - 1)
     length = ends - starts
     single = (length == 1) & ~space[starts] | (length == 2) & (buf[starts] >= 0xC2)
-    single &= letter[starts] | _IS_LOOK[buf[starts]]
+    said = letter[starts] | _IS_LOOK[buf[starts]]
+    # A letter with a mark before or after it (buf ends with a line feed, so starts + 1 is inside).
+    single |= (length == 2) & (buf[starts] < 128) & (mark[starts + 1] & said | mark[starts] & letter[starts + 1] & (buf[starts + 1] < 128))
+    single |= (length == 3) & (buf[starts] >= 0xC2) & mark[ends - 1]
+    single &= said | mark[starts] & (length == 2)
     edge = np.diff(np.concatenate(([False], single, [False])).astype(np.int8))
     run, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     # A run does not leave its text.

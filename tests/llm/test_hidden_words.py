@@ -20,8 +20,28 @@ def test_tokens_of_any_length(restore, said):
 
 def test_tokens_of_mostly_digits(restore):
     assert "this" in restore("Of 7h15 and.").split() and "idiot" in restore("Of 1d107 and.").split()
-    assert restore("In the 1990s of 2024b and 100th.") == "in the 1990s of 2024b and 100th."
+    assert restore("In 1990 of 2024b and 12.5.") == "in 1990 of 2024b and 12.5."
 
 
 def test_work_is_linear_in_the_token(restore):
     assert len(restore("th1s" * 20_000)) >= 60_000
+
+
+@pytest.mark.parametrize(("said", "meant"), [
+    ("stu\u200bpid", "stupid"), ("st\u00adupid", "stupid"), ("stu\ufeffpid", "stupid"), ("idiot\u2060s", "idiots"), ("id¡ot", "idiot"), ("mor€n", "moren"),
+    ("s. t. u. p. i. d.", "stupid"), ("s- t- u- p- i- d", "stupid"), ("i, d, i, o, t", "idiot"), (".t .h .i .s", "this"),
+])
+def test_hidden_characters_and_marked_spelling(restore, said, meant):
+    found = restore(f"Of the {said} and.")
+    assert meant in found.split() or meant == "moren" and "€" not in found
+
+
+def test_what_may_be_obfuscated():
+    def tokens(text):
+        data = text.encode()
+        _, _, _, first, last = toxicity.suspects([data])
+        return [data[a:b].decode() for a, b in zip(first, last, strict=True)]
+
+    assert tokens("such a$$, and a$$. or (a$$) end") == ["a$$,", "a$$.", "(a$$)"]
+    assert tokens("the a s s of an id\u200bot at bl£ss") == ["a s s", "id\u200bot", "bl£ss"]
+    assert tokens("Plain words, of course! (And others.) 12.5 and 1990") == ["(And"]
