@@ -258,8 +258,10 @@ def test_paragraphs_within_lines(docs, none):
     assert out[9]["duplicate_of"] == [8] and out[9]["removed_words"] >= 50 and PASSAGE not in out[9]["text"]
     assert out[9]["text"].startswith(words(6, 50)) and out[9]["text"].endswith(words(8, 20) + "\n" + words(9, 12))
     assert out[7]["duplicate_of"] == [6] and out[7]["text"] == "" and out[7]["removed_words"] == 90
+    # a repeated whole line goes, also one shorter than the fragments that are removed inside a line
+    assert (out[15]["text"].rstrip("\n"), out[15]["removed_words"], out[15]["duplicate_of"]) == (words(13, 30), 14, [14])
     for i, text, *_ in ROWS:
-        if i not in (7, 9):
+        if i not in (7, 9, 15):
             assert (out[i]["text"], out[i]["removed_words"], out[i]["duplicate_of"]) == (text, 0, [])
     assert paragraphs.dedup_substrings(none).count() == 0
 
