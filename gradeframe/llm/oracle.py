@@ -31,4 +31,41 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_formatting": OP3, "op6_exact_top_k": OP6}
+#: Conversations as lists of turns; a prefix is known by the MD5 of its turns. DuckDB has no crc32, so ``h`` spells it out.
+OP13 = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+    xor(4294967295, list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(unicode(s) AS BIGINT)),
+      lambda crc, b: list_reduce([1, 1, 1, 1, 1, 1, 1, 1], lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(crc, b)),
+      4294967295)) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS part, b.pos, b.role, b.text FROM c JOIN t b ON b.conv_id = c.base AND b.pos < c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.role, t.text FROM c JOIN t USING (conv_id) WHERE t.pos >= c.h),
+p AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars,
+    md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w) AS node
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM p GROUP BY node, depth),
+u AS (
+  SELECT n.*, q.node AS parent FROM n LEFT JOIN p q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1),
+k AS (SELECT parent, count(*) AS n_children FROM u WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT q.node, CAST(sum(CASE WHEN k.parent IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+    CAST(sum((u.n_convs - 1) * u.chars) AS BIGINT) AS saved_tokens
+  FROM u JOIN p q ON q.conv_id = u.conv_id AND q.depth <= u.depth LEFT JOIN k ON k.parent = u.node GROUP BY q.node),
+e AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, arg_max(node, depth) AS node FROM p GROUP BY conv_id) GROUP BY node)
+SELECT u.conv_id, u.depth, v.conv_id AS parent_conv_id, u.n_convs, coalesce(k.n_children, 0) AS n_children,
+  below.n_leaves, below.saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM u LEFT JOIN n v ON v.node = u.parent LEFT JOIN k ON k.parent = u.node JOIN below ON below.node = u.node LEFT JOIN e ON e.node = u.node
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_chat_formatting": OP3, "op6_exact_top_k": OP6, "op13_conversation_prefix_trie": OP13}
