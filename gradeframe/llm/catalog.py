@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeframe.llm import addressable, chat, maxscore, mixing, neighbours, packing, paragraphs, prefix_trie, quality, simhash, toxicity
+from gradeframe.llm import addressable, chat, maxscore, mixing, neighbours, packing, paragraphs, prefix_trie, quality, runs, simhash, toxicity
 from gradeframe.llm.common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.periodic_runs(runs.with_planted_periods(read(spark, sf_dir, "documents"))))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.with_borrowed_heads(prefix_trie.turns_of(read(spark, sf_dir, "conversations")), block=100, most=6)
     return prefix_trie.prefix_trie(prefix_trie.paths_of(turns)).drop("node", "parent")
@@ -82,5 +86,6 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }

@@ -50,7 +50,8 @@ def turns_of(rows: DataFrame) -> DataFrame:
 
 def with_borrowed_heads(turns: DataFrame, block: int = 100, most: int = 6) -> DataFrame:
     """Turns of conversations that start like the first of their block: the first h turns of
-    conversation c - c % block, then c's own after its first h; h is crc32(c) % most.
+    conversation c - c % block (the remainder of SQL, with the sign of c), then c's own after its
+    first h; h is crc32(c) % most.
 
     Every conv_id of the input is in the output: one left without turns as a row with NULL ``turn``."""
     h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % most

@@ -1,0 +1,117 @@
+"""The prefix trie against a trie built conversation by conversation."""
+
+import hashlib
+import math
+import random
+import zlib
+
+import pytest
+
+from gradeframe.llm import prefix_trie as P
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute(rows, borrow=True):
+    convs = {}
+    for c, turn, role, text, *_ in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    convs = {c: [x[2:] for x in sorted(t)] for c, t in convs.items()}
+    if borrow:
+        whole = {}
+        for c, t in convs.items():
+            h = zlib.crc32(str(c).encode()) % 6
+            whole[c] = convs.get(c - int(math.fmod(c, 100)), [])[:h] + t[h:]
+        convs = whole
+    members = {}
+    for c, t in convs.items():
+        for d in range(len(t) + 1):
+            members.setdefault(tuple(t[:d]), []).append(c)
+    children = {}
+    for x in members:
+        if x:
+            children.setdefault(x[:-1], []).append(x)
+
+    def below(x):
+        todo, out = [x], []
+        while todo:
+            out.append(y := todo.pop())
+            todo += children.get(y, [])
+        return out
+
+    out = []
+    for x, m in members.items():
+        under = below(x)
+        ends = ",".join(map(str, sorted(c for c in m if len(convs[c]) == len(x))))
+        out.append((min(m), len(x), min(members[x[:-1]]) if x else None, len(m), len(children.get(x, [])),
+                    sum(y not in children for y in under), sum((len(members[y]) - 1) * len(y[-1][1]) for y in under if y),
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def built(turns):
+    out = P.prefix_trie(P.paths_of(turns))
+    return sorted((tuple(r[c] for c in COLUMNS) for r in out.collect()), key=repr)
+
+
+SCHEMA = "conv_id bigint, turn int, role string, text string, path string, node string, part string, h string, base string"
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame([(*r, *["x"] * 5) for r in rows], SCHEMA).repartition(parts)
+
+
+def some_rows(seed, n, spread=3, most=6):
+    r = random.Random(seed)
+    rows = []
+    for c in range(n):
+        for t in range(r.randint(1, most)):
+            rows.append((r.choice([c, c * 100 % 700]), t, r.choice(["user", "assistant"][:1 + (t % 2)]), "hi " * r.randint(0, spread)))
+    return rows
+
+
+@pytest.mark.parametrize("seed,n,spread,most", [(1, 12, 1, 3), (2, 150, 2, 6), (3, 400, 1, 9)])
+def test_nodes_against_brute_force(spark, seed, n, spread, most):
+    rows = some_rows(seed, n, spread, most)
+    assert built(P.with_borrowed_heads(P.turns_of(frame(spark, rows)))) == brute(rows)
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (0, 0, "user", "a"), (0, 1, None, None), (0, 1, "", ""), (0, None, "user", "first"), (1, 0, "user", "a"), (1, 0, "user", "a"),
+        (-7, 0, "user", "é😀"), (-107, 3, "user", "é😀"), (None, 0, "user", "a"), (None, 1, "user", "b"), (700, 0, "1:", "2"), (701, 0, "1", ":2"),
+        (550, 0, "u", "only"), (551, 0, "u", "only"), (9, 0, "u", "x" * 200_000), *[(c, t, "u", "same") for c in range(300, 340) for t in range(2)],
+    ]
+    want = brute(rows)
+    assert built(P.with_borrowed_heads(P.turns_of(frame(spark, rows)))) == want
+    assert built(P.with_borrowed_heads(P.turns_of(frame(spark, []))))== []
+    # turnless conversations are members of the root alone
+    turnless = next(c for c in range(1001, 1100) if zlib.crc32(str(c).encode()) % 6 >= 1)
+    alone = [(turnless, 0, "user", "gone")]
+    got = built(P.with_borrowed_heads(P.turns_of(frame(spark, alone))))
+    assert got == brute(alone) == [(turnless, 0, None, 1, 0, 1, 0, hashlib.sha256(str(turnless).encode()).hexdigest())]
+
+
+def test_partitions_of_any_size_give_the_same_trie(spark):
+    """Copies of one conversation fill whole partitions; a boundary may lie in any node."""
+    rows = some_rows(5, 120, 1, 5) + [(c, t, "u", f"t{t}") for c in range(2000, 2400) for t in range(4)] + [(c, t, "u", f"t{t}") for c in range(3000, 3060) for t in range(5 + c % 3)]
+    paths = P.paths_of(P.turns_of(frame(spark, rows)).withColumn("part", P.F.lit(0)))
+    want = brute(rows, borrow=False)
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in ("1", "2", "7", "60"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = sorted((tuple(r[c] for c in COLUMNS) for r in P.prefix_trie(paths).collect()), key=repr)
+            assert got == want, n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+
+
+def test_a_long_conversation(spark):
+    rows = [(c, t, "u", f"{t}") for c in (1, 2) for t in range(3000 + c)]
+    out = P.prefix_trie(P.paths_of(P.turns_of(frame(spark, rows)).withColumn("part", P.F.lit(0))))
+    assert out.count() == 3003 and out.agg({"n_convs": "sum"}).first()[0] == 3002 + 3003
+    assert out.where("depth = 0").first()["saved_tokens"] == sum(len(str(t)) for t in range(3001))
