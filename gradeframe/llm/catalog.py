@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeframe.llm import addressable, chat, maxscore, mixing, neighbours, packing, paragraphs, prefix_trie, quality, runs, simhash, toxicity
+from gradeframe.llm import addressable, chat, maxscore, mixing, neighbours, packing, paragraphs, prefix_trie, quality, repeats, runs, simhash, toxicity
 from gradeframe.llm.common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(read(spark, sf_dir, "documents"), length=200))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.periodic_runs(runs.with_planted_periods(read(spark, sf_dir, "documents"))))
 
@@ -86,6 +90,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }

@@ -31,6 +31,30 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
+#: Texts as hexadecimal strings: every window of 200 bytes is 400 characters from an odd place on.
+OP11 = """
+WITH b AS (
+  SELECT row_number() OVER () AS uid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+  SELECT uid, i, md5(substr(x, CAST(2 * i + 1 AS BIGINT), 400)) AS window_hash
+  FROM (SELECT uid, x, unnest(generate_series(0, CAST(length(x) AS BIGINT) // 2 - 200)) AS i FROM b)),
+twice AS (SELECT window_hash FROM w GROUP BY window_hash HAVING count(*) > 1),
+gone AS (SELECT uid, i, lag(i) OVER (PARTITION BY uid ORDER BY i) AS before FROM w JOIN twice USING (window_hash)),
+marked AS (
+  SELECT uid, i, sum(CASE WHEN i <= before + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY uid ORDER BY i) AS run FROM gone),
+spans AS (SELECT uid, run, min(i) AS a, max(i) + 200 AS e FROM marked GROUP BY uid, run),
+sums AS (SELECT uid, CAST(sum(e - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY uid),
+edges AS (
+  SELECT uid, coalesce(lag(e) OVER (PARTITION BY uid ORDER BY a), 0) AS kept_from, a AS kept_to FROM spans
+  UNION ALL SELECT b.uid, coalesce(max(e), 0), any_value(CAST(length(x) AS BIGINT) // 2) FROM b LEFT JOIN spans USING (uid) GROUP BY b.uid),
+k AS (
+  SELECT uid, string_agg(substr(x, CAST(2 * kept_from + 1 AS BIGINT), CAST(2 * (kept_to - kept_from) AS BIGINT)), '' ORDER BY kept_from) AS kept
+  FROM edges JOIN b USING (uid) GROUP BY uid)
+SELECT doc_id, CAST(length(x) AS BIGINT) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(kept)) AS kept_sha256
+FROM b JOIN k USING (uid) LEFT JOIN sums USING (uid)
+"""
+
 #: Conversations as lists of turns; a prefix is known by the MD5 of its turns. DuckDB has no crc32, so ``h`` spells it out.
 OP13 = """
 WITH t AS (
@@ -68,4 +92,4 @@ SELECT u.conv_id, u.depth, v.conv_id AS parent_conv_id, u.n_convs, coalesce(k.n_
 FROM u LEFT JOIN n v ON v.node = u.parent LEFT JOIN k ON k.parent = u.node JOIN below ON below.node = u.node LEFT JOIN e ON e.node = u.node
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_formatting": OP3, "op6_exact_top_k": OP6, "op13_conversation_prefix_trie": OP13}
+ORACLE_SQL: dict[str, str] = {"op3_chat_formatting": OP3, "op6_exact_top_k": OP6, "op11_suffix_array_dedup": OP11, "op13_conversation_prefix_trie": OP13}
