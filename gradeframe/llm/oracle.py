@@ -35,9 +35,12 @@ WHERE rank <= 5
 OP11 = """
 WITH b AS (
   SELECT row_number() OVER () AS uid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+c AS (  -- the windows that start in each 128 bytes
+  SELECT uid, j, substr(x, CAST(256 * j + 1 AS BIGINT), 256 + 398) AS y
+  FROM (SELECT uid, x, unnest(generate_series(0, (CAST(length(x) AS BIGINT) // 2 - 200) // 128)) AS j FROM b WHERE length(x) >= 400)),
 w AS (
-  SELECT uid, i, md5(substr(x, CAST(2 * i + 1 AS BIGINT), 400)) AS window_hash
-  FROM (SELECT uid, x, unnest(generate_series(0, CAST(length(x) AS BIGINT) // 2 - 200)) AS i FROM b)),
+  SELECT uid, 128 * j + i AS i, md5(substr(y, CAST(2 * i + 1 AS BIGINT), 400)) AS window_hash
+  FROM (SELECT uid, j, y, unnest(generate_series(0, least(127, CAST(length(y) AS BIGINT) // 2 - 200))) AS i FROM c)),
 twice AS (SELECT window_hash FROM w GROUP BY window_hash HAVING count(*) > 1),
 gone AS (SELECT uid, i, lag(i) OVER (PARTITION BY uid ORDER BY i) AS before FROM w JOIN twice USING (window_hash)),
 marked AS (

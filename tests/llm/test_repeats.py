@@ -1,0 +1,155 @@
+"""Removal of repeated byte strings against brute force over all windows."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gradeframe.llm import catalog, repeats
+
+
+def brute(texts, length):
+    """Which bytes of each text are covered by a string that starts twice."""
+    places = defaultdict(list)
+    for t, x in enumerate(texts):
+        for i in range(len(x) - length + 1):
+            places[x[i: i + length]].append((t, i))
+    gone = [np.zeros(len(x), bool) for x in texts]
+    for where in places.values():
+        if len(where) > 1:
+            for t, i in where:
+                gone[t][i: i + length] = True
+    return gone
+
+
+def digest(doc_id, body, gone):
+    kept = bytes(np.frombuffer(body, np.uint8)[~gone]) if len(body) else b""
+    spans = int(gone[0]) + int((np.diff(gone.astype(np.int8)) == 1).sum()) if len(gone) else 0
+    return doc_id, len(body), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()
+
+
+def brute_groups(bodies, length):
+    """Maximal repeats by definition: text -> places, not extendable to the left or right for all its places."""
+    places = defaultdict(set)
+    for t, x in enumerate(bodies):
+        for i in range(len(x)):
+            for j in range(i + length, len(x) + 1):
+                places[x[i:j]].add((t, i))
+    out = {}
+    for s, where in places.items():
+        left = {bodies[t][i - 1] if i else (t, i) for t, i in where}
+        right = {bodies[t][i + len(s)] if i + len(s) < len(bodies[t]) else (t, i) for t, i in where}
+        if len(where) > 1 and len(left) > 1 and len(right) > 1:
+            out[s] = where
+    return out
+
+
+WORDS = st.lists(st.integers(0, 5), max_size=30).map(lambda x: b"".join([b"abab", b"ba", b"c", b"aaaaaa", b"xyz", b"abcabcabc"][k] for k in x))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(WORDS, max_size=6))
+def test_pieces_hold_every_window_once(texts):
+    text, first, windows, anchor, core, piece = repeats.pieces_of(texts, 16, 8)
+    assert sorted((t, i) for t, f, n in zip(text, first, windows, strict=True) for i in range(f, f + n)) == [
+        (t, i) for t, x in enumerate(texts) for i in range(len(x) - 15)]
+    classes = defaultdict(set)
+    for k in range(len(text)):
+        body = texts[text[k]][first[k]: first[k] + windows[k] + 15]
+        assert windows[k] - 1 <= anchor[k] <= 8
+        classes[core[k]].add(body[anchor[k]: anchor[k] + 8])
+        for i in range(windows[k]):  # equal windows have equal anchors
+            classes[body[i: i + 16]].add((core[k], anchor[k] - i))
+    assert all(len(c) == 1 for c in classes.values())
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.sets(WORDS.filter(lambda x: 16 <= len(x) <= 60), min_size=2, max_size=6))
+def test_intervals_are_the_maximal_repeats(bodies):
+    bodies = sorted(bodies)
+    s = repeats.SuffixArray(bodies, 16)
+    got = {}
+    for size, lo, hi in s.intervals(16):
+        members = {(int(s.owner[i]), int(s.at[i] - s.begins[s.owner[i]])) for i in range(lo, hi + 1)}
+        t, i = min(members)
+        got[bodies[t][i: i + size]] = members
+    assert got == brute_groups(bodies, 16)
+
+
+def text(seed, n, letters="abcdefghijklmnop  \n"):
+    r = random.Random(seed)
+    return "".join(r.choice(letters) for _ in range(n))
+
+
+PASSAGE = text(1, 320)
+ROWS = [
+    (1, None), (2, ""), (3, "short"), (4, text(2, 199)), (5, text(2, 199)), (6, text(3, 200)), (6, text(3, 200)), (None, text(4, 700)),
+    (None, text(5, 300) + PASSAGE), (7, PASSAGE[:199] + "#" + text(6, 300)), (8, "é😀" * 150), (9, "x" * 400), (10, text(7, 250) + " " + text(7, 250)),
+    *[(100 + k, text(50 + k, 150 + k) + PASSAGE[k % 7:] + text(90 + k, 120)) for k in range(60)],
+    *[(200 + k, text(20, 900)[: 500 + 13 * k]) for k in range(20)], (300, text(21, 30_000) + PASSAGE + text(22, 9_000)),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    schema = "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in ("uid", "body", "at", "core", "spans", "kept", "group", "size"))
+    return spark.createDataFrame([(*r, *["x"] * 8) for r in ROWS], schema).repartition(6)
+
+
+def expected(rows, length=200):
+    bodies = [(t or "").encode() for _, t in rows]
+    return sorted((digest(i, b, g) for (i, _), b, g in zip(rows, bodies, brute(bodies, length), strict=True)), key=repr)
+
+
+def built(df):
+    return sorted((tuple(r) for r in repeats.digest(df).collect()), key=repr)
+
+
+def test_removed_bytes_against_brute_force(spark, docs):
+    assert built(repeats.remove_repeats(docs)) == expected(ROWS)
+    out = {r["doc_id"]: r for r in repeats.remove_repeats(docs).collect()}
+    assert out[6]["kept"] == b"" and out[4]["kept"] == ROWS[3][1].encode() and out[9]["spans"] == [(0, 400)]
+    assert built(repeats.remove_repeats(docs.limit(0))) == []
+    few = [(1, PASSAGE), (2, "z" + PASSAGE[100:] + PASSAGE[:100])]
+    assert built(repeats.remove_repeats(spark.createDataFrame(few, "doc_id int, text string"))) == expected(few)
+
+
+def test_crowded_anchors_are_halved(docs, monkeypatch):
+    """Groups of any size give the same bytes: 60 documents share a passage between different texts."""
+    monkeypatch.setattr(repeats, "GROUP", 2)
+    calls = []
+    monkeypatch.setattr(repeats, "halved", lambda *a, f=repeats.halved: calls.append(1) or f(*a))
+    assert built(repeats.remove_repeats(docs)) == expected(ROWS)
+    assert 2 <= len(calls) <= 8
+
+
+def test_long_texts_in_segments(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SEGMENT", 500)
+    monkeypatch.setattr(repeats, "PASS", 2000)
+    monkeypatch.setattr(repeats, "CHUNK", 1000)
+    rows = ROWS[-25:]
+    assert built(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))) == expected(rows)
+
+
+def test_groups_hold_all_occurrences(spark):
+    """The passage's copies are in one group each time, and every member of a group is the same text."""
+    rows = [r for r in ROWS if r[0] and (100 <= r[0] < 160 or r[0] == 300)]
+    found = repeats.maximal_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    bodies = {i: t.encode() for i, t in rows}
+    groups = defaultdict(set)
+    for r in found:
+        groups[r["group_id"]].add((r["doc_id"], r["start"], bodies[r["doc_id"]][r["start"]: r["start"] + r["size"]]))
+    assert all(len({s for *_, s in g}) == 1 and len(g) > 1 and all(len(s) >= 200 for *_, s in g) for g in groups.values())
+    # whatever all share (from the seventh byte of the passage on) is found in every document
+    assert max(len({i for i, *_ in g}) for g in groups.values()) == 61
+
+
+def test_whole_table_against_brute_force(spark):
+    d = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
+    out = sorted((tuple(r) for r in catalog.QUERIES["op11_suffix_array_dedup"](spark, d).collect()), key=repr)
+    assert out == expected(rows) and sum(r[2] for r in out) > 0
