@@ -318,9 +318,10 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tupl
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     texts = stored(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", body.alias("body")), "repeat-texts")
     every = stored(pieces(texts.select("uid", "body"), length, gram), "repeat-pieces")
-    often = every.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    # Stored, so that both sides of the join are plain shuffles and Spark can split a hot anchor.
+    often = stored(every.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"), "repeat-anchors")
     kept = stored(every.join(often, "core", "left_semi"), "repeat-candidates")
-    release(every)
+    release(every, often)
     classes = stored(kept.groupBy("core", "piece").agg(
         F.count(F.lit(1)).alias("copies"), F.first("windows").alias("windows"), F.first("anchor").alias("anchor"),
         F.min(F.struct("uid", "at")).alias("sample")), "repeat-classes")
