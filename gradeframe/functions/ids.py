@@ -43,7 +43,7 @@ def dense_ids(df: DataFrame, value_col: str, id_col: str, name_col: str | None =
         .select(
             value_col, "_range",
             (F.col("_mid") - F.shiftleft(F.col("_range").cast("long"), 33) + 1).alias("_local"),
-        ), id_col)
+        ), id_col, lasting=True)
     before, offsets = 0, [F.lit(-1), F.lit(0)]  # a map literal needs an entry
     for r in sorted(local.groupBy("_range").count().collect()):  # one row per range
         offsets += [F.lit(r["_range"]), F.lit(before)]

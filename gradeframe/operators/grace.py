@@ -26,6 +26,7 @@ from gradeframe import schemas as S
 from gradeframe.functions.names import full_name
 from gradeframe.functions.scores import grace_map, map_mean
 from gradeframe.operators.dims import restrict
+from gradeframe.operators.tables import same_keys
 
 
 def flag_eligible(marks: DataFrame, class_id: int | None = None, subject_id: int | None = None,
@@ -117,9 +118,11 @@ def adjusted_scores(adjusted: DataFrame) -> DataFrame:
 
 
 def eligible_names(eligible: DataFrame, students: DataFrame) -> DataFrame:
-    """Full names ("first last", NULL parts empty) of the eligible members, joined on the member's whole key."""
-    return (eligible.join(students.select(*S.STUDENT_KEYS, "firstname", "lastname"), S.STUDENT_KEYS)
-            .select(*S.MARK_KEYS, full_name(F.col("firstname"), F.col("lastname")).alias("full_name")))
+    """Full names ("first last", NULL parts empty) of the eligible members, joined on the member's whole
+    key (NULL-safe: a member without a class has a name too)."""
+    members = students.select(*S.STUDENT_KEYS, full_name(F.col("firstname"), F.col("lastname")).alias("full_name"))
+    return eligible.join(members, same_keys(eligible, members, S.STUDENT_KEYS)).select(
+        *[eligible[k] for k in S.MARK_KEYS], "full_name")
 
 
 def stored_before_after(stored: DataFrame, after: DataFrame) -> DataFrame:

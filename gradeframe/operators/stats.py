@@ -132,6 +132,18 @@ def ranked_test_means(means: DataFrame) -> DataFrame:
     return means.withColumn("rank", F.row_number().over(order))
 
 
+def test_statistics(means: DataFrame) -> DataFrame:
+    """Every test mean with its rank in the (class, subject), beside the columns of ``best_worst_test``
+    for that pair: one shuffle of the means serves both."""
+    pair = Window.partitionBy("class_id", "subject_id")
+    best = F.max(F.struct(F.col("mean_mark").alias("mean"), (-F.col("test_id")).alias("test"))).over(pair)
+    worst = F.min(F.struct(F.col("mean_mark").alias("mean"), F.col("test_id").alias("test"))).over(pair)
+    gap = F.col("best.mean") - F.col("worst.mean")
+    return ranked_test_means(means).withColumns({"best": best, "worst": worst}).select(
+        "class_id", "subject_id", "test_id", "mean_mark", "rank", (-F.col("best.test")).alias("best_test"), F.col("worst.test").alias("worst_test"),
+        (gap / F.lit(100.0)).alias("gap_over_100"), (F.try_divide(gap, F.col("worst.mean")) * F.lit(100.0)).alias("relative_increase_pct"))
+
+
 def stored_pass_rate(stored: DataFrame, class_id: int, subject_id: int) -> DataFrame:
-    """The stored pass percentage of one (class, subject)."""
+    """The stored pass percentage of one (class, subject): a filter that Spark pushes to the files."""
     return stored.where((F.col("class_id") == F.lit(class_id)) & (F.col("subject_id") == F.lit(subject_id)))

@@ -30,6 +30,7 @@ LEAVING_DATE = S.DEFAULT_LEAVING_DATE
 GRACE_CLASS_ID = 2
 GRACE_SUBJECT_ID = 3
 LOOKUP_SUBJECT_NAME = "medium"
+ENROLLED_AGAIN, LATER_LEAVING_DATE = "again", "2025-01-31"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,6 +130,11 @@ def best_worst_test(t):
     return stats.best_worst_test(stats.test_means(t.marks))
 
 
+@query
+def test_statistics(t):
+    return jobs.test_statistics(t)
+
+
 @query
 def member_count(t):
     return stats.member_count(t.marks)
@@ -167,6 +173,11 @@ def top3_overall(t):
     return topk.top_overall(stats.student_total_mean(per_test))
 
 
+@query
+def class_top_lists(t):
+    return jobs.top_lists(t)
+
+
 # -- grace marks (O6) ----------------------------------------------------------
 
 @query
@@ -207,7 +218,7 @@ def upsert_pass_rate(t):
 
 @query
 def stored_pass_rate_lookup(t):
-    return stats.stored_pass_rate(jobs.pass_percentage(t), GRACE_CLASS_ID, GRACE_SUBJECT_ID)
+    return stats.stored_pass_rate(jobs.stored_rates(t), GRACE_CLASS_ID, GRACE_SUBJECT_ID)
 
 
 @query
@@ -243,6 +254,16 @@ def archive_history_append(t):
     return jobs.archive_student(t, NEXT_STUDENT_ID, LEAVING_DATE, students_history=first)["students_history"]
 
 
+@query
+def archive_again(t):
+    """Archived, enrolled again under another name and archived again: the history holds the last row alone."""
+    first = _archive(t)
+    again = first["students_history"].select(*S.STUDENT_KEYS, "firstname", F.lit(ENROLLED_AGAIN).alias("lastname"))
+    live = tables.upsert(first["students_live"], again, S.STUDENT_KEYS)
+    keys = dims.member_keys(live, STUDENT_ID)
+    return tables.archive(live, t.marks, keys, LATER_LEAVING_DATE, students_history=first["students_history"])["students_history"]
+
+
 @query
 def archive_marks_live(t):
     return explode_scores(_archive(t)["marks_live"], keep_null=True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gradeframe import schemas as S
 from gradeframe.operators import dims, grace, stats, tables, topk
 from gradeframe.sources.model import Tables
-from gradeframe.sources.store import StoredTables
+from gradeframe.sources.store import StoredTables, partition_of
 
 
 def _ids(t: Tables, dim: str, id_col: str, name_col: str, name: str | None, id_: int | None):
@@ -79,6 +79,36 @@ def top_students(t: Tables, class_name: str | None = None, class_id: int | None
     return {"per_test": topk.top_per_test(per_test, k, test_ids), "overall": topk.top_overall(totals, k)}
 
 
+def top_lists(t: Tables, class_name: str | None = None, class_id: int | None = None,
+              k: int = S.TOP_K, test_ids=S.TOP_TESTS) -> DataFrame:
+    """The lists of ``top_students`` as one table (test_id NULL: the overall list), from one scan of the
+    marks: per class, of members in groups that belong to it by the class bridge."""
+    class_ids = _ids(t, "classes", "class_id", "class_name", class_name, class_id)
+    pairs = dims.groups_of_class(t.class_group_mapper)
+    if class_ids is not None:
+        pairs = pairs.join(class_ids.distinct(), "class_id", "left_semi")
+    marks = t.marks.join(pairs, ["class_id", "group_id"], "left_semi").select(*S.MARKS.fieldNames())
+    return topk.top_lists(stats.student_test_means(marks), k, test_ids)
+
+
+def test_statistics(t: Tables, subject_name: str | None = None, class_name: str | None = None,
+                    subject_id: int | None = None, class_id: int | None = None) -> DataFrame:
+    """Ranked means and best and worst test of ``subject_statistics`` as one table, from one scan of the marks."""
+    marks = t.marks
+    for ids, column in ((_ids(t, "subjects", "subject_id", "subject_name", subject_name, subject_id), "subject_id"),
+                        (_ids(t, "classes", "class_id", "class_name", class_name, class_id), "class_id")):
+        if ids is not None:
+            marks = dims.restrict(marks, column, ids=ids)
+    return stats.test_statistics(stats.test_means(marks))
+
+
+def stored_rates(t) -> DataFrame:
+    """The stored pass percentages; where a store has none yet, those of its marks."""
+    if isinstance(t, StoredTables) and not t.folders("pass_percentage"):
+        return pass_percentage(t)
+    return t.pass_percentage
+
+
 def archive_student(t: Tables, student_id: int, leaving_date=None,
                     students_history: DataFrame | None = None,
                     marks_history: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -127,47 +157,73 @@ def fill_tables(t: Tables, out_base: str) -> StoredTables:
     if store.version >= 0:
         raise ValueError(f"there is a store at {out_base} already")
     names = ("groups", "classes", "subjects", "tests", "students", "marks")
-    written = StoredTables(t.spark, out_base, -1)
-    written._folders = {name: store.write(name, t.table(name)) for name in names}
-    pairs = dims.build_bridge(written.marks, "group_id", "subject_id")
-    written._folders["subject_group_mapper"] = store.write("subject_group_mapper", pairs)
-    pairs = dims.build_bridge(written.students, "class_id", "group_id")
-    written._folders["class_group_mapper"] = store.write("class_group_mapper", pairs)
-    return store.commit(written._folders)
+    folders = {name: store.write(name, t.table(name)) for name in names}
+    written = {name: store.rows_of(name, folders[name]) for name in ("marks", "students")}
+    folders["subject_group_mapper"] = store.write("subject_group_mapper", dims.build_bridge(written["marks"], "group_id", "subject_id"))
+    folders["class_group_mapper"] = store.write("class_group_mapper", dims.build_bridge(written["students"], "class_id", "group_id"))
+    return store.commit(folders)
 
 
 # -- jobs on a store: each returns the store's next version ---------------------
 
+def store_rows(store: StoredTables, rows: dict[str, DataFrame]) -> StoredTables:
+    """Append rows to tables of the store by key: a row replaces the stored one of its key (S5)."""
+    return store.commit({name: store.upserted(name, df) for name, df in rows.items()})
+
+
 def store_pass_percentage(store: StoredTables, threshold: float = S.PASS_THRESHOLD,
                           keep_zero: bool = False) -> StoredTables:
     """O3: compute the pass percentages and upsert them into the stored ones."""
-    rates = tables.upsert(store.pass_percentage, pass_percentage(store, threshold, keep_zero), S.PASS_KEYS)
-    return store.commit({"pass_percentage": store.replaced("pass_percentage", rates)})
+    rates = store.upserted("pass_percentage", pass_percentage(store, threshold, keep_zero))
+    return store.commit({"pass_percentage": rates}, reads={"marks": [""]})
+
+
+def store_top_students(store: StoredTables, class_name: str | None = None, class_id: int | None = None,
+                       k: int = S.TOP_K, test_ids=S.TOP_TESTS) -> StoredTables:
+    """O4: write the lists per test and overall, of one class or all, in one execution.
+
+    The lists of a class replace its stored ones; all lists are replaced without a class."""
+    lists = top_lists(store, class_name, class_id, k, test_ids)
+    one = class_name is not None or class_id is not None
+    folders = store.replaced_partitions("top_students", lists) if one else store.replaced("top_students", lists)
+    return store.commit({"top_students": folders}, reads={"marks": [""], "class_group_mapper": [""]})
+
+
+def store_test_statistics(store: StoredTables) -> StoredTables:
+    """O2: write the ranked test means with best and worst test of every class and subject in one execution."""
+    return store.commit({"test_statistics": store.replaced("test_statistics", test_statistics(store))}, reads={"marks": [""]})
 
 
 def store_grace_marks(store: StoredTables, subject_name: str | None = None, class_name: str | None = None,
                       subject_id: int | None = None, class_id: int | None = None) -> StoredTables:
-    """O6: rewrite the marks of the scope's partitions and upsert the new pass percentages."""
+    """O6: rewrite the marks of the scope's partitions and upsert the new pass percentages.
+
+    Eligibility reads all marks of the classes in scope, so a change of any of them
+    in the meantime is a conflict."""
     subject_ids = _ids(store, "subjects", "subject_id", "subject_name", subject_name, None)
     class_ids = _ids(store, "classes", "class_id", "class_name", class_name, None)
     job = grace_marks(store, subject_name, class_name, subject_id, class_id, store.pass_percentage)
     scope = store.marks.select("class_id", "subject_id")
     scope = dims.restrict(dims.restrict(scope, "class_id", class_id, class_ids), "subject_id", subject_id, subject_ids)
-    rates = job["pass_percentage"]
     folders = store.rewritten("marks", scope.distinct(), lambda rows: tables.upsert(
         rows, job["adjusted_marks"], S.MARK_KEYS))
-    return store.commit({"marks": folders, "pass_percentage": store.replaced("pass_percentage", rates)})
+    written = set(folders) - set(store.folders("marks"))
+    rates = store.upserted("pass_percentage", job["after"])
+    return store.commit({"marks": folders, "pass_percentage": rates},
+                        reads={"marks": sorted({partition_of(f).split("/")[0] for f in written}), "subject_group_mapper": [""]})
 
 
 def store_archive_student(store: StoredTables, student_id: int, leaving_date=None) -> StoredTables:
-    """O5: add the member's rows to the histories and rewrite the partitions that held them."""
+    """O5: put the member's rows into the histories and rewrite the partitions that held them.
+
+    A history row takes the place of one with its key: a member who was archived, enrolled
+    again and archived again stands in the histories once."""
     keys = dims.member_keys(store.students, student_id)
     moved = tables.archive(store.students, store.marks, keys, leaving_date)
-    new = {name: store.write(name, moved[name]) for name in ("students_history", "marks_history")}
     held = tables.select_by_key(store.marks, keys, S.STUDENT_KEYS).select("class_id", "subject_id").distinct()
-    live = {
+    return store.commit({
+        **{name: store.upserted(name, moved[name]) for name in ("students_history", "marks_history")},
         "students": store.rewritten("students", keys.select("class_id").distinct(),
                                     lambda rows: tables.delete_by_key(rows, keys, S.STUDENT_KEYS)),
         "marks": store.rewritten("marks", held, lambda rows: tables.delete_by_key(rows, keys, S.STUDENT_KEYS)),
-    }
-    return store.commit({**live, **{name: store.folders(name) + folders for name, folders in new.items()}})
+    })

@@ -52,8 +52,8 @@ adj AS (
          CASE WHEN e.student_id IS NOT NULL AND ml.test_id = 1 AND ml.mark <= 95
               THEN ml.mark + 5 ELSE ml.mark END AS new_mark
   FROM ml LEFT JOIN elig e
-    ON ml.group_id = e.group_id AND ml.class_id = e.class_id AND ml.subject_id = e.subject_id
-       AND ml.student_id = e.student_id),
+    ON ml.group_id IS NOT DISTINCT FROM e.group_id AND ml.class_id IS NOT DISTINCT FROM e.class_id
+       AND ml.subject_id = e.subject_id AND ml.student_id = e.student_id),
 member_keys AS (SELECT group_id, class_id, student_id FROM stud WHERE student_id = 10)
 """
 
@@ -169,6 +169,39 @@ FROM (SELECT *, row_number() OVER (PARTITION BY class_id
                                    ORDER BY total_average DESC, student_id) AS rn FROM tot) r
 WHERE rn <= 3""",
 
+    "class_top_lists": """,
+inside AS (
+  SELECT m.class_id, m.student_id, m.test_id, avg(m.mark) AS average_marks
+  FROM ml m WHERE m.mark IS NOT NULL
+    AND EXISTS (SELECT 1 FROM cgm g WHERE g.class_id = m.class_id AND g.group_id = m.group_id)
+  GROUP BY m.class_id, m.student_id, m.test_id),
+tot AS (SELECT class_id, student_id,
+               list_reduce(list(average_marks ORDER BY test_id), lambda a, b: a + b) / count(*) AS total_average
+        FROM inside GROUP BY class_id, student_id),
+lists AS (
+  SELECT class_id, test_id, student_id, average_marks AS average FROM inside WHERE test_id IN (1, 2)
+  UNION ALL SELECT class_id, NULL, student_id, total_average FROM tot)
+SELECT class_id, test_id, CAST(rn AS INTEGER) AS "rank", student_id, average
+FROM (SELECT *, row_number() OVER (PARTITION BY class_id, test_id ORDER BY average DESC, student_id) AS rn FROM lists) r
+WHERE rn <= 3""",
+
+    "test_statistics": """,
+tm AS (
+  SELECT class_id, subject_id, test_id, avg(mark) AS mean_mark
+  FROM ml WHERE mark IS NOT NULL GROUP BY class_id, subject_id, test_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY class_id, subject_id ORDER BY mean_mark DESC, test_id) AS down,
+         row_number() OVER (PARTITION BY class_id, subject_id ORDER BY mean_mark, test_id) AS up FROM tm)
+SELECT r.class_id, r.subject_id, r.test_id, r.mean_mark, CAST(r.down AS INTEGER) AS "rank",
+       b.test_id AS best_test, w.test_id AS worst_test, (b.mean_mark - w.mean_mark) / 100e0 AS gap_over_100,
+       CASE WHEN w.mean_mark = 0 THEN NULL ELSE (b.mean_mark - w.mean_mark) / w.mean_mark * 100e0 END AS relative_increase_pct
+FROM r JOIN r b ON r.class_id IS NOT DISTINCT FROM b.class_id AND r.subject_id = b.subject_id AND b.down = 1
+       JOIN r w ON r.class_id IS NOT DISTINCT FROM w.class_id AND r.subject_id = w.subject_id AND w.up = 1""",
+
+    "archive_again": """
+SELECT group_id, class_id, student_id, firstname, 'again' AS lastname, DATE '2025-01-31' AS date_of_leaving
+FROM stud WHERE student_id = 10""",
+
     "members_mean_over": """
 SELECT group_id, class_id, student_id, avg(mark) AS average FROM ml
 WHERE mark IS NOT NULL AND test_id = 1 GROUP BY group_id, class_id, student_id HAVING avg(mark) > 50""",
@@ -179,8 +212,8 @@ SELECT group_id, class_id, subject_id, student_id FROM elig""",
     "grace_eligible_names": """
 SELECT e.group_id, e.class_id, e.subject_id, e.student_id,
        coalesce(s.firstname, '') || ' ' || coalesce(s.lastname, '') AS full_name
-FROM elig e JOIN stud s ON e.group_id = s.group_id AND e.class_id = s.class_id
-     AND e.student_id = s.student_id""",
+FROM elig e JOIN stud s ON e.group_id IS NOT DISTINCT FROM s.group_id
+     AND e.class_id IS NOT DISTINCT FROM s.class_id AND e.student_id = s.student_id""",
 
     "grace_adjusted_scores": """
 SELECT group_id, class_id, subject_id, student_id, test_id, new_mark AS mark,
@@ -242,28 +275,28 @@ SELECT s.*, DATE '2024-06-30' AS date_of_leaving FROM stud s WHERE student_id IN
 
     "delete_by_key": """
 SELECT m.group_id, m.class_id, m.subject_id, m.student_id FROM mrow m
-WHERE NOT EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id = m.group_id
-                  AND k.class_id = m.class_id AND k.student_id = m.student_id)""",
+WHERE NOT EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id IS NOT DISTINCT FROM m.group_id
+                  AND k.class_id IS NOT DISTINCT FROM m.class_id AND k.student_id = m.student_id)""",
 
     "archive_students_live": """
 SELECT s.* FROM stud s
-WHERE NOT EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id = s.group_id
-                  AND k.class_id = s.class_id AND k.student_id = s.student_id)""",
+WHERE NOT EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id IS NOT DISTINCT FROM s.group_id
+                  AND k.class_id IS NOT DISTINCT FROM s.class_id AND k.student_id = s.student_id)""",
 
     "archive_students_history": """
 SELECT s.*, DATE '2024-06-30' AS date_of_leaving FROM stud s
-WHERE EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id = s.group_id
-              AND k.class_id = s.class_id AND k.student_id = s.student_id)""",
+WHERE EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id IS NOT DISTINCT FROM s.group_id
+              AND k.class_id IS NOT DISTINCT FROM s.class_id AND k.student_id = s.student_id)""",
 
     "archive_marks_live": """
 SELECT m.group_id, m.class_id, m.subject_id, m.student_id, m.test_id, m.mark FROM ml m
-WHERE NOT EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id = m.group_id
-                  AND k.class_id = m.class_id AND k.student_id = m.student_id)""",
+WHERE NOT EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id IS NOT DISTINCT FROM m.group_id
+                  AND k.class_id IS NOT DISTINCT FROM m.class_id AND k.student_id = m.student_id)""",
 
     "archive_marks_history": """
 SELECT m.group_id, m.class_id, m.subject_id, m.student_id, m.test_id, m.mark FROM ml m
-WHERE EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id = m.group_id
-              AND k.class_id = m.class_id AND k.student_id = m.student_id)""",
+WHERE EXISTS (SELECT 1 FROM member_keys k WHERE k.group_id IS NOT DISTINCT FROM m.group_id
+              AND k.class_id IS NOT DISTINCT FROM m.class_id AND k.student_id = m.student_id)""",
 
     "build_dimension": """
 SELECT 'groups' AS dimension, group_id AS id, group_name AS name,

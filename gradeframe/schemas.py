@@ -44,11 +44,23 @@ TESTS = T.StructType([T.StructField("test_id", I), T.StructField("test_name", S)
 SUBJECT_GROUP = T.StructType([T.StructField("group_id", I), T.StructField("subject_id", I)])
 CLASS_GROUP = T.StructType([T.StructField("class_id", I), T.StructField("group_id", I)])
 
+# Result tables of one pass: the top lists (test_id NULL: the overall list) and the tests of a subject.
+TOP_STUDENTS = T.StructType([
+    T.StructField("class_id", I), T.StructField("test_id", I), T.StructField("rank", I),
+    T.StructField("student_id", L), T.StructField("average", D),
+])
+TEST_STATISTICS = T.StructType([
+    T.StructField("class_id", I), T.StructField("subject_id", I), T.StructField("test_id", I),
+    T.StructField("mean_mark", D), T.StructField("rank", I), T.StructField("best_test", I),
+    T.StructField("worst_test", I), T.StructField("gap_over_100", D), T.StructField("relative_increase_pct", D),
+])
+
 SCHEMAS = {
     "students": STUDENTS, "marks": MARKS, "marks_history": MARKS,
     "pass_percentage": PASS_PERCENTAGE, "students_history": STUDENTS_HISTORY,
     "groups": GROUPS, "classes": CLASSES, "subjects": SUBJECTS, "tests": TESTS,
     "subject_group_mapper": SUBJECT_GROUP, "class_group_mapper": CLASS_GROUP,
+    "top_students": TOP_STUDENTS, "test_statistics": TEST_STATISTICS,
 }
 
 # Primary keys (upsert / delete replace or remove whole rows by these).
@@ -63,7 +75,12 @@ KEYS = {
     "tests": ["test_id"],
     "subject_group_mapper": ["group_id", "subject_id"],
     "class_group_mapper": ["class_id", "group_id"],
+    "top_students": ["class_id", "test_id", "rank"],
+    "test_statistics": ["class_id", "subject_id", "test_id"],
 }
+# Key columns that a stored row must have: group and class of a member may be unknown.
+REQUIRED = {name: [k for k in keys if k not in ("group_id", "class_id")] or keys for name, keys in KEYS.items()}
+REQUIRED["top_students"] = ["rank", "student_id"]
 
 # Fixed values of the modelled application (defaults of the parameters below).
 PASS_THRESHOLD = 40          # a subject is passed when its map mean is strictly above this

@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from gradeframe import schemas as S
 from gradeframe.functions.ids import dense_ids
 from gradeframe.functions.scores import build_score_map
-from gradeframe.scratch import folder_state, materialize
+from gradeframe.operators import stats
+from gradeframe.scratch import folder_state, materialize, release
 from gradeframe.session import application_key
 
 # Fixed value of the derivation from the input tables.
@@ -96,7 +97,7 @@ class Tables:
             ids = (self.raw("lineitem").select(F.col("l_linenumber").cast("int").alias("test_id"))
                    .where(F.col("test_id").isNotNull()).distinct())
             return materialize(ids.select("test_id", F.concat(
-                F.lit(S.TEST_LABEL_PREFIX), F.col("test_id").cast("string")).alias("test_name")), "tests")
+                F.lit(S.TEST_LABEL_PREFIX), F.col("test_id").cast("string")).alias("test_name")), "tests", lasting=True)
         return self._memo("tests", build)
 
     # members ----------------------------------------------------------------
@@ -159,16 +160,29 @@ class Tables:
     @property
     def subject_group_mapper(self) -> DataFrame:
         return self._memo("subject_group_mapper", lambda: materialize(self.marks_long.select(
-            "group_id", "subject_id").distinct(), "subject_group_mapper"))
+            "group_id", "subject_id").distinct(), "subject_group_mapper", lasting=True))
 
     @property
     def class_group_mapper(self) -> DataFrame:
         return self._memo("class_group_mapper", lambda: materialize(self.students.select(
-            "class_id", "group_id").distinct(), "class_group_mapper"))
+            "class_id", "group_id").distinct(), "class_group_mapper", lasting=True))
+
+    # results ----------------------------------------------------------------
+    @property
+    def pass_percentage(self) -> DataFrame:
+        """The pass percentages, written once and sorted by class and subject, so that a lookup reads one file."""
+        return self._memo("pass_percentage", lambda: materialize(
+            stats.pass_rate(self.marks).repartitionByRange(*S.PASS_KEYS).sortWithinPartitions(*S.PASS_KEYS),
+            "pass_percentage", lasting=True))
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def release(self) -> None:
+        """Delete the small tables that were written for this object; they are derived again when next asked for."""
+        release(*self._cache.values())
+        self._cache.clear()
+
 
 _LOADED: dict[tuple, Tables] = {}
 

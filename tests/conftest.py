@@ -50,5 +50,6 @@ FIXTURE_MARKS = [
 
 
 def rows(df, *cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect()) if cols else sorted(
-        tuple(r) for r in df.collect())
+    """Rows as sorted tuples, NULL first."""
+    return sorted((tuple(r) for r in (df.select(*cols) if cols else df).collect()),
+                  key=lambda r: tuple((x is not None, x) for x in r))
