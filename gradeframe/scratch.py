@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gradeframe.session import application_key, ensure_checkpoint_dir
 
+#: Spark's setting to delete a query's shuffle files at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Scratch tables of each application, and those of the innermost open block of this thread.
 _SESSION: dict[str, set[str]] = {}
 _BLOCK: ContextVar[set[str] | None] = ContextVar("scratch_block", default=None)
@@ -38,7 +40,12 @@ def materialize(df: DataFrame, label: str, lasting: bool = False) -> DataFrame:
     path = f"{base.rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
     block = None if lasting else _BLOCK.get()
     (_SESSION.setdefault(application_key(spark), set()) if block is None else block).add(path)
-    df.write.mode("errorifexists").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")  # the written table is read from now on, not the shuffles that made it
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
