@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from gradeframe.session import application_key
 from gradeframe.sources.store import materialize
 
-__all__ = ["crc_rest", "mix64", "read", "release", "ship", "slices", "span_hashes", "stored", "text_slices", "texts_of", "word_spans"]
+__all__ = ["apart", "crc_rest", "mix64", "read", "release", "ship", "slices", "span_hashes", "stored", "text_slices", "texts_of", "word_spans"]
 
 #: Bytes of text that one numpy pass works on (a longer text is one pass of its own).
 PASS_BYTES = 1 << 20
@@ -52,18 +51,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
-def release(*tables: DataFrame, sweep: bool = False) -> None:
-    """Delete tables made by ``stored`` that nothing reads any more; with ``sweep`` let Spark
-    drop the shuffle files of finished steps too (it does so when the driver collects garbage)."""
+def release(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that nothing reads any more."""
     for table in tables:
         spark = table.sparkSession
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
-    if sweep:
-        gc.collect()
-        spark._jvm.System.gc()
+
+
+def apart(docs: DataFrame, own: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with all columns but ``own`` under names that no operator uses, and the names they had."""
+    names = [c if c in own else f"other {i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), dict(zip(names, docs.columns, strict=True))
 
 
 def crc_rest(doc_id, modulus: int):

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import mix64, stored, text_slices, word_spans
+from gradeframe.llm.common import apart, mix64, stored, text_slices, word_spans
 
 BLOCK, REPEATS, SHARDS, SEED = 64, 3, 256, 7
 #: Weights of the sources by code point (NULL last), repeating.
@@ -175,7 +175,7 @@ def mixed_texts(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
     of it; a copy's text is what is taken that often, in the document's order.
     n_chars, if there, counts the new text. Rows equal in doc_id and text count
     as one document here."""
-    docs = docs.dropDuplicates(["doc_id", "text"])
+    docs, original = apart(docs.dropDuplicates(["doc_id", "text"]), ("doc_id", "text", "source", "n_chars"))
     mixture = Mixture(docs, weights, seed)
     rows = mixture.docs.select("row", F.col("h").alias("_h"), F.col("doc_id").alias("_id"))
     lists = mixture.taken().groupBy("row").agg(F.collect_list(F.struct("first", "last", "times")).alias("_taken"))
@@ -203,4 +203,4 @@ def mixed_texts(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int
                 at = pa.array(index, pa.int64())
                 yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c).take(at) for c in names], names=names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, docs.schema).toDF(*original.values())

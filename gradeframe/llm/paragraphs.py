@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import _powers, mix64, release, stored, text_slices, word_spans
+from gradeframe.llm.common import _powers, apart, mix64, release, stored, text_slices, word_spans
 from gradeframe.llm.components import components
 
 SHORT, LONG, NEAR = 9, 40, 8
@@ -164,7 +164,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(good) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel().view(np.int64))),
                 ], names=["doc_id", "h", "first", "n", "key", "bands"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint, bands array<bigint>")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint, bands array<bigint>")
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def anchors(docs: DataFrame) -> DataFrame:
                     pa.array(mix64(grams[places] ^ _MIX[40]).view(np.int64)),
                 ], names=["doc_id", "h", "first", "n", "key"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint")
 
 
 def covered(items: list) -> list[tuple[bool, bool]]:
@@ -239,7 +239,7 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), batch.column("h").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=["doc_id", "h", "first", "n", "key", "check", "anchor", "shingles", "before", "after"])
 
-    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h int, first int, n int, key bigint, check bigint, anchor boolean, shingles array<bigint>, before array<int>, after array<int>")
+    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint, check bigint, anchor boolean, shingles array<bigint>, before array<int>, after array<int>")
 
 
 def collisions(keys: DataFrame) -> DataFrame:
@@ -348,7 +348,9 @@ def anchor_runs(marks: DataFrame) -> DataFrame:
 
     A run's key is that of the range it repeats. In its own document every anchor is a run."""
     place = F.struct("doc_id", "h", "first")
+    # Stored, so that both sides of the join are plain shuffles and Spark can split the key of a common passage.
     repeated = marks.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("key", "place")
+    repeated = stored(repeated, "anchors-repeated")
     again = marks.join(repeated, "key").where(~place.eqNullSafe(F.col("place")))
     lines = again.groupBy("doc_id", "h", F.col("place.doc_id").alias("kept_id"), F.col("place.h").alias("kept_h"), (F.col("place.first") - F.col("first")).alias("shift"))
     lines = lines.agg(F.sort_array(F.collect_set("first")).alias("at"))
@@ -359,6 +361,7 @@ def anchor_runs(marks: DataFrame) -> DataFrame:
     runs = lines.select("doc_id", "h", "kept_id", "kept_h", "shift", F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("run"))
     runs = runs.select("doc_id", "h", "kept_id", "kept_h", F.col("run.a").alias("first"), (F.col("run.b") - F.col("run.a") + GRAM).alias("n"), (F.col("run.a") + F.col("shift")).alias("kept_first"))
     runs = stored(runs.withColumn("key", F.xxhash64("kept_id", "kept_h", "kept_first", "n")), "anchor-runs")
+    release(repeated)
     kept = runs.select(F.col("kept_id").alias("doc_id"), F.col("kept_h").alias("h"), F.col("kept_first").alias("first"), "n", "key").distinct()
     rows = runs.select("doc_id", "h", "first", "n", "key").unionByName(kept)
     no, yes = F.lit(False), F.lit(True)
@@ -382,23 +385,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "h", "first")
     marks = stored(anchors(docs), "anchors")
     held = stored(anchor_runs(marks), "anchor-holders")
-    release(marks, sweep=True)
+    release(marks)
     found = stored(paragraphs(docs), "paragraphs")
     keys = stored(found.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "paragraph-keys")
     shared = stored(collisions(keys), "paragraph-bands")
     near = shared.select("key").distinct().withColumn("probe", F.lit(True))
     candidates = keys.join(near, "key", "left").where("copies > 1 or probe").select("key", "place", F.coalesce("probe", F.lit(False)).alias("probe"))
     candidates = stored(candidates, "paragraph-candidates")
-    release(keys, sweep=True)
+    release(keys)
     wanted = holders(found, candidates).unionByName(held)
     wanted = stored(wanted.groupBy("doc_id", "h").agg(F.collect_list("item").alias("items")), "paragraph-wanted")
-    release(found, candidates, held, sweep=True)
+    release(found, candidates, held)
     detail = stored(details(docs, wanted), "paragraph-details")
-    release(wanted, sweep=True)
+    release(wanted)
 
     probes = detail.where("shingles is not null").dropDuplicates(["key"]).select("key", "shingles")
     links = stored(verified(shared, probes), "paragraph-links")
-    release(shared, sweep=True)
+    release(shared)
     classes = stored(components(links), "paragraph-classes")
     member = detail.select("doc_id", "h", "first", "n", "key", "check", "anchor", "before", "after").join(classes, F.col("key") == F.col("node"), "left")
     # Equal paragraphs agree in both hashes; similar ones are one class by their component.
@@ -407,7 +410,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     whole = F.struct("doc_id", "h", "first", "n", "before", "after")
     kept = member.groupBy("class", "check").agg(F.min(whole).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("class").alias("_class"), F.col("check").alias("_check"), "kept")
     kept = stored(kept, "paragraph-kept")
-    release(links, sweep=True)
+    release(links)
     pairs = member.join(kept, (F.col("class") == F.col("_class")) & F.col("check").eqNullSafe(F.col("_check")))
     pairs = pairs.where(~F.struct("doc_id", "h", "first").eqNullSafe(F.struct("kept.doc_id", "kept.h", "kept.first")))
     # In its own document a repeat does not reach back into the occurrence that stays.
@@ -420,7 +423,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         (F.col("first") + F.col("n") + common_prefix(F.col("after"), F.col("kept.after"))).alias("last"),
         F.col("kept.doc_id").alias("kept_doc_id"), "anchor").where(~F.col("anchor") | (F.col("last") - F.col("first") >= PASSAGE)).drop("anchor")
     spans = stored(spans, "paragraph-spans")
-    release(detail, kept, classes, sweep=True)
+    release(detail, kept, classes)
     return spans
 
 
@@ -459,15 +462,15 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 
     Adds ``removed_words`` (int) and ``duplicate_of`` (sorted doc_ids that keep what
     was removed; the document itself if it repeats its own words); columns of
-    these names are replaced. Nothing else of a row changes."""
-    rest = [c for c in docs.columns if c not in ("removed_words", "duplicate_of")]
-    docs = docs.select(rest)
+    these names are replaced. Nothing else of a row changes, whatever its columns are called."""
+    docs, names = apart(docs.drop("removed_words", "duplicate_of"), ("doc_id", "text"))
+    rest = docs.columns
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select("doc_id", text.alias("text"), F.hash(text).alias("h"))
+    keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
     spans = repeated_spans(keyed)
     lists = spans.groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "last", "kept_doc_id")).alias("_spans"))
     lists = lists.withColumnRenamed("doc_id", "_id").withColumnRenamed("h", "_h")
-    joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["_id"]) & (F.hash(F.coalesce(docs["text"], F.lit(""))) == lists["_h"]), "left").drop("_id", "_h")
+    joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == lists["_h"]), "left").drop("_id", "_h")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", removed_words int, duplicate_of array<{kind}>"
 
@@ -486,4 +489,5 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(texts, part.column("text").type) if c == "text" else part.column(c) for c in rest]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32()), pa.array(kept, pa.list_(part.column("doc_id").type))], names=[*rest, "removed_words", "duplicate_of"])
 
-    return joined.mapInArrow(run, schema)
+    out = joined.mapInArrow(run, schema)
+    return out.toDF(*[names.get(c, c) for c in out.columns])
