@@ -115,3 +115,29 @@ def test_run_and_awkward_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(str(empty / "documents.parquet"))
     spark.read.parquet(f"{D}/labels.parquet").write.parquet(str(empty / "labels.parquet"))
     assert P.run(spark, str(empty)).count() == 0
+
+
+def test_unlinked_documents_stay_whatever_their_ids_and_columns(spark):
+    """Different texts that share an id, or have none, are different documents; extra columns may have any name."""
+    r = np.random.default_rng(3)
+    text = lambda: " ".join("w%d" % x for x in r.integers(0, 10**6, 60))
+    a, b, c, d, e = (text() for _ in range(5))
+    near = a + " tail"
+    rows = [(None, a), (None, b), (5, c), (5, d), (7, e), (7, e), (9, near), (None, near), (3, None), (4, None)]
+    names = ["row", "group", "again", "_id", "_h", "_spans", "_taken", "_score", "score", "_predicted", "predicted", "removed_words", "h", "x.y"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), *[f"{k} of {n}" for n in names]) for k, (i, t) in enumerate(rows)], schema)
+    kept = P.near_dedup(spark, docs, D)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    got = sorted(((x["doc_id"], x["text"]) for x in kept.collect()), key=repr)
+    prints = [simhash.fingerprint(t or "", 4) for _, t in rows]
+    assert bin(prints[0] ^ prints[6]).count("1") <= 4  # the tail links them
+    assert got == sorted([(None, b), (5, c), (5, d), (7, e), (9, near), (3, None)], key=repr)
+    for x in kept.collect():
+        k = {int(x[n].split()[0]) for n in names if "." not in n}
+        assert len(k) == 1 and rows[k.pop()] == (x["doc_id"], x["text"])
+    for stage in (P.quality_filter, P.substring_dedup, P.mix):
+        out = stage(spark, docs, D)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        assert all(x[n].endswith(f" of {n}") for x in out.collect() for n in names if "." not in n)
+    assert P.substring_dedup(spark, docs, D).count() >= 6 and P.mix(spark, docs, D).count() >= 4
