@@ -49,14 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder made, one an application; on a cluster a missing setting is an
     error, because a machine-local folder is not visible to the executors.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server owns the folder
-        if not configured:
-            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
-        return configured
-    current = sc.getCheckpointDir() or configured
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
     if not sc.master.startswith("local"):
@@ -68,8 +62,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def application_key(spark: SparkSession) -> str:
-    """Identity of the running application (per session on Spark Connect)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return f"connect-{getattr(spark, 'session_id', id(spark))}"
+    """Identity of the running application."""
+    return spark.sparkContext.applicationId

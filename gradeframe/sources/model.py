@@ -201,5 +201,11 @@ def load(spark: SparkSession, sf_dir: str, fresh: bool = False) -> Tables:
     return _LOADED[key]
 
 
+def forget(spark: SparkSession) -> None:
+    """Forget the tables loaded in this application (after their scratch tables were deleted)."""
+    for key in [k for k in _LOADED if k[0] == application_key(spark)]:
+        del _LOADED[key]
+
+
 TABLE_NAMES = ["groups", "classes", "subjects", "tests", "subject_group_mapper",
                "class_group_mapper", "students", "marks"]

@@ -112,8 +112,11 @@ def test_cli_chain(spark, capsys):
     for args in (["fill", "--input", SF_SMALL], ["pass-percentage"], ["grace", "--subject", "medium", "--class", "building"],
                  ["archive", "--student-id", "10"], ["archive", "--student-id", "11"], ["top3", "--class", "building"]):
         assert main([*args, "--store", store]) == 0
-    assert "version 4" in capsys.readouterr().out
+    assert "version 5" in capsys.readouterr().out
     assert rows(StoredTables(spark, store).students_history, "student_id") == [(10,), (11,)]
+    assert StoredTables(spark, store).top_students.select("class_id").distinct().count() == 1
+    assert main(["vacuum", "--store", store, "--keep", "2"]) == 0 and "deleted" in capsys.readouterr().out
+    assert StoredTables(spark, store).versions() == [4, 5]
     with pytest.raises(SystemExit):
         main(["top3", "--store", store + "-none"])
 

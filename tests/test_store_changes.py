@@ -17,6 +17,7 @@ from gradeframe.plans import jobs
 from gradeframe.scratch import materialize, publish, release, release_session, scratch_tables, write_text
 from gradeframe.session import ensure_checkpoint_dir
 from gradeframe.sources import CommitConflict, SchemaMismatch, StoredTables, load, read_table, with_retries
+from gradeframe.sources.model import forget
 from gradeframe.sources.store import partition_of
 
 
@@ -252,7 +253,7 @@ def test_the_session_gives_its_tables_back(spark):
     x = materialize(spark.range(2), "x")
     release_session(spark)
     assert not any(os.path.exists(f.removeprefix("file://")) for f in x.inputFiles())
-    load(spark, SF_SMALL, fresh=True)
+    forget(spark)
 
 
 # -- C3: several outputs of one execution ------------------------------------------------
