@@ -8,6 +8,10 @@ the original vectors until the next leaf is so far that a point nearer than the
 k-th best found would lie there with probability below 1 - ``SURE``:
     leaf distance**2 > quantile(SURE) * (k-th best distance)**2
 Every row is indexed; nothing is fitted, the matrix comes from a fixed seed.
+
+``PLANES`` and ``SURE`` are set by measured recall and share of points verified: on directions
+without any structure (64 independent components, the hardest case) 12 planes at 0.98 verify
+three quarters of all points for a recall of 0.985, 32 planes at 0.93 a third for 0.93.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gradeframe.llm.vectors import searched
 
-PLANES, SURE, LEAF, SEED = 12, 0.98, 48, 20
+PLANES, SURE, LEAF, SEED = 32, 0.93, 48, 20
 _TINY = 1e-9
 
 
@@ -93,12 +97,13 @@ class Tree:
         """Row by row, so equal vectors get equal values."""
         return (self.vectors[rows] * query).sum(1) / (self.norms[rows] * np.sqrt((query * query).sum()))
 
-    def nearest(self, query_id: int, query: np.ndarray, projected: np.ndarray, k: int, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, query_id: int, query: np.ndarray, projected: np.ndarray, k: int, limit: float) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows and scores of the k nearest found, and how many points were verified."""
         gap = np.maximum(self.low - projected, 0) + np.maximum(projected - self.high, 0)
         far = (gap * gap).sum(1)
         order = np.argsort(far, kind="stable")
         rows, score = np.zeros(0, np.int64), np.zeros(0)
-        reach, at, step = np.inf, 0, 1
+        reach, at, step, verified = np.inf, 0, 1, 0
         while at < len(order) and far[order[at]] <= reach:
             leaves = order[at: at + step]
             leaves = leaves[far[leaves] <= reach]
@@ -108,13 +113,14 @@ class Tree:
             if reach < np.inf:
                 d = self.points[new] - projected
                 new = new[(d * d).sum(1) <= reach]
+            verified += len(new)
             if len(new):
                 rows, score = np.concatenate((rows, new)), np.concatenate((score, self.cosine(new, query)))
                 best = np.lexsort((self.ids[rows], -score))[:k]
                 rows, score = rows[best], score[best]
             if len(rows) == k:
                 reach = limit * max(0.0, 2 - 2 * score[-1]) + _TINY
-        return rows, score
+        return rows, score, verified
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sure: float = SURE) -> DataFrame:
@@ -131,9 +137,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sure: float = SURE
         tree = Tree(data, matrix.shape[1])
         projected = unit(matrix) @ planes(matrix.shape[1])
         found = [tree.nearest(int(i), q, p, k, limit) for i, q, p in zip(ids, matrix, projected, strict=True)]
-        counts = [len(r) for r, _ in found]
-        rows = np.concatenate([r for r, _ in found]) if found else np.zeros(0, np.int64)
-        score = np.concatenate([s for _, s in found]) if found else np.zeros(0)
+        counts = [len(r) for r, *_ in found]
+        rows = np.concatenate([r for r, *_ in found]) if found else np.zeros(0, np.int64)
+        score = np.concatenate([s for _, s, _ in found]) if found else np.zeros(0)
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, counts)), pa.array(tree.ids[rows]), pa.array(score, pa.float64())], names=["query_id", "vec_id", "score"])
 
     hits = searched(vectors, is_query, Tree.build, search, k, "neighbours", "query_id bigint, vec_id bigint, score double")

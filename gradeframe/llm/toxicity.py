@@ -161,11 +161,11 @@ class Decoder:
         return "".join([*done, min((total + float(cost[at * SYMBOLS + EDGE]), path) for at, (total, path) in states.items())[1]])
 
     def token(self, token: str) -> str:
-        """What an obfuscated token (or spelled-out run of letters) says.
+        """What an obfuscated token (or spelled-out run of letters) says; links and mail addresses say what they are.
 
         Punctuation around it stays out of the lattice; marks at its edges that may
         be letters give a second reading."""
-        if not any(map(str.isalpha, token)) or "=" in token or "://" in token or re.fullmatch(r"\S+@\S+\.\S+", token):
+        if not any(map(str.isalpha, token)) or "://" in token or re.fullmatch(r"\S+@\S+\.\S+", token):
             return token
         body = token.strip(_EDGES)
         inner = body.strip(_MARKS)

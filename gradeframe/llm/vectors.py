@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from gradeframe.llm.common import mix64, stored
 
-#: Rows of a shard and queries of a block, on average.
-SHARD_ROWS, BLOCK_QUERIES = 8192, 512
+#: Rows of a shard and queries of a block, on average, and blocks that a shard meets in one place.
+SHARD_ROWS, BLOCK_QUERIES, BLOCKS = 8192, 512, 16
 
 
 def rows_of(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -73,14 +73,16 @@ def searched(vectors: DataFrame, is_query, build: Callable, search: Callable, k:
     """Rows of ``search(shard bytes, query ids, query matrix)`` for every block of queries and every shard.
 
     Blocks and shards are bounded, a pair of them is a task's row; both sides are
-    dealt to the pairs by an equi-join, nothing is broadcast."""
+    dealt by an equi-join, nothing is broadcast. A shard is sent once per ``BLOCKS`` blocks
+    (as many queries as it has rows), the smaller blocks once per shard."""
     n, queries = vectors.count(), vectors.where(is_query)
     shards, blocks = -(-n // SHARD_ROWS) or 1, -(-queries.count() // BLOCK_QUERIES) or 1
     index = packed(vectors, shards, 1, build, f"{label}-index")
     asked = packed(queries, blocks, 2, lambda ids, matrix: ids.tobytes() + matrix.tobytes(), f"{label}-queries")
-    left = index.select("size", F.col("grp").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "data")
-    right = asked.select("size", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.col("grp").alias("block"), F.col("data").alias("queries"))
-    pairs = left.join(right.withColumn("block", F.col("block").cast("int")), ["size", "shard", "block"])
+    rounds = -(-blocks // BLOCKS)
+    left = index.select("size", F.col("grp").cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round"), "data")
+    right = asked.select("size", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.floor(F.col("grp") / BLOCKS).cast("int").alias("round"), F.col("data").alias("queries"))
+    pairs = left.join(right, ["size", "shard", "round"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -36,6 +36,35 @@ def test_hidden_characters_and_marked_spelling(restore, said, meant):
     assert meant in found.split() or meant == "moren" and "€" not in found
 
 
+@pytest.mark.parametrize(("said", "meant"), [("stu=pid", "stupid"), ("s=t=u=p=i=d", "stupid"), ("1d1ot=m0r0n", "idiot"), ("1d1ot=m0r0n", "moron")])
+def test_words_around_equals_signs(restore, said, meant):
+    assert meant in restore(f"Of {said} and.").split()
+    assert restore("see https://a.b/c?x=th1s and a.b1c=d@e.fg now") == "see https://a.b/c?x=th1s and a.b1c=d@e.fg now"
+
+
+def test_short_lattices_against_all_readings(restore, spark):
+    """Viterbi's reading costs as little as the cheapest of all readings, each priced from start to end."""
+    import itertools
+    decoder = toxicity.Decoder(toxicity.language_model(spark.read.parquet(DOCUMENTS)))
+
+    def price(readings):
+        total, at = 0.0, 0
+        for letters, extra in readings:
+            total += extra + toxicity.KEEP_COST * (at != toxicity.EDGE and letters.isdigit())
+            for s in [toxicity.EDGE] if letters.isdigit() else toxicity.symbols(letters).tolist():
+                if s == at == toxicity.EDGE and letters != " ":
+                    continue
+                total += float(decoder.cost[at * toxicity.SYMBOLS + s])
+                at = (at * toxicity.SYMBOLS + s) % toxicity.SYMBOLS**3 if s else 0
+        return total + float(decoder.cost[at * toxicity.SYMBOLS + toxicity.EDGE])
+
+    for token in ("1d1ot", "th3", "st*pid", "a$$", "m0r0n", "s.t.u", "4s=h", "ddumbb", "7h15", "l-o-l"):
+        every = list(itertools.product(*decoder.options(token)))
+        cheapest = min(price(x) for x in every)
+        said = decoder.decode(token)
+        assert min(price(x) for x in every if "".join(w for w, _ in x) == said) <= cheapest + 1e-3, token
+
+
 def test_what_may_be_obfuscated():
     def tokens(text):
         data = text.encode()

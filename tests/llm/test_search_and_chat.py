@@ -106,6 +106,27 @@ def test_neighbours_recall_on_the_table(spark):
     assert total == len(got) and hits >= 0.9 * total
 
 
+@pytest.mark.parametrize("groups", [0, 200])
+def test_neighbours_verified_share(groups):
+    """Of many points a third at most is verified at a recall of 0.9, without any structure and with groups."""
+    r = np.random.default_rng(1)
+    matrix = r.standard_normal((groups, 64))[r.integers(0, groups, 40_000)] + 0.4 * r.standard_normal((40_000, 64)) if groups else r.standard_normal((40_000, 64))
+    ids, unit = np.arange(40_000), neighbours.unit(matrix)
+    limit, projected = neighbours.chi_square_quantile(neighbours.SURE, neighbours.PLANES), unit @ neighbours.planes(64)
+    trees = [neighbours.Tree(neighbours.Tree.build(ids[a: a + 8192], matrix[a: a + 8192]), 64) for a in range(0, 40_000, 8192)]
+    hits = verified = 0
+    for q in range(0, 40_000, 1000):
+        s = unit @ unit[q]
+        s[q] = -2
+        found = []
+        for t in trees:
+            rows, score, n = t.nearest(q, matrix[q], projected[q], 5, limit)
+            verified += n
+            found += zip(-score, t.ids[rows], strict=True)
+        hits += len({i for _, i in sorted(found)[:5]} & set(np.argsort(-s)[:5].tolist()))
+    assert hits >= 0.9 * 200 and verified <= 40 * 40_000 / 3
+
+
 def test_equal_vectors_tie_by_id(spark):
     rows = [(i, [0.1, 0.2, 0.3]) for i in range(400)]
     for search in (maxscore.top_k, neighbours.nearest):
