@@ -3,11 +3,12 @@
 Words of a source, in the order of doc_id, are packed into blocks of ``BLOCK``
 words. A source's target becomes a number of block slots; every output shard
 draws how many of its slots come from each source (multinomial by what the
-sources have left, so the totals are met exactly). A source numbers its slots
-through all shards; slot j takes block ``permutation(j mod blocks)``, a Feistel
+sources have left, so the totals are met exactly), and puts them in a pseudorandom order. A source numbers its slots
+through all shards as they were drawn; slot j takes block ``permutation(j mod blocks)``, a Feistel
 network keyed by seed and source, so a source is read in a fixed pseudorandom order, as
 often as its quota says (at most ``REPEATS`` times). Slots and blocks are joined by
-(source, block index).
+(source, block index). The output is a table of shard, position, source and block; how often a document's
+words are taken, and the mixed texts, are read from it.
 
 Only one row per source is gathered: the mixture's table. Positions of
 documents are sums over ranges of doc_id (per task and source), never a
@@ -93,7 +94,7 @@ class Mixture:
     """The mixture's table (a row per source), and the slots and places it leads to."""
 
     def __init__(self, docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED):
-        self.spark, self.docs, self.seed = docs.sparkSession, placed(docs), seed
+        self.spark, self.docs, self.seed, self._output = docs.sparkSession, placed(docs), seed, None
         sums = stored(self.docs.groupBy("part", "source").agg(F.sum("size").alias("size")), "mix-parts")
         found = sums.groupBy("source").agg(F.sum("size").alias("size")).collect()  # a row per source
         found = sorted(((r["source"], r["size"]) for r in found), key=lambda x: (x[0] is None, x[0] or ""))
@@ -106,8 +107,8 @@ class Mixture:
         before = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         self.bases = sums.select("part", "source", before.alias("base"))
 
-    def draws(self) -> list[tuple[int, int, int, int]]:
-        """(output shard, source, first slot of the source, slots) of each shard."""
+    def draws(self) -> list[tuple[int, int, int, int, int, int]]:
+        """(output shard, source, first slot of the source, slots, the shard's slots before them and in all) of each shard."""
         left = np.array(self.slots, np.int64)
         rng, first, out = np.random.default_rng(self.seed), np.zeros(len(left), np.int64), []
         for shard in range(SHARDS):
@@ -116,25 +117,36 @@ class Mixture:
             while (more := n - int(drawn.sum())) > 0:
                 open_ = left - drawn
                 drawn += np.minimum(rng.multinomial(more, open_ / open_.sum()), open_)
-            out += [(shard, i, int(first[i]), int(drawn[i])) for i in np.flatnonzero(drawn).tolist()]
+            before = np.cumsum(drawn) - drawn
+            out += [(shard, i, int(first[i]), int(drawn[i]), int(before[i]), n) for i in np.flatnonzero(drawn).tolist()]
             first, left = first + drawn, left - drawn
         return out
 
-    def slot_rows(self) -> DataFrame:
-        """(shard, sid, slot, block): the block that each output slot takes."""
-        rows = [(shard, sid, first + a, min(RUN, n - a)) for shard, sid, first, n in self.draws() for a in range(0, n, RUN)]
+    def output(self) -> DataFrame:
+        """(shard, position, sid, slot, block): the block at each position of each output shard.
+
+        A shard's slots are its draws; their positions are a pseudorandom permutation, so its sources
+        are mixed. Slot j of a source takes its block permutation(j mod blocks). Written once."""
+        if self._output is None:
+            self._output = stored(self._slots(), "mix-output")
+        return self._output
+
+    def _slots(self) -> DataFrame:
         blocks, seed = self.blocks, self.seed
-        runs = self.spark.createDataFrame(rows, "shard int, sid int, first bigint, n bigint")
+        draws = self.spark.createDataFrame(self.draws(), "shard int, sid int, first bigint, n bigint, before bigint, total bigint")  # a row per shard and source
+        runs = draws.withColumn("a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(RUN).cast("bigint"))))
         runs = runs.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))  # a number, so that it stays
 
         def run(batches):
             for batch in batches:
-                for shard, sid, first, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "sid", "first", "n")), strict=True):
-                    slot = np.arange(first, first + n)
-                    block = permuted(slot % blocks[sid], blocks[sid], (seed << 32) + sid)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int32)), pa.array(np.full(n, sid, np.int32)), pa.array(slot), pa.array(block)], names=["shard", "sid", "slot", "block"])
+                for shard, sid, first, n, before, total, a in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    k = np.arange(a, min(a + RUN, n))
+                    block = permuted((first + k) % blocks[sid], blocks[sid], (seed << 32) + sid)
+                    position = permuted(before + k, total, (seed << 32) + (1 << 31) + shard)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), shard, np.int32)), pa.array(position), pa.array(np.full(len(k), sid, np.int32)), pa.array(first + k), pa.array(block)],
+                                                     names=["shard", "position", "sid", "slot", "block"])
 
-        return runs.mapInArrow(run, "shard int, sid int, slot bigint, block bigint")
+        return runs.mapInArrow(run, "shard int, position bigint, sid int, slot bigint, block bigint")
 
     def known(self) -> DataFrame:
         """Documents with their source's row and ``start``, their first word in the source."""
@@ -150,9 +162,8 @@ class Mixture:
         return rows.select("row", "sid", "block", F.greatest(F.col("block") * BLOCK - F.col("start"), F.lit(0)).alias("first"), F.least((F.col("block") + 1) * BLOCK - F.col("start"), F.col("size")).alias("last"))
 
     def taken(self) -> DataFrame:
-        """(row, first, last, times): pieces that the mix takes."""
-        # Stored: Spark would take the few rows that the slots expand from for their size, and broadcast them.
-        times = stored(self.slot_rows().groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times")), "mix-times")
+        """(row, first, last, times): pieces that the mix takes, as often as their blocks are in the output."""
+        times = stored(self.output().groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times")), "mix-times")
         return self.pieces().join(times, ["sid", "block"]).select("row", "first", "last", "times")
 
 
@@ -168,6 +179,38 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED)
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
+def mixed_blocks(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """The mix as output shards: shard, position (gapless from 0 in a shard), source, block and the block's words as text.
+
+    The last block of a source may be shorter. Rows equal in doc_id and text count as one
+    document here; other columns are ignored, no documents, no rows."""
+    docs = docs.select("doc_id", "text", "source").dropDuplicates(["doc_id", "text"])
+    mixture = Mixture(docs, weights, seed)
+    known = mixture.known().select("row", "start", F.col("doc_id").alias("id"), "h")
+    taken = mixture.output().select("sid", "block").distinct()
+    lists = mixture.pieces().join(taken, ["sid", "block"], "left_semi").groupBy("row").agg(F.collect_list(F.struct("sid", "block", "first", "last")).alias("pieces"))
+    lists = stored(lists.join(known, "row").select("id", "h", "start", "pieces"), "mix-pieces")
+    h = F.xxhash64(docs["doc_id"], F.coalesce(docs["text"], F.lit("")))
+    joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["id"]) & (h == lists["h"])).select("text", "start", "pieces")
+
+    def run(batches):
+        for batch in batches:
+            for a, b, texts in text_slices(batch.column("text")):
+                out = []
+                for text, start, pieces in zip(texts, *(batch.column(c).slice(a, b - a).to_pylist() for c in ("start", "pieces")), strict=True):
+                    words = text.encode("utf-8", "surrogatepass").split()
+                    out += [(x["sid"], x["block"], start + x["first"], b" ".join(words[x["first"]: x["last"]]).decode("utf-8", "surrogatepass")) for x in pieces]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["sid", "block", "at", "words"]).cast(schema)
+
+    schema = pa.schema([("sid", pa.int32()), ("block", pa.int64()), ("at", pa.int64()), ("words", pa.string())])
+    parts = joined.mapInArrow(run, "sid int, block bigint, at bigint, words string")
+    blocks = parts.groupBy("sid", "block").agg(F.sort_array(F.collect_list(F.struct("at", "words"))).alias("parts"))  # BLOCK words at most
+    blocks = stored(blocks.select("sid", "block", F.array_join(F.col("parts.words"), " ").alias("text")), "mix-blocks")
+    names = mixture.table.select("sid", "source")
+    return mixture.output().join(blocks, ["sid", "block"]).join(names, "sid").select("shard", "position", "source", "block", "text")
+
+
 def mixed_texts(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """The mix as rows with the columns of ``docs`` (doc_id, text, source and any others).
 

@@ -359,6 +359,42 @@ def test_mix_of_documents(spark, docs, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed_texts(none).count() == 0
 
 
+def test_mix_is_what_its_output_shards_hold(spark):
+    """Against a mix made block by block: positions, draws and words of each shard, and words per document."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").repartition(7)
+    rows = sorted(((r["doc_id"], r["text"] or "", r["source"]) for r in docs.collect()), key=lambda r: r[0])
+    out = mixing.mixed_blocks(docs).collect()
+    order = sorted({s for *_, s in rows}, key=lambda s: (s is None, s or ""))
+    streams = {s: [(i, w) for i, t, x in rows if x == s for w in t.encode().split()] for s in order}
+    want = dict(zip(order, mixing.targets([len(streams[s]) for s in order], [(5, 2, 1)[i % 3] for i in range(len(order))]), strict=True))
+    shards, taken, words = {}, {}, dict.fromkeys(order, 0)
+    for r in out:
+        block = streams[r["source"]][r["block"] * mixing.BLOCK: (r["block"] + 1) * mixing.BLOCK]
+        assert b" ".join(w for _, w in block).decode() == r["text"]
+        shards.setdefault(r["shard"], []).append((r["position"], r["source"], r["block"]))
+        words[r["source"]] += len(block)
+        for i, _ in block:
+            taken[i] = taken.get(i, 0) + 1
+    assert all(sorted(p for p, *_ in x) == list(range(len(x))) for x in shards.values())
+    sizes = {s: len(x) for s, x in shards.items()}
+    assert set(sizes) == set(range(mixing.SHARDS)) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert all(abs(words[s] - want[s]) <= 2 * mixing.BLOCK for s in order)
+    # no block of a source comes again before all others have come, and the shards' shares vary as drawn
+    for s in order:
+        times = {}
+        for r in out:
+            if r["source"] == s:
+                times[r["block"]] = times.get(r["block"], 0) + 1
+        if want[s] >= len(streams[s]):
+            assert len(times) == -(-len(streams[s]) // mixing.BLOCK) and max(times.values()) - min(times.values()) <= 1
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()} == {i: taken.get(i, 0) for i, *_ in rows}
+    other = mixing.mixed_blocks(docs, seed=8).collect()
+    assert len(other) == len(out) and len({tuple(r) for r in other} & {tuple(r) for r in out}) < len(out) / 4
+    drawn = lambda rows: sorted((r["shard"], r["source"]) for r in rows)
+    assert drawn(other) != drawn(out) and mixing.mixed_blocks(docs.limit(0)).count() == 0
+    assert sorted(map(tuple, mixing.mixed_blocks(docs.repartition(2)).collect())) == sorted(map(tuple, out))
+
+
 def test_mixed_copies_keep_the_text(spark, docs):
     frame = spark.createDataFrame([(1, " a b\n c ", "x"), (2, words(1, 5000), "y")], "doc_id bigint, text string, source string")
     copies = [r["text"] for r in mixing.mixed_texts(frame).where("doc_id = 1").collect()]
