@@ -54,6 +54,7 @@ def with_borrowed_heads(turns: DataFrame, block: int = 100, most: int = 6) -> Da
     first h; h is crc32(c) % most.
 
     Every conv_id of the input is in the output: one left without turns as a row with NULL ``turn``."""
+    turns = stored(turns, "trie-turns")  # read three times
     h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % most
     convs = turns.select("conv_id").distinct().select("conv_id", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % block).alias("base"))
     own = turns.where(F.col("pos") >= h).select("conv_id", F.lit(1).alias("part"), "pos", "turn", "chars")
