@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gradeframe.session import application_key
 from gradeframe.sources.store import materialize
 
-__all__ = ["apart", "crc_rest", "mix64", "read", "release", "ship", "slices", "span_hashes", "stored", "text_slices", "texts_of", "word_spans"]
+__all__ = ["apart", "crc_rest", "mix64", "read", "release", "ship", "slices", "span_hashes", "stored", "text_slices", "texts_of", "word_edges", "word_spans"]
 
 #: Bytes of text that one numpy pass works on (a longer text is one pass of its own).
 PASS_BYTES = 1 << 20
@@ -144,6 +144,13 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix64(sums * inverse[starts])
 
 
+def word_edges(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A text with a line feed behind it as bytes, and where its words start and end."""
+    buf = np.frombuffer(text + b"\n", np.uint8)
+    edge = np.diff(np.concatenate(([False], ~_IS_SPACE[buf])).astype(np.int8))
+    return buf, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 def word_spans(texts: list[bytes], cuts: bytes = b"") -> tuple[np.ndarray, ...]:
     """Words (runs without ASCII white space) of several texts at once.
 

@@ -34,10 +34,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeframe.llm.common import _powers, apart, mix64, release, stored, text_slices, word_spans
+from gradeframe.llm.common import _powers, apart, mix64, release, slices, stored, text_slices, word_edges, word_spans
 from gradeframe.llm.components import components
 
 SHORT, LONG, NEAR = 9, 40, 8
@@ -188,28 +189,35 @@ def anchors(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint")
 
 
-def covered(items: list) -> list[tuple[bool, bool]]:
-    """Whether the words before and after each item are removed by another item for sure.
+def covered(doc, first, end, both, kept, shift) -> np.ndarray:
+    """Whether the words before (first column) and after each item are removed by another item for sure:
+    by one of the same document that repeats the same occurrence (``kept``, ``shift``). Arrays, a row an item."""
+    out = np.zeros((len(doc), 2), bool)
+    rows = np.flatnonzero(~both)
+    _, line = np.unique(np.stack((doc[rows], kept[rows], shift[rows])), axis=1, return_inverse=True)
+    for side, (near, far) in enumerate(((first[rows], end[rows]), (-end[rows], -first[rows]))):
+        order = np.lexsort((near, line))
+        group, far = line[order], far[order]
+        base = far.min(initial=0)
+        step = int(far.max(initial=0) - base) + 1
+        reach = np.maximum.accumulate(far - base + group * step) - group * step + base  # how far a line's items go so far
+        held = (group[1:] == group[:-1]) & (reach[:-1] >= near[order][1:])
+        out[rows[order[1:]][held], side] = True
+    return out
 
-    ``items`` of one document: dicts or rows with first, n, both, kept and shift."""
-    out = [[False, False] for _ in items]
-    for side in (0, 1):
-        reach: dict = {}  # by occurrence and shift: how far the items so far go
-        for k in sorted(range(len(items)), key=lambda k: items[k]["first"] if not side else -items[k]["first"] - items[k]["n"]):
-            x = items[k]
-            if x["both"]:
-                continue
-            near, far = (x["first"], x["first"] + x["n"]) if not side else (-x["first"] - x["n"], -x["first"])
-            line = x["kept"], x["shift"]
-            out[k][side] = reach.get(line, near - 1) >= near
-            reach[line] = max(reach.get(line, far), far)
-    return [(a, b) for a, b in out]
+
+def _lists(values: np.ndarray, first: np.ndarray, size: np.ndarray, back: bool = False) -> pa.Array:
+    """A list of ``size`` values from each ``first`` on (or back from it)."""
+    edges = np.concatenate(([0], np.cumsum(size)))
+    step = np.arange(edges[-1]) - np.repeat(edges[:-1], size)
+    at = np.repeat(first, size) + (-step if back else step)
+    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values[at]))
 
 
 def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Second hash, shingles (of probes) and word contexts of wanted paragraphs.
 
-    ``wanted``: doc_id, h, items (first, n, key, anchor, probe, both, kept, shift). A side has no context
+    ``wanted``: doc_id, h, items (first, n, key, anchor, probe, both, kept, shift, stay: the key's first place). A side has no context
     only where another paragraph repeats the words there from the same occurrence (``kept``, at
     the same ``shift``) and removes them itself; what may stay or change class (``both``) has both."""
     joined = docs.join(wanted, (docs["doc_id"].eqNullSafe(wanted["doc_id"])) & (docs["h"] == wanted["h"])).select(docs["doc_id"], docs["h"], "text", "items")
@@ -217,29 +225,29 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for a, b, texts in text_slices(batch.column("text")):
-                items = batch.column("items").slice(a, b - a).to_pylist()
+                items = batch.column("items").slice(a, b - a)
                 *_, text, hashes = word_spans([t.encode("utf-8", "replace") for t in texts])
                 begin = np.searchsorted(text, np.arange(len(texts) + 1))
                 short = (hashes & np.uint64(0x7FFFFFFF)).astype(np.int32)
                 shingles = shingle_hashes(hashes)
-                rows, out = [], [[] for _ in range(7)]
-                for i, own in enumerate(items):
-                    at, end = int(begin[i]), int(begin[i + 1])
-                    beside = covered(own)
-                    for x, (has_before, has_after) in zip(own, beside, strict=True):
-                        p, q = x["first"], x["first"] + x["n"]
-                        rows.append(a + i)
-                        found = np.unique(shingles[at + p: at + q - WORDS + 1]).view(np.int64) if x["probe"] else None
-                        before = short[max(at, at + p - CONTEXT): at + p][::-1] if not has_before else short[:0]
-                        after = short[at + q: min(end, at + q + CONTEXT)] if not has_after else short[:0]
-                        for c, v in zip(out, (p, x["n"], x["key"], x["anchor"], found, before, after), strict=True):
-                            c.append(v)
-                first = begin[np.array(rows, np.int64) - a] + np.array(out[0], np.int64)
-                out.insert(3, range_hashes(hashes, first, first + np.array(out[1], np.int64), 21).view(np.int64))
-                types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), batch.column("h").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=["doc_id", "h", "first", "n", "key", "check", "anchor", "shingles", "before", "after"])
-
-    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint, check bigint, anchor boolean, shingles array<bigint>, before array<int>, after array<int>")
+                doc = np.repeat(np.arange(b - a), items.value_lengths().to_numpy())
+                flat = items.flatten()
+                get = lambda name: flat.field(name).to_numpy(zero_copy_only=False)  # noqa: E731, B023
+                p, n = get("first").astype(np.int64), get("n").astype(np.int64)
+                beside = covered(doc, p, p + n, get("both"), get("kept"), get("shift").astype(np.int64))
+                first, last = begin[doc] + p, begin[doc] + p + n
+                before = np.where(beside[:, 0], 0, np.minimum(p, CONTEXT))
+                after = np.where(beside[:, 1], 0, np.minimum(begin[doc + 1] - last, CONTEXT))
+                probe = get("probe")
+                found = [np.unique(shingles[x: y - WORDS + 1]).view(np.int64) if k else None for x, y, k in zip(first.tolist(), last.tolist(), probe.tolist(), strict=True)]
+                rows = pa.array(a + doc)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").take(rows), batch.column("h").take(rows), flat.field("first"), flat.field("n"), flat.field("key"),
+                    pa.array(range_hashes(hashes, first, last, 21).view(np.int64)), flat.field("anchor"), flat.field("stay"), pa.array(found, pa.list_(pa.int64())),
+                    _lists(short, first - 1, before, back=True), _lists(short, last, after),
+                ], names=["doc_id", "h", "first", "n", "key", "check", "anchor", "stay", "shingles", "before", "after"])
+
+    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint, check bigint, anchor boolean, stay boolean, shingles array<bigint>, before array<int>, after array<int>")
 
 
 def collisions(keys: DataFrame) -> DataFrame:
@@ -363,19 +371,20 @@ def anchor_runs(marks: DataFrame) -> DataFrame:
     runs = stored(runs.withColumn("key", F.xxhash64("kept_id", "kept_h", "kept_first", "n")), "anchor-runs")
     release(repeated)
     kept = runs.select(F.col("kept_id").alias("doc_id"), F.col("kept_h").alias("h"), F.col("kept_first").alias("first"), "n", "key").distinct()
-    rows = runs.select("doc_id", "h", "first", "n", "key").unionByName(kept)
+    rows = runs.select("doc_id", "h", "first", "n", "key", F.lit(False).alias("stay")).unionByName(kept.withColumn("stay", F.lit(True)))
     no, yes = F.lit(False), F.lit(True)
-    return rows.select("doc_id", "h", F.struct("first", "n", "key", yes.alias("anchor"), no.alias("probe"), yes.alias("both"), F.lit(0).cast("bigint").alias("kept"), F.lit(0).alias("shift")).alias("item"))
+    return rows.select("doc_id", "h", F.struct("first", "n", "key", yes.alias("anchor"), no.alias("probe"), yes.alias("both"), F.lit(0).cast("bigint").alias("kept"), F.lit(0).alias("shift"), "stay").alias("item"))
 
 
 def holders(found: DataFrame, candidates: DataFrame) -> DataFrame:
     """(doc_id, h, item) of each place in ``found`` of a candidate (key, place, probe), as ``details`` reads them."""
     here = found.select("doc_id", "h", "first", "n", "key").join(candidates, "key")
     own = F.struct("doc_id", "h").eqNullSafe(F.struct("place.doc_id", "place.h"))
-    probe = F.col("probe") & F.struct("doc_id", "h", "first").eqNullSafe(F.col("place"))
+    stay = F.struct("doc_id", "h", "first").eqNullSafe(F.col("place"))
+    probe = F.col("probe") & stay
     return here.select("doc_id", "h", F.struct(
         "first", "n", "key", F.lit(False).alias("anchor"), probe.alias("probe"), (F.col("probe") | own).alias("both"),
-        F.xxhash64("place.doc_id", "place.h").alias("kept"), (F.col("place.first") - F.col("first")).alias("shift")).alias("item"))
+        F.xxhash64("place.doc_id", "place.h").alias("kept"), (F.col("place.first") - F.col("first")).alias("shift"), stay.alias("stay")).alias("item"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -403,15 +412,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     links = stored(verified(shared, probes), "paragraph-links")
     release(shared)
     classes = stored(components(links), "paragraph-classes")
-    member = detail.select("doc_id", "h", "first", "n", "key", "check", "anchor", "before", "after").join(classes, F.col("key") == F.col("node"), "left")
+    member = detail.select("doc_id", "h", "first", "n", "key", "check", "anchor", "stay", "before", "after").join(classes, F.col("key") == F.col("node"), "left")
     # Equal paragraphs agree in both hashes; similar ones are one class by their component.
     same = F.when(F.col("component").isNull(), F.col("check"))
-    member = member.select("doc_id", "h", "first", "n", F.coalesce("component", "key").alias("class"), same.alias("check"), "anchor", "before", "after")
+    member = member.select("doc_id", "h", "first", "n", F.coalesce("component", "key").alias("class"), same.alias("check"), "anchor", "stay", "before", "after")
+    # The smallest place of a class stays: that of one of its keys, so only their first places are compared.
     whole = F.struct("doc_id", "h", "first", "n", "before", "after")
-    kept = member.groupBy("class", "check").agg(F.min(whole).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("class").alias("_class"), F.col("check").alias("_check"), "kept")
+    kept = member.where("stay").groupBy("class", "check").agg(F.min(whole).alias("kept")).select(F.col("class").alias("_class"), F.col("check").alias("_check"), "kept")
     kept = stored(kept, "paragraph-kept")
     release(links)
-    pairs = member.join(kept, (F.col("class") == F.col("_class")) & F.col("check").eqNullSafe(F.col("_check")))
+    match = (F.col("class") == F.col("_class")) & F.col("check").eqNullSafe(F.col("_check"))
+    pairs = member.join(kept, match)
     pairs = pairs.where(~F.struct("doc_id", "h", "first").eqNullSafe(F.struct("kept.doc_id", "kept.h", "kept.first")))
     # In its own document a repeat does not reach back into the occurrence that stays.
     here = F.struct("doc_id", "h").eqNullSafe(F.struct("kept.doc_id", "kept.h"))
@@ -433,7 +444,7 @@ def without(text: str, spans: list[tuple[int, int]], least: int = 1) -> tuple[st
     Of ranges that together cover fewer than ``least`` words in a row, only whole
     lines go, if these hold ``SHORT`` words or more."""
     data = text.encode("utf-8", "surrogatepass")
-    buf, _, starts, ends, _, _ = word_spans([data])
+    buf, starts, ends = word_edges(data)
     line = np.searchsorted(np.flatnonzero(buf == 10), starts)
     opens = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(starts))  # first words of lines
     gone = np.zeros(len(starts), bool)
@@ -476,17 +487,21 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for a, b, texts in text_slices(batch.column("text")):
-                part, removed, kept, new = batch.slice(a, b - a), [], [], {}
-                for i, own in enumerate(part.column("_spans").to_pylist()):
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            for a, b in slices(sizes):
+                part, removed, kept, new = batch.slice(a, b - a), [], [], []
+                text, lists = part.column("text"), part.column("_spans")
+                for i in range(b - a):
                     ids, gone = set(), np.zeros(0, bool)
-                    if own:
-                        new[i], gone = without(texts[i], [(x["first"], x["last"]) for x in own], LEAST)
+                    if lists[i].is_valid:  # then there is a text
+                        own = lists[i].as_py()
+                        changed, gone = without(text[i].as_py(), [(x["first"], x["last"]) for x in own], LEAST)
+                        new.append(changed)
                         ids = {x["kept_doc_id"] for x in own if gone[max(x["first"], 0): x["last"]].any()}
                     removed.append(int(gone.sum()))
                     kept.append(sorted(ids, key=lambda x: (x is not None, x)))
-                texts = [new.get(i, t) for i, t in enumerate(part.column("text").to_pylist())]
-                columns = [pa.array(texts, part.column("text").type) if c == "text" else part.column(c) for c in rest]
+                text = pc.replace_with_mask(text, lists.is_valid(), pa.array(new, text.type)) if new else text
+                columns = [text if c == "text" else part.column(c) for c in rest]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32()), pa.array(kept, pa.list_(part.column("doc_id").type))], names=[*rest, "removed_words", "duplicate_of"])
 
     out = joined.mapInArrow(run, schema)

@@ -35,7 +35,12 @@ def test_passages_go_to_their_ends_if_the_kept_document_is_copied(spark):
 def test_sides_that_another_repeat_removes():
     item = {"n": 10, "both": False, "kept": 5, "shift": 0}
     rows = [{**item, "first": 0}, {**item, "first": 10}, {**item, "first": 20, "both": True}, {**item, "first": 30}, {**item, "first": 40, "shift": 3}]
-    assert paragraphs.covered(rows) == [(False, True), (True, False), (False, False), (False, False), (False, False)]
+    get = lambda name: np.array([x[name] for x in rows])
+    doc = np.zeros(len(rows), np.int64)
+    out = paragraphs.covered(doc, get("first"), get("first") + 10, get("both"), get("kept"), get("shift"))
+    assert out.tolist() == [[False, True], [True, False], [False, False], [False, False], [False, False]]
+    apart = paragraphs.covered(np.arange(len(rows)), get("first"), get("first") + 10, get("both"), get("kept"), get("shift"))
+    assert not apart.any()
 
 
 def test_passages_go_however_their_lines_break(spark):
