@@ -30,8 +30,8 @@ from gradeframe.llm.common import stored, text_slices
 from gradeframe.llm.tokens import encoder
 
 CAPACITY = 1024
-#: Fillings that the search may enumerate in all, and per bin.
-NODES, STEPS, KEPT = 12_000, 400, 4
+#: Fillings that the search may enumerate in all, and per bin; steps of one test for domination.
+NODES, STEPS, KEPT, FITS = 12_000, 400, 4, 500
 
 Pattern = tuple[tuple[int, ...], int]  # lengths of one bin, number of such bins
 
@@ -64,17 +64,25 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
 
 
 def _fits_into(small: tuple[int, ...], large: tuple[int, ...]) -> bool:
-    """Whether the pieces of ``small`` can be packed into pieces of ``large``."""
-    if not small:
-        return True
-    n, rest = small[0], small[1:]
-    tried = set()
-    for i, r in enumerate(large):
-        if r >= n and r not in tried:
-            tried.add(r)
-            if _fits_into(rest, (*large[:i], r - n, *large[i + 1:])):
-                return True
-    return False
+    """Whether the pieces of ``small`` can be packed into pieces of ``large``.
+
+    What is not found within ``FITS`` steps counts as no: the filling is then tried like an undominated one."""
+    steps = 0
+
+    def go(small, large):
+        nonlocal steps
+        steps += 1
+        if not small:
+            return True
+        n, tried = small[0], set()
+        for i, r in enumerate(large):
+            if r >= n and r not in tried and steps < FITS:
+                tried.add(r)
+                if go(small[1:], (*large[:i], r - n, *large[i + 1:])):
+                    return True
+        return False
+
+    return go(small, large)
 
 
 def fillings(counts: np.ndarray, room: int, most_waste: int) -> tuple[list[tuple[int, ...]], int]:
