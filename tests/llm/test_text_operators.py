@@ -359,6 +359,21 @@ def test_mix_of_documents(spark, docs, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed_texts(none).count() == 0
 
 
+def test_the_test_for_domination_is_bounded():
+    """Fillings of very many small pieces: undecided within its steps is no, and the packing stays whole."""
+    many = tuple([3] * 60 + [2] * 30)
+    assert packing._fits_into((5, 4), (6, 5)) and not packing._fits_into((6, 6), (7, 5)) and packing._fits_into(many, many)
+    packing._fits_into(many, tuple([7] * 30 + [5] * 6))  # ends
+    counts = np.zeros(1025, np.int64)
+    r = np.random.default_rng(1)
+    np.add.at(counts, np.concatenate((r.integers(1, 40, 4000), r.integers(500, 1025, 900))), 1)
+    back = np.zeros(1025, np.int64)
+    for lengths, bins in packing.bin_completion(counts):
+        assert sum(lengths) <= 1024
+        np.add.at(back, list(lengths), bins)
+    assert (back == counts).all()
+
+
 def test_mix_is_what_its_output_shards_hold(spark):
     """Against a mix made block by block: positions, draws and words of each shard, and words per document."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").repartition(7)
