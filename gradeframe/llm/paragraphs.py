@@ -49,7 +49,9 @@ ROWS, BANDS = 2, 5
 CONTEXT = 32
 LEAST = 25
 BUCKET = 256
+FEW = 8
 
+_BANDS = [f"band{k}" for k in range(BANDS)]
 _MIX = mix64(np.arange(1, 64, dtype=np.uint64))
 _ODD = mix64(np.arange(101, 101 + ROWS * BANDS, dtype=np.uint64)) | np.uint64(1)
 
@@ -67,8 +69,8 @@ def shingle_hashes(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
 
 def paragraph_starts(buf: np.ndarray, starts: np.ndarray, hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Index of the first word of each paragraph."""
-    line = np.searchsorted(np.flatnonzero(buf == 10), starts)
-    first = np.flatnonzero(np.diff(line, prepend=-1))
+    first = np.union1d(0, np.searchsorted(starts, np.flatnonzero(buf == 10)))  # behind line feeds
+    first = first[first < len(starts)]
     short = np.diff(first, append=len(starts)) < SHORT
     joined = short[1:] & short[:-1] & (text[first[1:]] == text[first[:-1]])
     first = first[np.concatenate(([True], ~joined))]
@@ -133,7 +135,7 @@ def range_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, salt:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, h, first (word), n (words), key, bands of paragraphs of at least ``SHORT`` words."""
+    """doc_id, h, first (word), n (words), key, a column for each band of paragraphs of at least ``SHORT`` words."""
 
     def run(batches):
         for batch in batches:
@@ -155,17 +157,16 @@ def paragraphs(docs: DataFrame) -> DataFrame:
                 edges = np.stack((at, ends), 1).ravel()
                 padded = np.append(s, np.uint64(0))
                 lows = [np.minimum.reduceat(padded * o, edges)[::2] for o in _ODD] if len(good) else [np.zeros(0, np.uint64)] * (ROWS * BANDS)
-                bands = np.stack([mix64(mix64(lows[2 * k]) * np.uint64(5) + mix64(lows[2 * k + 1]) + _MIX[30 + k]) for k in range(BANDS)], 1)
+                bands = [mix64(mix64(lows[2 * k]) * np.uint64(5) + mix64(lows[2 * k + 1]) + _MIX[30 + k]) for k in range(BANDS)]
                 first_word = np.searchsorted(text, np.arange(b - a))
                 own = text[begin[good]]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(a, b - a).take(pa.array(own)), batch.column("h").slice(a, b - a).take(pa.array(own)),
                     pa.array((begin[good] - first_word[own]).astype(np.int32)), pa.array(n[good].astype(np.int32)),
-                    pa.array(keys[good]),
-                    pa.ListArray.from_arrays(pa.array(np.arange(0, len(good) * BANDS + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel().view(np.int64))),
-                ], names=["doc_id", "h", "first", "n", "key", "bands"])
+                    pa.array(keys[good]), *(pa.array(x.view(np.int64)) for x in bands),
+                ], names=["doc_id", "h", "first", "n", "key", *_BANDS])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint, bands array<bigint>")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint, {', '.join(f'{x} bigint' for x in _BANDS)}")
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -206,12 +207,12 @@ def covered(doc, first, end, both, kept, shift) -> np.ndarray:
     return out
 
 
-def _lists(values: np.ndarray, first: np.ndarray, size: np.ndarray, back: bool = False) -> pa.Array:
-    """A list of ``size`` values from each ``first`` on (or back from it)."""
+def _packed(values: np.ndarray, first: np.ndarray, size: np.ndarray, back: bool = False) -> pa.Array:
+    """``size`` 32-bit values from each ``first`` on (or back from it), as bytes: one value of a row, not one for each word."""
     edges = np.concatenate(([0], np.cumsum(size)))
     step = np.arange(edges[-1]) - np.repeat(edges[:-1], size)
     at = np.repeat(first, size) + (-step if back else step)
-    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values[at]))
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((4 * edges).astype(np.int32)), pa.py_buffer(values[at])])
 
 
 def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -244,14 +245,14 @@ def details(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").take(rows), batch.column("h").take(rows), flat.field("first"), flat.field("n"), flat.field("key"),
                     pa.array(range_hashes(hashes, first, last, 21).view(np.int64)), flat.field("anchor"), flat.field("stay"), pa.array(found, pa.list_(pa.int64())),
-                    _lists(short, first - 1, before, back=True), _lists(short, last, after),
+                    _packed(short, first - 1, before, back=True), _packed(short, last, after),
                 ], names=["doc_id", "h", "first", "n", "key", "check", "anchor", "stay", "shingles", "before", "after"])
 
-    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint, check bigint, anchor boolean, stay boolean, shingles array<bigint>, before array<int>, after array<int>")
+    return joined.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h bigint, first int, n int, key bigint, check bigint, anchor boolean, stay boolean, shingles array<bigint>, before binary, after binary")
 
 
 def collisions(keys: DataFrame) -> DataFrame:
-    """(band, key, size): the rows of bands that several keys (key, bands; one row a key) share."""
+    """(band, key, size): the rows of bands that several keys (key and its bands; one row a key) share."""
 
     def run(batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []  # rows of the band that may go on
@@ -274,15 +275,32 @@ def collisions(keys: DataFrame) -> DataFrame:
         if held:
             yield shared(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    rows = keys.select("key", F.explode("bands").alias("band"))
+    rows = keys.select("key", F.explode(F.array(*_BANDS)).alias("band"))
     return rows.repartition("band").sortWithinPartitions("band").mapInArrow(run, "band bigint, key bigint, size bigint")
 
 
+def _similar_few(sets: list[set[int]], side: list[bool], two: bool) -> list[tuple[int, int]]:
+    """``_similar`` by comparing each pair: for a few sets, array functions cost more in calls than in work."""
+    n = len(sets)
+    label, out = list(range(n)), []
+    for i in range(n):
+        for j in range(i + 1, n):
+            if label[i] == label[j] or two and side[i] == side[j]:
+                continue
+            common = len(sets[i] & sets[j])
+            if common >= SIMILARITY * (len(sets[i]) + len(sets[j]) - common) - 1e-9:
+                out.append((i, j))
+                label = [label[i] if x == label[j] else x for x in label]
+    return out
+
+
 def _similar(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
     """A forest of the pairs with Jaccard >= SIMILARITY; with two sides, pairs across them only."""
     n = len(sets)
-    label, out = np.arange(n), []
     two = side.any() and not side.all()
+    if n <= FEW:
+        return _similar_few([set(x.tolist()) for x in sets], side.tolist(), two)
+    label, out = np.arange(n), []
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     sizes = np.array([len(x) for x in sets])
     of = np.repeat(np.arange(n), sizes)
@@ -345,10 +363,49 @@ def verified(shared: DataFrame, probes: DataFrame) -> DataFrame:
     return dealt.repartition("band", "x", "y").sortWithinPartitions("band", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def common_prefix(a, b):
-    """Length of the common prefix of two arrays."""
-    differs = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
-    return F.when(differs > 0, differs - 1).otherwise(F.size(a)).cast("int")
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a column of ``_packed`` values: all 32-bit values, where each row's begin, and how many it has."""
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1]
+    values = np.frombuffer(data or b"", np.int32, int(edges[-1]) // 4)
+    return values, edges[:-1] // 4, np.diff(edges) // 4
+
+
+def common_prefix(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Length of the common prefix of each row's two sequences (``_packed``)."""
+    (x, x_at, x_size), (y, y_at, y_size) = _words(a), _words(b)
+    most = np.minimum(x_size, y_size)
+    out = np.zeros(len(a), np.int32)
+    rows, k = np.flatnonzero(most > 0), 0
+    while len(rows):
+        rows = rows[x[x_at[rows] + k] == y[y_at[rows] + k]]
+        k += 1
+        out[rows] = k
+        rows = rows[most[rows] > k]
+    return out
+
+
+def extended(pairs: DataFrame) -> DataFrame:
+    """doc_id, h, first, last (exclusive), kept_doc_id of repeats with the equal words beside them.
+
+    ``pairs``: doc_id, h, first, n, before, after, kept_before, kept_after, kept_doc_id, anchor and
+    gap (words back to the occurrence that stays, if in the same document). Anchors that come to fewer than ``PASSAGE`` words are left out."""
+
+    def run(batches):
+        for batch in batches:
+            first, n = (batch.column(c).to_numpy() for c in ("first", "n"))
+            back = common_prefix(batch.column("before"), batch.column("kept_before"))
+            gap = pc.fill_null(batch.column("gap"), CONTEXT).to_numpy()
+            last = first + n + common_prefix(batch.column("after"), batch.column("kept_after"))
+            first = first - np.minimum(back, gap)
+            good = ~batch.column("anchor").to_numpy(zero_copy_only=False) | (last - first >= PASSAGE)
+            rows = pa.array(np.flatnonzero(good))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").take(rows), batch.column("h").take(rows), pa.array(first[good].astype(np.int32)), pa.array(last[good].astype(np.int32)),
+                batch.column("kept_doc_id").take(rows)], names=["doc_id", "h", "first", "last", "kept_doc_id"])
+
+    kind = pairs.schema["doc_id"].dataType.simpleString()
+    return pairs.mapInArrow(run, f"doc_id {kind}, h bigint, first int, last int, kept_doc_id {kind}")
 
 
 def anchor_runs(marks: DataFrame) -> DataFrame:
@@ -396,7 +453,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     held = stored(anchor_runs(marks), "anchor-holders")
     release(marks)
     found = stored(paragraphs(docs), "paragraphs")
-    keys = stored(found.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")), "paragraph-keys")
+    keys = stored(found.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"), *(F.first(x).alias(x) for x in _BANDS)), "paragraph-keys")
     shared = stored(collisions(keys), "paragraph-bands")
     near = shared.select("key").distinct().withColumn("probe", F.lit(True))
     candidates = keys.join(near, "key", "left").where("copies > 1 or probe").select("key", "place", F.coalesce("probe", F.lit(False)).alias("probe"))
@@ -428,12 +485,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     here = F.struct("doc_id", "h").eqNullSafe(F.struct("kept.doc_id", "kept.h"))
     gap = F.when(here, F.col("first") - F.col("kept.first") - F.col("kept.n"))
     pairs = pairs.where(F.coalesce(gap, F.lit(0)) >= 0)
-    spans = pairs.select(
-        "doc_id", "h",
-        (F.col("first") - F.least(common_prefix(F.col("before"), F.col("kept.before")), gap)).alias("first"),
-        (F.col("first") + F.col("n") + common_prefix(F.col("after"), F.col("kept.after"))).alias("last"),
-        F.col("kept.doc_id").alias("kept_doc_id"), "anchor").where(~F.col("anchor") | (F.col("last") - F.col("first") >= PASSAGE)).drop("anchor")
-    spans = stored(spans, "paragraph-spans")
+    sides = [(side, F.substring(side, 1, 4) == F.substring(f"kept.{side}", 1, 4)) for side in ("before", "after")]  # the word next to it
+    sides = [F.when(same, F.col(x)).otherwise(F.lit(b"")).alias(y) for side, same in sides for x, y in ((side, side), (f"kept.{side}", f"kept_{side}"))]
+    pairs = pairs.select("doc_id", "h", "first", "n", *sides, F.col("kept.doc_id").alias("kept_doc_id"), "anchor", gap.alias("gap"))
+    spans = stored(extended(pairs), "paragraph-spans")
     release(detail, kept, classes)
     return spans
 
@@ -445,8 +500,7 @@ def without(text: str, spans: list[tuple[int, int]], least: int = 1) -> tuple[st
     lines go, if these hold ``SHORT`` words or more."""
     data = text.encode("utf-8", "surrogatepass")
     buf, starts, ends = word_edges(data)
-    line = np.searchsorted(np.flatnonzero(buf == 10), starts)
-    opens = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(starts))  # first words of lines
+    opens = None
     gone = np.zeros(len(starts), bool)
     for a, b in spans:
         gone[max(a, 0): b] = True
@@ -455,6 +509,9 @@ def without(text: str, spans: list[tuple[int, int]], least: int = 1) -> tuple[st
     for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
         if b - a < least:
             gone[a:b] = False
+            if opens is None:  # first words of lines
+                line = np.searchsorted(np.flatnonzero(buf == 10), starts)
+                opens = np.append(np.flatnonzero(np.diff(line, prepend=-1)), len(starts))
             a, b = (int(x) for x in opens[[np.searchsorted(opens, a), np.searchsorted(opens, b, "right") - 1]])
             if b - a < SHORT:
                 continue
@@ -491,15 +548,21 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
             for a, b in slices(sizes):
                 part, removed, kept, new = batch.slice(a, b - a), [], [], []
                 text, lists = part.column("text"), part.column("_spans")
-                for i in range(b - a):
-                    ids, gone = set(), np.zeros(0, bool)
-                    if lists[i].is_valid:  # then there is a text
-                        own = lists[i].as_py()
-                        changed, gone = without(text[i].as_py(), [(x["first"], x["last"]) for x in own], LEAST)
-                        new.append(changed)
-                        ids = {x["kept_doc_id"] for x in own if gone[max(x["first"], 0): x["last"]].any()}
-                    removed.append(int(gone.sum()))
-                    kept.append(sorted(ids, key=lambda x: (x is not None, x)))
+                flat, at = lists.flatten(), 0
+                first, last = (np.maximum(flat.field(c).to_numpy(), 0) for c in ("first", "last"))
+                keeper = flat.field("kept_doc_id").to_pylist()
+                for i, n in enumerate(pc.list_value_length(lists).to_pylist()):
+                    if n is None:
+                        removed.append(0)
+                        kept.append([])
+                        continue
+                    own, at = slice(at, at + n), at + n  # there is a text
+                    changed, gone = without(text[i].as_py(), list(zip(first[own].tolist(), last[own].tolist(), strict=True)), LEAST)
+                    new.append(changed)
+                    so_far = np.concatenate(([0], np.cumsum(gone)))  # words gone before each
+                    hit = so_far[np.minimum(last[own], len(gone))] > so_far[np.minimum(first[own], len(gone))]
+                    removed.append(int(so_far[-1]))
+                    kept.append(sorted({x for x, y in zip(keeper[own], hit.tolist(), strict=True) if y}, key=lambda x: (x is not None, x)))
                 text = pc.replace_with_mask(text, lists.is_valid(), pa.array(new, text.type)) if new else text
                 columns = [text if c == "text" else part.column(c) for c in rest]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int32()), pa.array(kept, pa.list_(part.column("doc_id").type))], names=[*rest, "removed_words", "duplicate_of"])

@@ -1,0 +1,88 @@
+"""What keeps the substring dedup's cost down gives the results of the plain forms."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from gradeframe.llm import common, paragraphs
+
+
+def packed(rows):
+    return pa.array([np.array(x, np.int32).tobytes() for x in rows], pa.binary())
+
+
+def test_few_sets_are_compared_without_array_functions(monkeypatch):
+    r = np.random.default_rng(4)
+    cases = []
+    for n in [2] * 40 + [3, 5, paragraphs.FEW] * 20:
+        base = r.integers(0, 10**9, 30)
+        sets = []
+        for _ in range(n):
+            x = base.copy()
+            x[r.integers(0, 30, r.integers(0, 6))] = r.integers(0, 10**9)
+            sets.append(np.unique(x))
+        for side in (np.zeros(n, bool), np.arange(n) % 2 == 1):
+            cases.append((sets, side))
+
+    def roots(n, pairs):
+        label = list(range(n))
+        for i, j in pairs:
+            assert label[i] != label[j]  # a forest
+            label = [label[i] if x == label[j] else x for x in label]
+        return [label.index(x) for x in label]
+
+    with monkeypatch.context() as m:
+        m.setattr(paragraphs, "FEW", 0)
+        want = [roots(len(s), paragraphs._similar(s, side)) for s, side in cases]
+    monkeypatch.setattr(paragraphs.np, "unique", None)  # not called
+    pairs = [paragraphs._similar(s, side) for s, side in cases]
+    assert [roots(len(s), p) for (s, _), p in zip(cases, pairs, strict=True)] == want
+    assert any(want[k] != want[k + 1] for k in range(0, len(want), 2)) or any(pairs)
+    assert all(side[i] != side[j] for (_, side), p in zip(cases, pairs, strict=True) if side.any() for i, j in p)
+
+
+def test_common_prefixes_of_words_as_bytes():
+    r = random.Random(1)
+    a = [[r.randint(0, 2) for _ in range(r.randint(0, 6))] for _ in range(2000)]
+    b = [[r.randint(0, 2) for _ in range(r.randint(0, 6))] for _ in range(2000)]
+    want = [next((k for k, (x, y) in enumerate(zip(p, q, strict=False)) if x != y), min(len(p), len(q))) for p, q in zip(a, b, strict=True)]
+    assert paragraphs.common_prefix(packed(a), packed(b)).tolist() == want
+    assert paragraphs.common_prefix(packed(a).slice(7, 90), packed(b).slice(7, 90)).tolist() == want[7:97]
+    assert paragraphs.common_prefix(packed([[]] * 3), packed([[1]] * 3)).tolist() == [0, 0, 0]
+    assert paragraphs.common_prefix(packed([]), packed([])).tolist() == []
+
+
+def test_contexts_travel_as_bytes(spark):
+    """The words beside a repeat are one value of a row, in reading order away from it."""
+    common.ship(spark)
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text, 7)], "doc_id bigint, text string, h bigint")
+    wanted = spark.createDataFrame([(1, 7)], "doc_id bigint, h bigint")
+    item = F.struct(F.lit(5).alias("first"), F.lit(20).alias("n"), F.lit(9).cast("bigint").alias("key"), F.lit(False).alias("anchor"), F.lit(True).alias("probe"), F.lit(True).alias("both"), F.lit(0).cast("bigint").alias("kept"), F.lit(0).alias("shift"), F.lit(True).alias("stay"))
+    out = paragraphs.details(docs, wanted.withColumn("items", F.array(item)))
+    assert dict(out.dtypes)["before"] == dict(out.dtypes)["after"] == "binary"
+    row = out.first()
+    short = (common.word_spans([text.encode()])[-1] & np.uint64(0x7FFFFFFF)).astype(np.int32)
+    assert np.frombuffer(row["before"], np.int32).tolist() == short[4::-1].tolist()
+    assert np.frombuffer(row["after"], np.int32).tolist() == short[25:25 + paragraphs.CONTEXT].tolist()
+
+
+@pytest.mark.parametrize("cuts", [b"", b"a"])
+def test_word_hashes_are_those_of_their_bytes(cuts):
+    r = random.Random(2)
+    for _ in range(300):
+        texts = ["".join(r.choice("ab\n \té日") for _ in range(r.randint(0, 40))).encode() for _ in range(r.randint(0, 6))]
+        _, begin, starts, ends, text, hashes = common.word_spans(texts, cuts)
+        if len(starts):
+            buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+            assert hashes.tolist() == common.span_hashes(buf, starts, ends).tolist()
+            assert text.tolist() == (np.searchsorted(begin, starts, "right") - 1).tolist()
+
+
+def test_paragraphs_open_behind_line_feeds():
+    texts = [b"\n\n" + b" ".join(b"a%d" % i for i in range(12)) + b"\n \n" + b" ".join(b"b%d" % i for i in range(10)), b"c " * 11 + b"\n\n"]
+    buf, _, starts, _, text, hashes = common.word_spans(texts)
+    assert paragraphs.paragraph_starts(buf, starts, hashes, text).tolist() == [0, 12, 22]
