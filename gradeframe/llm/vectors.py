@@ -73,8 +73,9 @@ def searched(vectors: DataFrame, is_query, build: Callable, search: Callable, k:
     """Rows of ``search(shard bytes, query ids, query matrix)`` for every block of queries and every shard.
 
     Blocks and shards are bounded, a pair of them is a task's row; both sides are
-    dealt by an equi-join, nothing is broadcast. A shard is sent once per ``BLOCKS`` blocks
-    (as many queries as it has rows), the smaller blocks once per shard."""
+    dealt by an equi-join, nothing is broadcast: Spark's size check would take the queries' table as
+    stored, not its copies for every shard, and gather those on the driver. A shard is sent once per
+    ``BLOCKS`` blocks (as many queries as it has rows), the smaller blocks once per shard."""
     n, queries = vectors.count(), vectors.where(is_query)
     shards, blocks = -(-n // SHARD_ROWS) or 1, -(-queries.count() // BLOCK_QUERIES) or 1
     index = packed(vectors, shards, 1, build, f"{label}-index")
@@ -82,7 +83,7 @@ def searched(vectors: DataFrame, is_query, build: Callable, search: Callable, k:
     rounds = -(-blocks // BLOCKS)
     left = index.select("size", F.col("grp").cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round"), "data")
     right = asked.select("size", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.floor(F.col("grp") / BLOCKS).cast("int").alias("round"), F.col("data").alias("queries"))
-    pairs = left.join(right, ["size", "shard", "round"])
+    pairs = left.hint("merge").join(right, ["size", "shard", "round"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -61,6 +61,24 @@ def test_top_k_is_exact(spark, monkeypatch, seed, rows_per_shard):
     assert got == brute(rows, lambda a, b: int(ints(a) @ ints(b)))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("blocks", [2, 16])
+def test_top_k_gathers_no_copies_of_queries(spark, monkeypatch, blocks):
+    """A small table of queries is copied for every shard: the copies are dealt, not broadcast from the driver."""
+    for name, value in (("SHARD_ROWS", 40), ("BLOCK_QUERIES", 20), ("BLOCKS", blocks)):
+        monkeypatch.setattr(vectors, name, value)
+    rows = awkward(3)
+    found = maxscore.top_k(frame(spark, rows), QUERY)
+    before = plan_of(found)
+    got = sorted(map(tuple, found.collect()))
+    assert "Broadcast" not in before and "Broadcast" not in plan_of(found)
+    ints = lambda v: np.floor(256 * v).astype(int)
+    assert got == brute(rows, lambda a, b: int(ints(a) @ ints(b)))
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 6])
 def test_few_vectors(spark, n):
     rows = [(5 * i, [1.0, float(i)]) for i in range(n)]
