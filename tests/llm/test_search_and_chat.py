@@ -109,6 +109,19 @@ def test_neighbours_recall_and_scores(spark, monkeypatch, rows_per_shard):
     assert hits >= 0.95 * len(want)
 
 
+@pytest.mark.parametrize("blocks", [2, 16])
+def test_neighbours_gather_no_copies_of_queries(spark, monkeypatch, blocks):
+    for name, value in (("SHARD_ROWS", 40), ("BLOCK_QUERIES", 20), ("BLOCKS", blocks)):
+        monkeypatch.setattr(vectors, name, value)
+    rows = awkward(4)
+    found = neighbours.nearest(frame(spark, rows), QUERY)
+    before = plan_of(found)
+    want, got = brute(rows, cosine, zero=False), sorted(map(tuple, found.collect()))
+    assert "Broadcast" not in before and "Broadcast" not in plan_of(found)
+    assert [(q, n) for q, n, *_ in got] == [(q, n) for q, n, *_ in want]
+    assert len({(q, i) for q, _, i, _ in got} & {(q, i) for q, _, i, _ in want}) >= 0.95 * len(want)
+
+
 def test_neighbours_recall_on_the_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = E.queries()["op10_nearest_neighbours"](spark, "/root/testdata/sf0.1").collect()
